@@ -1,0 +1,50 @@
+"""Row-for-row comparison of a Spark result with DuckDB."""
+
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir):
+    db = duckdb.connect()
+    for name in TABLES:
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf_dir}/{name}.parquet')")
+    return db
+
+
+def _plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else value
+    return value
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    picked = [tuple(_plain(r[i]) for i in order) for r in rows]
+    return [names[i] for i in order], sorted(picked, key=repr)
+
+
+KIND = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def assert_same(spark_df, db, sql):
+    result = db.execute(sql)
+    names = [d[0] for d in result.description]
+    kinds = {d[0]: str(d[1]) for d in result.description}
+    expected = _rows(names, result.fetchall())
+    actual = _rows(spark_df.columns, [tuple(r) for r in spark_df.collect()])
+    assert actual[0] == expected[0]
+    for name, kind in spark_df.dtypes:
+        assert KIND[kind] == kinds[name], (name, kind, kinds[name])
+    assert len(actual[1]) == len(expected[1])
+    for a, e in zip(actual[1], expected[1]):
+        assert a == e
+    return len(actual[1])
