@@ -5,9 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Quotes are doubled on both sides; the bare text NA or null stays text. An empty string is
-# written quoted, so it stays apart from null.
-CSV_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "", "emptyValue": '""'}
+# Quotes are doubled on both sides and blanks are kept. The bare texts NA and null are text; an
+# unquoted empty field is null, a quoted one is the empty string (the reader needs a null mark
+# that is not the empty string to tell them apart). Lines are records, so that large files stay
+# splittable; Parquet is the format for text with line breaks.
+_COMMON = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+CSV_WRITE = {**_COMMON, "nullValue": "", "emptyValue": '""'}
+CSV_READ = {**_COMMON, "nullValue": "\u0000", "emptyValue": "", "mode": "PERMISSIVE"}
 
 
 def valid_times(rows: DataFrame, *bounds: str) -> DataFrame:
@@ -29,7 +38,7 @@ def read_history(
     """
     rows = (
         spark.read.schema(schema)
-        .options(header=True, mode="PERMISSIVE", recursiveFileLookup=True, **CSV_OPTIONS)
+        .options(header=True, recursiveFileLookup=True, **CSV_READ)
         .option("ignoreCorruptFiles", True)
         .csv(path)
     )
@@ -38,10 +47,10 @@ def read_history(
 
 def to_csv_line(*columns: str) -> Column:
     """The columns as one CSV line."""
-    return F.to_csv(F.struct(*columns), dict(CSV_OPTIONS))
+    return F.to_csv(F.struct(*columns), CSV_WRITE)
 
 
 def parse_csv_lines(lines: DataFrame, schema: str, *bounds: str) -> DataFrame:
     """The history held in the text column ``value``, one CSV line per row, no header."""
-    rows = lines.select(F.from_csv("value", schema, dict(CSV_OPTIONS)).alias("r")).select("r.*")
+    rows = lines.select(F.from_csv("value", schema, CSV_READ).alias("r")).select("r.*")
     return valid_times(rows, *bounds)

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import geo, live_map, windows
 from ..schemas import GEO
+from ..session import shared_dir
 from .sinks import Sink, batch_folder, partition_sink
 
 AGGREGATE_TRIGGER = {"processingTime": "15 seconds"}
@@ -63,7 +64,7 @@ def publish_kafka(
 def start_results(
     edits: DataFrame,
     output: str,
-    checkpoints: str,
+    checkpoints: str | None,
     run_id: str,
     *,
     fmt: str = "parquet",
@@ -77,13 +78,15 @@ def start_results(
 ) -> list[StreamingQuery]:
     """Start wars, editors, topics (update mode) and map points (append mode) over ``edits``.
 
-    Editors and topics keep the top rows of each micro-batch; ``None`` keeps all of them.
+    Without ``checkpoints`` they go below the folder the cluster names. Editors and topics keep
+    the top rows of each micro-batch; ``None`` keeps all of them.
     ``run_id`` names the series of batch numbers, so it changes with the checkpoint only.
     """
 
     def sink(name: str, shape: Callable[[DataFrame], DataFrame] | None = None) -> Sink:
         return partition_sink(f"{output}/{name}", run_id, fmt, shape)
 
+    root = checkpoints or f"{shared_dir(edits.sparkSession)}/results/{run_id}"
     common = {"size": size, "slide": slide, "watermark": watermark}
     wars = windows.edit_wars(edits, **common)
     editors = windows.super_editors(edits, **common)
@@ -98,7 +101,7 @@ def start_results(
         ("map_points", points, sink("map_points"), "append", map_trigger),
     ]
     return [
-        run_batches(stream, target, f"{checkpoints}/{name}", mode, trigger)
+        run_batches(stream, target, f"{root}/{name}", mode, trigger)
         for name, stream, target, mode, trigger in jobs
     ]
 

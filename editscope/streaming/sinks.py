@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from ..sources.history import CSV_OPTIONS
+from ..sources.history import CSV_WRITE
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -59,5 +59,5 @@ def snapshot_sink(path: str, fmt: str = "parquet") -> Sink:
 def _write(rows: DataFrame, folder: str, fmt: str) -> None:
     writer = rows.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.options(header=True, **CSV_OPTIONS)
+        writer = writer.options(header=True, **CSV_WRITE)
     writer.save(folder)

@@ -1,0 +1,67 @@
+import ipaddress
+import random
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from editscope.functions import ip
+
+CASES = [
+    "1.2.3.4", "0.0.0.0", "255.255.255.255", "2001:db8::1", "::ffff:1.2.3.4", "::1%eth0", "::",
+    "1::", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "1:2:3:4:5:6:1.2.3.4", "ABCD::ef",
+    "256.1.1.1", "01.2.3.4", "1.2.3", "1.2.3.4.5", "1.2.3.4\n", " 1.2.3.4", "1.2.3.4%x", "~2026-31790-93",
+    "1:2:3:4:5:6:7::8", "1:2:3:4:5:6:7:8:9", "1::2::3", ":::", ":1", "1:", "12345::", "g::1",
+    "::1.2.3.256", "1.2.3.4::", "::1.2.3.4:5", "::%", "::%a%b", "::%a/b", "::/64", "%eth0", ":", "",
+    "user_1", "10.0.0.1:80", "::1\n", "1:2:3:4:5:6:7:1.2.3.4", "::1:2:3:4:5:6:1.2.3.4", "::ffff:01.2.3.4",
+    "١.2.3.4", "fe80::1%wlan0", "1.2.3.-4", "0x1.2.3.4",
+]
+
+
+def valid(s):
+    try:
+        ipaddress.ip_address(s)
+        return True
+    except ValueError:
+        return False
+
+
+def check(spark, values):
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    got = {r.v: r for r in rows.select(
+        "v", ip.is_ip("v").alias("ok"), ip.looks_like_ip("v").alias("maybe"), ip.ip_family("v").alias("family"),
+        ip.ip_high("v").alias("high"), ip.ip_low("v").alias("low")).collect()}
+    for v in values:
+        assert got[v].ok == valid(v), repr(v)
+        if not valid(v):
+            assert got[v].family is None and got[v].high is None and got[v].low is None
+            continue
+        assert got[v].maybe
+        address = ipaddress.ip_address(v)
+        assert got[v].family == address.version
+        number = int(address) << 96 if address.version == 4 else int(address)
+        assert got[v].high % 2**64 == number >> 64, v
+        assert got[v].low % 2**64 == number % 2**64, v
+
+
+def test_cases(spark):
+    check(spark, CASES)
+
+
+def test_null_is_no_ip(spark):
+    rows = spark.createDataFrame([(None,)], "v string").select(ip.is_ip("v"), ip.looks_like_ip("v"))
+    assert tuple(rows.first()) == (False, False)
+
+
+def test_random_addresses(spark):
+    rng = random.Random(7)
+    six = [ipaddress.IPv6Address(rng.getrandbits(128) & rng.getrandbits(128)) for _ in range(100)]
+    sparse = [ipaddress.IPv6Address(rng.getrandbits(16) << (16 * rng.randrange(8))) for _ in range(100)]
+    four = [str(ipaddress.IPv4Address(rng.getrandbits(32))) for _ in range(100)]
+    texts = [str(a) for a in six + sparse] + [a.exploded for a in six] + four
+    check(spark, sorted(set(texts)))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="0123456789abfF:.%g", max_size=24), min_size=20, max_size=60, unique=True))
+def test_like_the_standard_library(spark, values):
+    check(spark, values)

@@ -1,0 +1,64 @@
+import pytest
+from pyspark.sql import functions as F
+
+from editscope.functions import text
+
+
+def column(spark, values, expression):
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    return [r[0] for r in rows.orderBy("i").select(expression).collect()]
+
+
+def test_wiki_lang(spark):
+    values = ["pl.wikipedia.org", "www.wikidata.org", "localhost", None, ".x"]
+    assert column(spark, values, text.wiki_lang("v")) == ["pl", "www", "??", "??", ""]
+
+
+def test_topic_key(spark):
+    values = ["File:EX CO", "Foo_bar", "_x", "", "a  b", "one", None]
+    expected = ["File:EX", "Foo", "", "", "a", "one", None]
+    assert column(spark, values, text.topic_key("v")) == expected
+
+
+def test_title_filter_drops_null_and_is_case_sensitive(spark):
+    values = ["Category:X", "Talk:X", "User talk:X", "category:X", None, "Plain"]
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    kept = [r.v for r in rows.filter(text.is_content_title("v")).collect()]
+    assert sorted(kept) == ["Plain", "User talk:X", "category:X"]
+
+
+def test_revert_flag(spark):
+    values = ["Reverted", "Undid edit", "Przywrócono wersję", "PRZYWRÓCONO", "Revertida", "Anulada", "", None]
+    assert column(spark, values, text.revert_flag("v")) == [1, 1, 1, 1, 1, 0, 0, 0]
+    assert column(spark, ["Anulada"], text.revert_flag("v", "anulad")) == [1]
+
+
+def test_editor_types(spark):
+    rows = spark.createDataFrame(
+        [(True, True), (None, True), (None, None), (False, False), (True, False)], "s boolean, b boolean"
+    )
+    got = rows.select(text.editor_type("s", "b"), text.editor_type_v1("b")).collect()
+    assert [tuple(r) for r in got] == [
+        ("SUSPECTED_BOT", "BOT"), ("BOT", "BOT"), ("HUMAN", "HUMAN"), ("HUMAN", "HUMAN"),
+        ("SUSPECTED_BOT", "HUMAN"),
+    ]
+
+
+def test_page_category(spark):
+    values = ["Category:X", "Talk:X", "X", "File:X"]
+    assert column(spark, values, text.page_category("v")) == [
+        "KATEGORIA", "DYSKUSJA", "ARTYKUŁ", "ARTYKUŁ",
+    ]
+
+
+def test_links(spark):
+    assert column(spark, ["A b c"], text.page_url("v")) == ["https://en.wikipedia.org/wiki/A_b_c"]
+    rows = spark.createDataFrame([(2498846264,), (None,)], "r bigint")
+    got = [r[0] for r in rows.select(text.diff_url("r")).collect()]
+    assert got == ["https://en.wikipedia.org/w/index.php?diff=2498846264", None]
+
+
+@pytest.mark.parametrize("lang,site", [("pl", "https://pl.wikipedia.org"), ("??", text.SITE), (None, text.SITE)])
+def test_links_follow_the_language(spark, lang, site):
+    rows = spark.createDataFrame([(lang,)], "v string")
+    assert rows.select(text.page_url(F.lit("T"), text.site_of("v"))).first()[0] == f"{site}/wiki/T"
