@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ip, text
@@ -20,14 +20,21 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _address(third: Column, fourth: Column) -> Column:
+    return F.concat(F.lit("10.0."), third.cast("string"), F.lit("."), fourth.cast("string"))
+
+
 def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as edits. Columns a query does not use are pruned down to the scan."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    """All events as edits. Columns a query does not use are pruned down to the scan; the JSON
+    is read once per row, by a generator that filters on the title do not repeat."""
+    events = read(spark, sf_dir, "events")
+    k = F.col("k")
     prefix = F.when(k % 20 == 0, "Category:").when(k % 20 == 1, "Talk:").otherwise("")
-    address = F.format_string(
-        "10.0.%d.%d", F.expr("user_id div 256"), F.expr("user_id % 256")
+    address = _address(F.expr("user_id div 256"), F.col("user_id") % 256)
+    parsed = events.select("*", F.json_tuple("props", "k").alias("k_text")).withColumn(
+        "k", F.col("k_text").cast("int")
     )
-    return read(spark, sf_dir, "events").select(
+    return parsed.select(
         "event_id",
         "ts",
         F.when(F.col("user_id") % 5 == 1, address)
@@ -89,13 +96,13 @@ def networks(spark: SparkSession, sf_dir: str) -> DataFrame:
     block, last = F.expr("user_id div 256"), F.expr("user_id % 256")
     sixteen = F.expr("(user_id % 256) div 16")
     wide = F.struct(
-        F.format_string("10.0.%d.0", block).alias("net_start"),
+        _address(block, F.lit(0)).alias("net_start"),
         F.lit(25).alias("prefix_len"),
         block.cast("double").alias("lat"),
         (block * 2).cast("double").alias("lon"),
     )
     narrow = F.struct(
-        F.format_string("10.0.%d.%d", block, sixteen * 16).alias("net_start"),
+        _address(block, sixteen * 16).alias("net_start"),
         F.lit(28).alias("prefix_len"),
         (block + 1).cast("double").alias("lat"),
         (last - last % 16).cast("double").alias("lon"),
@@ -127,7 +134,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _replay(panes: DataFrame, size: str, slide: str) -> DataFrame:
     """Each pane row once for each (window, batch) that includes it."""
     step = F.expr(f"interval {slide}")
-    later = F.explode(F.sequence("pane", F.col("window.end") - step, step))
+    later = F.explode(F.sequence("pane", F.col("end_time") - step, step))
     return windows.in_windows(panes, size, slide).withColumn("seen_at", later)
 
 
@@ -136,14 +143,14 @@ def _history(totals: DataFrame, columns: list[str], slide: str) -> DataFrame:
     changed = totals.filter(F.col("newest_pane") == F.col("seen_at"))
     number = floor_div(event_micros(totals, "seen_at"), duration_micros(slide))
     return changed.select(
-        F.col("window.start").alias("start_time"),
-        F.col("window.end").alias("end_time"),
+        "start_time",
+        "end_time",
         *columns,
         number.alias("batch_id"),
     )
 
 
-_BY = ["window", "seen_at"]
+_BY = [*windows.STATIC_KEY, "seen_at"]
 
 
 def _newest():
