@@ -11,6 +11,12 @@ from ..schemas import EDIT, EDIT_FIELDS, RAW_CHANGE
 DATA_PREFIX = "data: "
 
 
+def _fields(value: Column | str, schema: str) -> Column:
+    """The parsed fields as columns. As a generator it parses each message once; behind a plain
+    projection, every filter on a field would be pushed down together with its own parse."""
+    return F.inline(F.array(F.from_json(value, schema)))
+
+
 def feed_payloads(lines: DataFrame) -> DataFrame:
     """The JSON of every data line; blank lines and other fields of the feed are skipped.
 
@@ -28,8 +34,7 @@ def parse_changes(payloads: DataFrame, received_at: Column | None = None) -> Dat
     ``ts`` is the event's own time when it has one, else ``received_at`` (the current time).
     """
     raw = (
-        payloads.select(F.from_json("value", RAW_CHANGE).alias("c"))
-        .select("c.*")
+        payloads.select(_fields("value", RAW_CHANGE))
         .filter(F.col("type") == "edit")
         .dropna(subset=["user", "title"])
     )
@@ -73,9 +78,7 @@ def decode_edits(messages: DataFrame, *keep: str) -> DataFrame:
 
     A field of the wrong type becomes null by itself. A time that does not parse is null.
     """
-    edits = messages.select(
-        *keep, F.from_json(F.col("value").cast("string"), EDIT).alias("d")
-    ).select(*keep, "d.*")
+    edits = messages.select(*keep, _fields(F.col("value").cast("string"), EDIT))
     return (
         edits.filter(text.is_content_title("title"))
         .withColumn("ts", F.try_to_timestamp("time", F.lit(text.TIME_FORMAT)))

@@ -18,9 +18,9 @@ def suspicious_flag(
     id_col: str = "event_id",
     bot_col: str = "is_bot",
     out: str = "is_suspicious",
-    hot_rows: int = 200_000,
+    hot_rows: int = 20_000,
     max_hot: int = 20_000,
-    cells_per_bucket: int = 16,
+    cells_per_bucket: int = 8,
     spread: int = 256,
 ) -> DataFrame:
     """Add ``out``: true when a non-bot has ``n`` edits in ``(ts - seconds, ts]``, this one

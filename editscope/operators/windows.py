@@ -3,11 +3,10 @@
 Every operator runs on static tables and on streams and returns the same columns.
 
 On static tables a window is put together from tumbling panes as wide as the common step of
-size and slide. Edits are first reduced to one row per (pane, key, member), where the member
-is what the result lists: users of a page, languages of a user, titles of a topic. Only these
-reduced rows are copied into the ``size / slide`` windows they belong to. Because the member is
-part of the first grouping key, a page, user or topic holding a large share of all edits is
-spread over its members, and repeated edits of one member shrink before the shuffle.
+size and slide. Edits are first reduced to one row per (pane, key) with the distinct members the
+result lists: users of a page, languages of a user, titles of a topic. Each task does most of
+that before the shuffle, and a page, user or topic with a large share of all edits is split by
+pane. Only the reduced rows are copied into the ``size / slide`` windows they belong to.
 
 On streams the same result comes from one stateful aggregation behind a watermark; its state
 per window is dropped once the watermark passes.
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..functions.times import pane_width
+from ..functions.times import duration_micros, event_micros, pane_width
 
 SIZE, SLIDE, WATERMARK = "5 minutes", "1 minute", "5 minutes"
 
@@ -42,14 +41,17 @@ def in_windows(panes: DataFrame, size: str, slide: str) -> DataFrame:
     )
 
 
+def _merged(members: str) -> Column:
+    """The distinct members of several panes; a window has at most size / slide of them."""
+    return F.array_distinct(F.flatten(F.collect_list(members)))
+
+
 def _joined(members: str, separator: str) -> Column:
-    return F.array_join(F.array_sort(F.collect_set(members)), separator)
+    return F.array_join(F.array_sort(members), separator)
 
 
-def _members(column: str, exact: bool) -> Column:
-    if exact:
-        return F.size(F.collect_set(column)).cast("bigint")
-    return F.approx_count_distinct(column)
+def _count(members: str) -> Column:
+    return F.size(members).cast("bigint")
 
 
 STATIC_KEY, STREAM_KEY = ["start_time", "end_time"], ["window"]
@@ -62,6 +64,15 @@ def _flat(windowed: DataFrame, columns: list[str]) -> DataFrame:
     return windowed.select(*STATIC_KEY, *columns)
 
 
+def _window_rows(edits: DataFrame, size: str, slide: str, time_col: str, watermark: str):
+    """Every edit once per window, and the window's key: the plain way, for streams and for
+    counts that cannot be merged from panes."""
+    if edits.isStreaming:
+        late_limited = edits.withWatermark(time_col, watermark)
+        return late_limited.withColumn("window", F.window(time_col, size, slide)), STREAM_KEY
+    return in_windows(edits.withColumn("pane", F.col(time_col)), size, slide), STATIC_KEY
+
+
 # ---- edit wars ---------------------------------------------------------------------------
 
 WAR_COLUMNS = [
@@ -70,6 +81,21 @@ WAR_COLUMNS = [
 ]
 
 
+def _war_facts(edits: DataFrame, time_col: str, revert_pattern: str) -> DataFrame:
+    return edits.withColumn("is_revert", text.revert_flag("comment", revert_pattern)).withColumn(
+        "latest", F.struct(time_col, "revision_id", "comment")
+    )
+
+
+def _war_counts() -> list[Column]:
+    return [F.count("user").alias("edits"), F.sum("is_revert").alias("reverts")]
+
+
+def _war_aggregates() -> list[Column]:
+    latest, users = F.max("latest").alias("latest"), F.collect_set("user").alias("users")
+    return [*_war_counts(), latest, users]
+
+
 def war_panes(
     edits: DataFrame,
     size: str = SIZE,
@@ -77,29 +103,32 @@ def war_panes(
     time_col: str = "ts",
     revert_pattern: str = text.REVERT_PATTERN,
 ) -> DataFrame:
-    """Edits, reverts and the latest edit per (pane, title, user)."""
-    flagged = edits.withColumn("is_revert", text.revert_flag("comment", revert_pattern))
-    aggs = [
-        F.count("user").alias("edits"),
-        F.sum("is_revert").alias("reverts"),
-        F.max(F.struct(time_col, "revision_id", "comment")).alias("latest"),
-    ]
-    return _panes(flagged, size, slide, time_col, ["title", "user"], aggs)
+    """Edits, reverts, latest edit and users per (pane, title)."""
+    facts = _war_facts(edits, time_col, revert_pattern)
+    return _panes(facts, size, slide, time_col, ["title"], _war_aggregates())
 
 
-def war_totals(rows: DataFrame, by: list[str], exact: bool = True, *extra: Column) -> DataFrame:
-    """War columns per (``by``, title) from pane rows. The latest comment and revision are
-    those of the newest (time, revision), so they do not depend on arrival order."""
-    return (
-        rows.groupBy(*by, "title")
-        .agg(
-            F.sum("edits").alias("total_edits"),
-            _members("user", exact).alias("unique_users"),
-            _joined("user", ", ").alias("combatants"),
+def war_totals(panes: DataFrame, by: list[str], *extra: Column) -> DataFrame:
+    """War columns per (``by``, title) from pane rows."""
+    return _war_columns(
+        panes.groupBy(*by, "title").agg(
+            F.sum("edits").alias("edits"),
+            F.sum("reverts").alias("reverts"),
             F.max("latest").alias("latest"),
-            F.sum("reverts").alias("reverts_count"),
+            _merged("users").alias("users"),
             *extra,
         )
+    )
+
+
+def _war_columns(wars: DataFrame, unique_users: Column | None = None) -> DataFrame:
+    """The latest comment and revision are those of the newest (time, revision), so they do not
+    depend on arrival order."""
+    return (
+        wars.withColumn("total_edits", F.col("edits"))
+        .withColumn("reverts_count", F.col("reverts"))
+        .withColumn("unique_users", _count("users") if unique_users is None else unique_users)
+        .withColumn("combatants", _joined("users", ", "))
         .withColumn("latest_comment", F.col("latest.comment"))
         .withColumn("latest_revision", F.col("latest.revision_id"))
     )
@@ -128,17 +157,18 @@ def edit_wars(
     name order, latest comment and revision, and reverts; kept when edits and reverts reach
     their minimum. ``exact=False`` counts the users with HyperLogLog++.
     """
-    if edits.isStreaming:
-        windowed = (
-            edits.withWatermark(time_col, watermark)
-            .withColumn("reverts", text.revert_flag("comment", revert_pattern))
-            .withColumn("edits", F.col("user").isNotNull().cast("bigint"))
-            .withColumn("latest", F.struct(time_col, "revision_id", "comment"))
-            .withColumn("window", F.window(time_col, size, slide))
+    if edits.isStreaming or not exact:
+        rows, key = _window_rows(
+            _war_facts(edits, time_col, revert_pattern), size, slide, time_col, watermark
         )
+        wars = rows.groupBy(*key, "title").agg(
+            *_war_aggregates(),
+            *([] if exact else [F.approx_count_distinct("user").alias("approx_users")]),
+        )
+        wars = _war_columns(wars, None if exact else F.col("approx_users"))
     else:
-        windowed = in_windows(war_panes(edits, size, slide, time_col, revert_pattern), size, slide)
-    wars = war_totals(windowed, STREAM_KEY if edits.isStreaming else STATIC_KEY, exact)
+        panes = war_panes(edits, size, slide, time_col, revert_pattern)
+        wars = war_totals(in_windows(panes, size, slide), STATIC_KEY)
     return _flat(wars.filter(war_condition(min_edits, min_reverts, min_users)), WAR_COLUMNS)
 
 
@@ -154,11 +184,14 @@ def war_members(
     time_col: str = "ts",
 ) -> DataFrame:
     """The parties of the edit wars as rows: (window, title, user) with the user's edits and
-    reverts and the totals of the war. No cell holds a list, so this is the form for pages
-    with a very large number of editors in one window. Static tables only.
+    reverts and the totals of the war. No cell holds a list and the grouping spreads a page
+    over its users, so this is the form for pages with a very large number of editors in one
+    window. Static tables only.
     """
+    facts = _war_facts(edits, time_col, revert_pattern)
+    panes = _panes(facts, size, slide, time_col, ["title", "user"], _war_counts())
     per_user = (
-        in_windows(war_panes(edits, size, slide, time_col, revert_pattern), size, slide)
+        in_windows(panes, size, slide)
         .groupBy(*STATIC_KEY, "title", "user")
         .agg(F.sum("edits").alias("user_edits"), F.sum("reverts").alias("user_reverts"))
     )
@@ -185,33 +218,58 @@ EDITOR_COLUMNS = [
 ]
 
 
-def editor_panes(
-    edits: DataFrame, size: str = SIZE, slide: str = SLIDE, time_col: str = "ts"
-) -> DataFrame:
-    """Edits, summed length change and latest flags per (pane, user, language)."""
-    aggs = [
+def _editor_aggregates(time_col: str) -> list[Column]:
+    return [
         F.count("*").alias("edits"),
         F.sum("length_diff").alias("length_sum"),
         F.max(F.struct(time_col, "revision_id", "is_bot", "is_suspicious")).alias("latest"),
+        F.collect_set("wiki_lang").alias("langs"),
     ]
-    return _panes(edits, size, slide, time_col, ["user", "wiki_lang"], aggs)
 
 
-def editor_totals(rows: DataFrame, by: list[str], *extra: Column) -> DataFrame:
-    """Editor columns per (``by``, user) from pane rows. The mean divides by all edits, also
-    those without a length."""
-    return (
-        rows.groupBy(*by, "user")
-        .agg(
-            F.sum("edits").alias("edit_count"),
-            F.max("latest").alias("latest"),
+def editor_panes(
+    edits: DataFrame, size: str = SIZE, slide: str = SLIDE, time_col: str = "ts"
+) -> DataFrame:
+    """Edits, summed length change, latest flags and languages per (pane, user)."""
+    return _panes(edits, size, slide, time_col, ["user"], _editor_aggregates(time_col))
+
+
+def busy_editors(panes: DataFrame, size: str, min_edits: int) -> DataFrame:
+    """Without the panes that cannot be in any window of ``min_edits`` edits: all windows over a
+    pane lie within ``size`` of it on either side, so their edits are at most the user's edits
+    in that stretch. Most users edit once or twice, and their rows need not be copied into
+    windows at all. A user has one row per pane here, whatever the number of edits.
+    """
+    reach = duration_micros(size)
+    near = (
+        Window.partitionBy("user")
+        .orderBy(event_micros(panes, "pane"))
+        .rangeBetween(-reach, reach)
+    )
+    return panes.withColumn("near", F.sum("edits").over(near)).filter(F.col("near") >= min_edits).drop("near")
+
+
+def editor_totals(panes: DataFrame, by: list[str], *extra: Column) -> DataFrame:
+    """Editor columns per (``by``, user) from pane rows."""
+    return _editor_columns(
+        panes.groupBy(*by, "user").agg(
+            F.sum("edits").alias("edits"),
             F.sum("length_sum").alias("length_sum"),
-            _joined("wiki_lang", ", ").alias("langs_edited"),
+            F.max("latest").alias("latest"),
+            _merged("langs").alias("langs"),
             *extra,
         )
+    )
+
+
+def _editor_columns(editors: DataFrame) -> DataFrame:
+    """The mean divides by all edits, also those without a length."""
+    return (
+        editors.withColumn("edit_count", F.col("edits"))
         .withColumn("is_bot_flag", F.col("latest.is_bot"))
         .withColumn("is_suspicious_flag", F.col("latest.is_suspicious"))
-        .withColumn("avg_length_diff", F.col("length_sum") / F.col("edit_count"))
+        .withColumn("avg_length_diff", F.col("length_sum") / F.col("edits"))
+        .withColumn("langs_edited", _joined("langs", ", "))
     )
 
 
@@ -227,16 +285,11 @@ def super_editors(
     """Very active users: per (window, user) the edits, latest flags, mean length change and
     languages joined in name order; kept from ``min_edits`` edits on."""
     if edits.isStreaming:
-        windowed = (
-            edits.withWatermark(time_col, watermark)
-            .withColumn("edits", F.lit(1).cast("bigint"))
-            .withColumn("length_sum", F.col("length_diff"))
-            .withColumn("latest", F.struct(time_col, "revision_id", "is_bot", "is_suspicious"))
-            .withColumn("window", F.window(time_col, size, slide))
-        )
+        rows, key = _window_rows(edits, size, slide, time_col, watermark)
+        editors = _editor_columns(rows.groupBy(*key, "user").agg(*_editor_aggregates(time_col)))
     else:
-        windowed = in_windows(editor_panes(edits, size, slide, time_col), size, slide)
-    editors = editor_totals(windowed, STREAM_KEY if edits.isStreaming else STATIC_KEY)
+        panes = busy_editors(editor_panes(edits, size, slide, time_col), size, min_edits)
+        editors = editor_totals(in_windows(panes, size, slide), STATIC_KEY)
     return _flat(editors.filter(F.col("edit_count") >= min_edits), EDITOR_COLUMNS)
 
 
@@ -245,6 +298,10 @@ def super_editors(
 TOPIC_COLUMNS = ["topic", "article_count", "total_edits", "sample_titles"]
 
 
+def _topic_aggregates() -> list[Column]:
+    return [F.count("*").alias("edits"), F.collect_set("title").alias("titles")]
+
+
 def topic_panes(
     edits: DataFrame,
     size: str = SIZE,
@@ -252,20 +309,25 @@ def topic_panes(
     time_col: str = "ts",
     separators: str = "[ _]",
 ) -> DataFrame:
-    """Edits per (pane, topic, title)."""
+    """Edits and titles per (pane, topic)."""
     topics = edits.withColumn("topic", text.topic_key("title", separators))
-    return _panes(
-        topics, size, slide, time_col, ["topic", "title"], [F.count("*").alias("edits")]
-    )
+    return _panes(topics, size, slide, time_col, ["topic"], _topic_aggregates())
 
 
-def topic_totals(rows: DataFrame, by: list[str], exact: bool = True, *extra: Column) -> DataFrame:
+def topic_totals(panes: DataFrame, by: list[str], *extra: Column) -> DataFrame:
     """Topic columns per (``by``, topic) from pane rows."""
-    return rows.groupBy(*by, "topic").agg(
-        _members("title", exact).alias("article_count"),
-        F.sum("edits").alias("total_edits"),
-        _joined("title", " | ").alias("sample_titles"),
-        *extra,
+    return _topic_columns(
+        panes.groupBy(*by, "topic").agg(
+            F.sum("edits").alias("edits"), _merged("titles").alias("titles"), *extra
+        )
+    )
+
+
+def _topic_columns(topics: DataFrame, article_count: Column | None = None) -> DataFrame:
+    return (
+        topics.withColumn("total_edits", F.col("edits"))
+        .withColumn("article_count", _count("titles") if article_count is None else article_count)
+        .withColumn("sample_titles", _joined("titles", " | "))
     )
 
 
@@ -282,16 +344,17 @@ def topic_trends(
 ) -> DataFrame:
     """Topics (first title word) spread over several pages: per (window, topic) the distinct
     titles, edits, and titles joined in name order; kept from ``min_articles`` titles on."""
-    if edits.isStreaming:
-        windowed = (
-            edits.withWatermark(time_col, watermark)
-            .withColumn("topic", text.topic_key("title", separators))
-            .withColumn("edits", F.lit(1).cast("bigint"))
-            .withColumn("window", F.window(time_col, size, slide))
+    if edits.isStreaming or not exact:
+        topics = edits.withColumn("topic", text.topic_key("title", separators))
+        rows, key = _window_rows(topics, size, slide, time_col, watermark)
+        topics = rows.groupBy(*key, "topic").agg(
+            *_topic_aggregates(),
+            *([] if exact else [F.approx_count_distinct("title").alias("approx_titles")]),
         )
+        topics = _topic_columns(topics, None if exact else F.col("approx_titles"))
     else:
-        windowed = in_windows(topic_panes(edits, size, slide, time_col, separators), size, slide)
-    topics = topic_totals(windowed, STREAM_KEY if edits.isStreaming else STATIC_KEY, exact)
+        panes = topic_panes(edits, size, slide, time_col, separators)
+        topics = topic_totals(in_windows(panes, size, slide), STATIC_KEY)
     return _flat(topics.filter(F.col("article_count") >= min_articles), TOPIC_COLUMNS)
 
 

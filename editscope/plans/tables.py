@@ -161,7 +161,7 @@ def war_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     size, slide = WAR_WINDOW
     rows = edits(spark, sf_dir).filter(text.is_content_title("title"))
     totals = windows.war_totals(
-        _replay(windows.war_panes(rows, size, slide), size, slide), _BY, True, _newest()
+        _replay(windows.war_panes(rows, size, slide), size, slide), _BY, _newest()
     ).filter(windows.war_condition())
     return _history(totals, windows.WAR_COLUMNS, slide)
 
@@ -169,9 +169,10 @@ def war_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def editor_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     size, slide = EDITOR_WINDOW
     rows = flagged_edits(spark, sf_dir).filter(text.is_content_title("title"))
-    totals = windows.editor_totals(
-        _replay(windows.editor_panes(rows, size, slide), size, slide), _BY, _newest()
-    ).filter(F.col("edit_count") >= 3)
+    panes = windows.busy_editors(windows.editor_panes(rows, size, slide), size, 3)
+    totals = windows.editor_totals(_replay(panes, size, slide), _BY, _newest()).filter(
+        F.col("edit_count") >= 3
+    )
     return _history(totals, windows.EDITOR_COLUMNS, slide)
 
 
@@ -179,6 +180,6 @@ def topic_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     size, slide = WAR_WINDOW
     rows = edits(spark, sf_dir).filter(text.is_content_title("title"))
     totals = windows.topic_totals(
-        _replay(windows.topic_panes(rows, size, slide), size, slide), _BY, True, _newest()
+        _replay(windows.topic_panes(rows, size, slide), size, slide), _BY, _newest()
     ).filter(F.col("article_count") >= 2)
     return _history(totals, windows.TOPIC_COLUMNS, slide)

@@ -52,5 +52,5 @@ def to_csv_line(*columns: str) -> Column:
 
 def parse_csv_lines(lines: DataFrame, schema: str, *bounds: str) -> DataFrame:
     """The history held in the text column ``value``, one CSV line per row, no header."""
-    rows = lines.select(F.from_csv("value", schema, CSV_READ).alias("r")).select("r.*")
+    rows = lines.select(F.inline(F.array(F.from_csv("value", schema, CSV_READ))))
     return valid_times(rows, *bounds)

@@ -27,7 +27,7 @@ def suspicious_flag_stream(
     bot_col: str = "is_bot",
     out: str = "is_suspicious",
     watermark: str = "5 minutes",
-    cells_per_bucket: int = 16,
+    cells_per_bucket: int = 8,
 ) -> DataFrame:
     """Streaming form of ``suspicious_flag`` with the same flags for edits that arrive in order.
 
