@@ -6,7 +6,7 @@ filter over the whole edit table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import _col
@@ -34,10 +34,7 @@ def _v6_groups_text(c: Column) -> Column:
     return F.when(quad != "", F.concat(head, as_groups)).otherwise(address)
 
 
-def is_ipv6(c: Column | str) -> Column:
-    """Eight groups, or fewer with one ``::``; an optional zone after ``%``. Null gives false."""
-    text = _col(c)
-    groups = _v6_groups_text(text)
+def _is_v6(text: Column, groups: Column) -> Column:
     zone_ok = ~text.contains("%") | text.rlike(r"^[^%/]*%[^%/]+\z")
     full = groups.rlike(rf"^{_GROUP}(?::{_GROUP}){{7}}\z")
     short = groups.rlike(rf"^(?:{_GROUPS})?::(?:{_GROUPS})?\z") & (
@@ -46,6 +43,14 @@ def is_ipv6(c: Column | str) -> Column:
     return F.coalesce(text.contains(":") & zone_ok & (full | short), F.lit(False))
 
 
+def is_ipv6(c: Column | str) -> Column:
+    """Eight groups, or fewer with one ``::``; an optional zone after ``%``. Null gives false.
+
+    Everything behind the test for a colon is skipped for texts without one.
+    """
+    return _is_v6(_col(c), _v6_groups_text(_col(c)))
+
+
 def is_ip(c: Column | str) -> Column:
     """True for a valid IPv4 or IPv6 literal."""
     return is_ipv4(c) | is_ipv6(c)
@@ -56,47 +61,46 @@ def looks_like_ip(c: Column | str) -> Column:
     return F.coalesce(_col(c).rlike(r"^[0-9.]+\z") | _col(c).contains(":"), F.lit(False))
 
 
-def ip_family(c: Column | str) -> Column:
-    """4, 6, or null when the text is not an address."""
-    return F.when(is_ipv4(c), 4).when(is_ipv6(c), 6)
-
-
-def _v4_number(c: Column) -> Column:
-    octets = F.split(c, r"\.")
-    number = F.lit(0).cast("bigint")
+def with_ip_number(rows: DataFrame, column: str) -> DataFrame:
+    """Add ``family`` (4, 6, or null when the text is no address) and the address as two signed
+    bigints: ``high``, its first 64 bits, and ``low``, the rest. An IPv4 address fills the top
+    32 bits of ``high``. Done in steps, so that each part is computed once.
+    """
+    text = F.col(column)
+    octets, groups = F.col("_octets"), F.col("_groups")
+    v4 = F.lit(0).cast("bigint")
     for i in (1, 2, 3, 4):
-        number = number * 256 + F.try_element_at(octets, F.lit(i)).try_cast("bigint")
-    return number
-
-
-def _v6_half(c: Column, start: int) -> Column:
-    """Signed 64-bit half of an IPv6 address; ``start`` is 1 (high) or 5 (low)."""
-    text = _v6_groups_text(c)
-    left = F.filter(F.split(F.substring_index(text, "::", 1), ":"), lambda g: g != "")
-    right = F.when(
-        F.instr(text, "::") > 0,
-        F.filter(F.split(F.substring_index(text, "::", -1), ":"), lambda g: g != ""),
-    ).otherwise(F.array().cast("array<string>"))
-    gap = F.greatest(F.lit(8) - F.size(left) - F.size(right), F.lit(0))
-    groups = F.concat(left, F.array_repeat(F.lit("0"), gap), right)
-    digits = F.array_join(F.transform(F.slice(groups, start, 4), lambda g: F.lpad(g, 4, "0")), "")
-    return F.conv(digits, 16, -10).try_cast("bigint")
-
-
-def ip_high(c: Column | str) -> Column:
-    """First 64 bits as a signed bigint; an IPv4 address fills the top 32 of them."""
-    text = _col(c)
-    return F.when(is_ipv4(text), F.shiftleft(_v4_number(text), 32)).when(
-        is_ipv6(text), _v6_half(text, 1)
+        v4 = v4 * 256 + F.try_element_at(octets, F.lit(i)).try_cast("bigint")
+
+    def filled(part: Column) -> Column:
+        return F.filter(F.split(part, ":"), lambda g: g != "")
+
+    def half(start: int) -> Column:
+        return F.conv(F.substring("_digits", start, 16), 16, -10).try_cast("bigint")
+
+    gap = F.greatest(F.lit(8) - F.size("_left") - F.size("_right"), F.lit(0))
+    padded = F.concat("_left", F.array_repeat(F.lit("0"), gap), "_right")
+    zero = F.lit(0).cast("bigint")
+    return (
+        rows.withColumn("_groups", F.when(text.contains(":"), _v6_groups_text(text)))
+        .withColumn("family", F.when(is_ipv4(text), 4).when(_is_v6(text, groups), 6))
+        .withColumn("_octets", F.when(F.col("family") == 4, F.split(text, r"\.")))
+        .withColumn("_left", filled(F.substring_index(groups, "::", 1)))
+        .withColumn(
+            "_right",
+            F.when(groups.contains("::"), filled(F.substring_index(groups, "::", -1))).otherwise(
+                F.array().cast("array<string>")
+            ),
+        )
+        .withColumn("_digits", F.array_join(F.transform(padded, lambda g: F.lpad(g, 4, "0")), ""))
+        .withColumn(
+            "high", F.when(F.col("family") == 4, F.shiftleft(v4, 32)).when(F.col("family") == 6, half(1))
+        )
+        .withColumn("low", F.when(F.col("family") == 4, zero).when(F.col("family") == 6, half(17)))
+        .drop("_groups", "_octets", "_left", "_right", "_digits")
     )
 
 
-def ip_low(c: Column | str) -> Column:
-    """Last 64 bits as a signed bigint; 0 for IPv4."""
-    text = _col(c)
-    return F.when(is_ipv4(text), F.lit(0).cast("bigint")).when(is_ipv6(text), _v6_half(text, 5))
-
-
 def prefix_high(high: Column, prefix_len: Column) -> Column:
     """The network part of the first 64 bits."""
     ones = F.lit(-1).cast("bigint")

@@ -83,6 +83,16 @@ def empty_geo(spark) -> DataFrame:
     return spark.createDataFrame([], GEO)
 
 
+def _network_key() -> list:
+    length = F.col("prefix_len")
+    return [
+        "family",
+        "prefix_len",
+        ip.prefix_high(F.col("high"), length).alias("net_high"),
+        ip.prefix_low(F.col("low"), length).alias("net_low"),
+    ]
+
+
 def network_lookup(ips: DataFrame, networks: DataFrame) -> DataFrame:
     """The most specific network holding each address: ``ip, prefix_len, lat, lon``.
 
@@ -91,40 +101,15 @@ def network_lookup(ips: DataFrame, networks: DataFrame) -> DataFrame:
     most) and joined on equality, so the work is addresses times lengths and no group of
     addresses is ever paired with a group of networks.
     """
-    spans = networks.select(
-        ip.ip_family("net_start").alias("family"),
-        ip.ip_high("net_start").alias("high"),
-        ip.ip_low("net_start").alias("low"),
-        "prefix_len",
-        "lat",
-        "lon",
-    )
-    nets = spans.filter(F.col("family").isNotNull()).select(
-        "family",
-        "prefix_len",
-        ip.prefix_high(F.col("high"), F.col("prefix_len")).alias("net_high"),
-        ip.prefix_low(F.col("low"), F.col("prefix_len")).alias("net_low"),
-        "lat",
-        "lon",
-    )
+    spans = ip.with_ip_number(networks, "net_start").filter(F.col("family").isNotNull())
+    nets = spans.select(*_network_key(), "lat", "lon")
     lengths = nets.agg(F.collect_set(F.struct("family", "prefix_len"))).scalar()
-    addresses = (
-        ips.select("ip")
-        .distinct()
-        .withColumn("family", ip.ip_family("ip"))
-        .filter(F.col("family").isNotNull())
-        .withColumn("high", ip.ip_high("ip"))
-        .withColumn("low", ip.ip_low("ip"))
+    cut = (
+        ip.with_ip_number(ips.select("ip").distinct(), "ip")
         .withColumn("length", F.explode(lengths))
         .filter(F.col("length.family") == F.col("family"))
         .withColumn("prefix_len", F.col("length.prefix_len"))
-    )
-    cut = addresses.select(
-        "ip",
-        "family",
-        "prefix_len",
-        ip.prefix_high(F.col("high"), F.col("prefix_len")).alias("net_high"),
-        ip.prefix_low(F.col("low"), F.col("prefix_len")).alias("net_low"),
+        .select("ip", *_network_key())
     )
     best = F.max(F.struct("prefix_len", "lat", "lon")).alias("best")
     return (

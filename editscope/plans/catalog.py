@@ -126,6 +126,20 @@ def suspicious_flag(spark, sf_dir):
     return t.flagged_edits(spark, sf_dir).select("event_id", "user", "is_suspicious")
 
 
+def suspicious_flag_60s(spark, sf_dir):
+    """Ten edits in a minute, the operator's own defaults."""
+    return rate.suspicious_flag(t.edits(spark, sf_dir)).select("event_id", "user", "is_suspicious")
+
+
+def feed_to_edits(spark, sf_dir):
+    """The whole way of an edit: feed lines, rate flag, coordinates, message, edit table."""
+    parsed = normalize.parse_feed(feed_lines(spark, sf_dir))
+    flagged = rate.suspicious_flag(parsed, **t.RATE, id_col="revision_id")
+    located = geo.geo_enrich(flagged, t.geo(spark, sf_dir))
+    decoded = normalize.decode_edits(normalize.encode_edits(located))
+    return decoded.withColumn("event_second", F.unix_seconds("ts")).drop("ts", "time")
+
+
 # ---- geolocation and map -----------------------------------------------------------------
 
 
@@ -200,6 +214,20 @@ def super_editors(spark, sf_dir):
     return windows.super_editors(rows, *t.EDITOR_WINDOW)
 
 
+def edit_wars_5m(spark, sf_dir):
+    """Windows of five minutes every minute, the operators' own defaults."""
+    return windows.edit_wars(_content(spark, sf_dir))
+
+
+def super_editors_5m(spark, sf_dir):
+    rows = t.flagged_edits(spark, sf_dir).filter(text.is_content_title("title"))
+    return windows.super_editors(rows)
+
+
+def topic_trends_5m(spark, sf_dir):
+    return windows.topic_trends(_content(spark, sf_dir))
+
+
 def super_editors_top50(spark, sf_dir):
     return windows.top_editors_of_batch(super_editors(spark, sf_dir))
 
@@ -311,10 +339,10 @@ QUERIES: dict[str, Query] = {
     for q in (
         edit_wars, edit_wars_approx, edit_wars_min_users, edit_wars_members, edit_wars_by_edits,
         super_editors, super_editors_top50, super_editors_top_per_window,
-        topic_trends, topic_trends_top20,
+        topic_trends, topic_trends_top20, edit_wars_5m, super_editors_5m, topic_trends_5m,
         feed_parse, edit_to_json, json_decode, wiki_lang, editor_type, editor_type_v1,
         title_filter, revert_flag, revert_flag_documents, topic_key, is_ip, raw_edits,
-        suspicious_flag,
+        suspicious_flag, suspicious_flag_60s, feed_to_edits,
         geo_enrich, geo_missing, geo_upsert, geo_range, geo_range_enrich,
         map_points, map_last_n, map_lang_top10, map_summary,
         hist_read, latest_versions, hist_war_peaks, hist_editor_peaks, hist_topic_peaks,

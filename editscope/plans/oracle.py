@@ -212,6 +212,34 @@ FROM editors QUALIFY place <= 5""",
     "topic_trends": TOPICS + " SELECT * FROM topics",
     "topic_trends_top20": TOPICS
     + " SELECT * FROM topics ORDER BY total_edits DESC, start_time, topic LIMIT 20",
+    "edit_wars_5m": with_(
+        EDITS, CONTENT, windowed("content", "5 minutes", "1 minute", 5),
+        totals("wars", WAR_AGGREGATES, "title", WAR_HAVING),
+    ) + " SELECT * FROM wars",
+    "super_editors_5m": with_(
+        EDITS, FLAGGED, FLAGGED_CONTENT, windowed("flagged_content", "5 minutes", "1 minute", 5),
+        totals("editors", EDITOR_AGGREGATES, '"user"', "edit_count >= 3"),
+    ) + " SELECT * FROM editors",
+    "topic_trends_5m": with_(
+        EDITS, CONTENT, windowed("content", "5 minutes", "1 minute", 5),
+        totals("topics", TOPIC_AGGREGATES, "topic", "article_count >= 2"),
+    ) + " SELECT * FROM topics",
+    "suspicious_flag_60s": with_(EDITS) + """
+SELECT event_id, "user", coalesce(NOT is_bot AND lag(ts, 9) OVER (
+    PARTITION BY "user", is_bot ORDER BY ts, event_id) > ts - INTERVAL 60 SECOND, false) AS is_suspicious
+FROM edits""",
+    "feed_to_edits": with_(EDITS, ANSWERS) + """, sent AS (
+  SELECT *, date_trunc('second', ts) AS second FROM edits WHERE event_type <> 'view'
+), flagged AS (
+  SELECT *, coalesce(NOT is_bot AND lag(second, 2) OVER (
+      PARTITION BY "user", is_bot ORDER BY second, revision_id) > second - INTERVAL 6 HOUR, false) AS is_suspicious
+  FROM sent
+)
+SELECT epoch_us(second) // 1000000 AS event_second, "user", is_bot, is_suspicious, title, wiki_lang,
+  length_diff, coalesce(comment, '') AS comment, revision_id, is_minor, lat, lon,
+  CASE WHEN is_suspicious THEN 'SUSPECTED_BOT' WHEN is_bot THEN 'BOT' ELSE 'HUMAN' END AS editor_type
+FROM flagged LEFT JOIN geo ON "user" = ip
+WHERE NOT starts_with(title, 'Category:') AND NOT starts_with(title, 'Talk:')""",
     "feed_parse": with_(EDITS) + """
 SELECT epoch_us(ts) // 1000000 AS event_second, "user", is_bot, title, wiki_lang, length_diff,
   coalesce(comment, '') AS comment, revision_id, is_minor
