@@ -25,7 +25,7 @@ def suspicious_flag(
 ) -> DataFrame:
     """Add ``out``: true when a non-bot has ``n`` edits in ``(ts - seconds, ts]``, this one
     included. Bots are neither tested nor counted; rows without a user or time are false.
-    Equal times are taken in ``id_col`` order.
+    Equal times are taken in the order of ``id_col``, a unique whole number.
 
     An edit reaches the rate exactly when the edit ``n - 1`` places before it is young enough.
     So one lag over (user, time bucket) decides, with the last ``seconds`` of a bucket copied
@@ -97,17 +97,23 @@ def _hot_cell_interior(
         .limit(max_hot)
         .select(*cell)
     )
-    busy = tracked.join(F.broadcast(hot), cell)
-
-    # The rank filters become group limits, which cut every map task's rows to n - 1 a cell
-    # before the shuffle.
-    def ends(*order):
-        rank = F.row_number().over(Window.partitionBy(*cell).orderBy(*order))
-        return busy.withColumn("_rank", rank).filter(F.col("_rank") <= n - 1)
-
-    place = F.struct("_us", id_col)
-    head = ends("_us", id_col).groupBy(cell).agg(F.max(place).alias("_head_end"))
-    tail = (
-        ends(F.desc("_us"), F.desc(id_col)).groupBy(cell).agg(F.min(place).alias("_tail_start"))
+    # One pass finds both ends: each row stands for itself and for its mirror image, whose order
+    # is reversed. The rank filter becomes a group limit, which cuts every map task's rows
+    # to n - 1 a cell and side before the shuffle.
+    mirrored = F.array(
+        F.struct(F.lit(True).alias("head"), F.col("_us").alias("us"), F.col(id_col).alias("id")),
+        F.struct(
+            F.lit(False).alias("head"),
+            F.bitwise_not("_us").alias("us"),
+            F.bitwise_not(id_col).alias("id"),
+        ),
+    )
+    sides = tracked.join(F.broadcast(hot), cell).select(*cell, F.inline(mirrored))
+    rank = F.row_number().over(Window.partitionBy(*cell, "head").orderBy("us", "id"))
+    ends = sides.withColumn("_rank", rank).filter(F.col("_rank") <= n - 1)
+    place = F.struct("us", "id")
+    back = F.struct(F.bitwise_not("us").alias("us"), F.bitwise_not("id").alias("id"))
+    return ends.groupBy(cell).agg(
+        F.max(F.when(F.col("head"), place)).alias("_head_end"),
+        F.min(F.when(~F.col("head"), back)).alias("_tail_start"),
     )
-    return head.join(tail, cell)

@@ -32,13 +32,14 @@ def valid_times(rows: DataFrame, *bounds: str) -> DataFrame:
 def read_history(
     spark: SparkSession, path: str | list[str], schema: str, *bounds: str
 ) -> DataFrame:
-    """All result files under ``path`` as one table; unreadable files are skipped.
+    """All result files of a folder or pattern as one table; unreadable files are skipped.
+    ``batch_id`` comes from the files or, for the folders of a sink, from their names.
 
     ``bounds`` names the times a row must have: both for edit wars, the start otherwise.
     """
     rows = (
         spark.read.schema(schema)
-        .options(header=True, recursiveFileLookup=True, **CSV_READ)
+        .options(header=True, **CSV_READ)
         .option("ignoreCorruptFiles", True)
         .csv(path)
     )

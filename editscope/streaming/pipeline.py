@@ -34,13 +34,18 @@ def run_batches(
 
 
 def land(
-    stream: DataFrame, path: str, checkpoint: str, trigger: dict = MAP_TRIGGER
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict = MAP_TRIGGER,
+    partition_by: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Append a stream (parsed edits, the raw edit log, JSON messages) to a Parquet table, so
     that feeds are parsed once and later jobs push their filters into the scan."""
     return (
         stream.writeStream.outputMode("append")
         .format("parquet")
+        .partitionBy(*partition_by)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
@@ -80,7 +85,8 @@ def start_results(
 
     Without ``checkpoints`` they go below the folder the cluster names. Editors and topics keep
     the top rows of each micro-batch; ``None`` keeps all of them.
-    ``run_id`` names the series of batch numbers, so it changes with the checkpoint only.
+    ``run_id`` names the series of batch numbers, so it changes with the checkpoint only. The
+    caller waits with ``spark.streams.awaitAnyTermination()``, which raises a query's error.
     """
 
     def sink(name: str, shape: Callable[[DataFrame], DataFrame] | None = None) -> Sink:
@@ -106,14 +112,6 @@ def start_results(
     ]
 
 
-def await_any(spark: SparkSession, queries: list[StreamingQuery]) -> None:
-    """Wait until one query stops. A failed one raises its error here."""
-    spark.streams.awaitAnyTermination()
-    for query in queries:
-        if not query.isActive and query.exception():
-            raise query.exception()
-
-
 # ---- addresses ---------------------------------------------------------------------------
 
 
@@ -125,15 +123,18 @@ def prepare_geo(spark: SparkSession, path: str) -> None:
     empty.write.mode("ignore").partitionBy("run_id", "batch_id").parquet(path)
 
 
-def read_geo(spark: SparkSession, path: str, run_id: str, before: int) -> DataFrame:
-    """The address table as it stood before batch ``before`` of this run, one row per ip.
-
-    A repeated batch does not see what its first try stored, so it gives the same answers.
-    """
+def read_geo(
+    spark: SparkSession, path: str, run_id: str, before: int, ips: DataFrame | None = None
+) -> DataFrame:
+    """The address table as it stood before batch ``before`` of this run, one row per ip, for
+    all addresses or for ``ips`` only. A repeated batch does not see what its first try stored,
+    so it gives the same answers."""
     stored = spark.read.schema(f"{GEO}, run_id string, batch_id bigint").parquet(path)
-    earlier = (F.col("run_id") != run_id) | (F.col("batch_id") < before)
+    rows = stored.filter((F.col("run_id") != run_id) | (F.col("batch_id") < before))
+    if ips is not None:
+        rows = rows.join(ips, "ip", "left_semi")
     newest = F.max_by(F.struct("lat", "lon"), F.struct("run_id", "batch_id")).alias("g")
-    return stored.filter(earlier).groupBy("ip").agg(newest).select("ip", "g.lat", "g.lon")
+    return rows.groupBy("ip").agg(newest).select("ip", "g.lat", "g.lon")
 
 
 def geo_sink(
@@ -150,7 +151,7 @@ def geo_sink(
         spark = batch.sparkSession
         edits = batch.persist()
         try:
-            known = read_geo(spark, geo_path, run_id, batch_id)
+            known = read_geo(spark, geo_path, run_id, batch_id, geo.edit_ips(edits))
             missing = geo.geo_missing(edits, known)
             answers = geo.resolve(missing, resolver).filter(F.col("status") == geo.SUCCESS)
             folder = batch_folder(geo_path, run_id, batch_id)

@@ -23,7 +23,7 @@ def rows(spark):
 
 def test_csv_files_round_trip(spark, tmp_path):
     rows(spark).repartition(3).write.options(header=True, **history.CSV_WRITE).csv(str(tmp_path / "a"))
-    got = history.read_history(spark, str(tmp_path), schemas.EDIT_WARS, "start_time", "end_time")
+    got = history.read_history(spark, str(tmp_path / "a"), schemas.EDIT_WARS, "start_time", "end_time")
     assert sorted(map(str, got.collect())) == sorted(map(str, rows(spark).collect()))
 
 

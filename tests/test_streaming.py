@@ -6,8 +6,10 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from editscope import schemas
+from editscope.operators import history as results
 from editscope.operators import normalize, rate, windows
-from editscope.sources import feed
+from editscope.sources import feed, history
 from editscope.streaming import pipeline, rate_state, sinks
 
 from .edits import SCHEMA, at, edit, random_edits, table
@@ -136,6 +138,18 @@ def test_sinks(spark, tmp_path):
     assert [r.event_id for r in spark.read.parquet(f"{tmp_path}/snap").collect()] == [2]
 
 
+def test_csv_history_of_a_sink_reads_back(spark, landing, tmp_path):
+    rows = in_order(16)
+    landing.add(rows[:120])
+    landing.add(rows[120:])
+    run(windows.edit_wars(landing.stream()), sinks.partition_sink(f"{tmp_path}/out", "r7", "csv"), tmp_path / "cp")
+    got = history.read_history(spark, f"{tmp_path}/out", schemas.EDIT_WARS, "start_time", "end_time")
+    assert {r.run_id for r in got.collect()} == {"r7"} and got.filter("batch_id is null").count() == 0
+    last = results.latest_versions(got, ["start_time", "title"], ["run_id", "batch_id"])
+    expected = windows.edit_wars(table(spark, rows))
+    assert plain(last.select(expected.columns)) == plain(expected)
+
+
 def test_four_queries_from_landed_edits(spark, landing, tmp_path):
     rows = in_order(13)
     for i in range(0, 240, 120):
