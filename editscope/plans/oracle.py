@@ -9,6 +9,9 @@ from __future__ import annotations
 from ..functions.text import REVERT_PATTERN, SITE
 from .catalog import AS_OF
 
+OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+IS_IP = f"""regexp_full_match("user", '({OCTET}\\.){{3}}{OCTET}')"""
+
 EDITS = """
 edits AS (
   SELECT event_id, ts, user_id, event_type,
@@ -49,7 +52,7 @@ ANSWERS = """
 answers AS (
   SELECT DISTINCT "user" AS ip, CASE WHEN user_id % 3 = 0 THEN 'fail' ELSE 'success' END AS status,
     ((user_id * 7) % 180 - 90)::DOUBLE AS lat, ((user_id * 13) % 360 - 180)::DOUBLE AS lon
-  FROM edits WHERE user_id % 5 = 1
+  FROM edits WHERE """ + IS_IP + """
 ), geo AS (SELECT ip, lat, lon FROM answers WHERE status = 'success')"""
 
 POINTS = """
@@ -68,7 +71,7 @@ nets AS (
 ), located AS (
   SELECT ip, max(prefix_len)::INT AS prefix_len,
     arg_max(lat, prefix_len) AS lat, arg_max(lon, prefix_len) AS lon
-  FROM (SELECT DISTINCT "user" AS ip, user_id FROM edits WHERE user_id % 5 = 1) a
+  FROM (SELECT DISTINCT "user" AS ip, user_id FROM edits WHERE """ + IS_IP + """) a
   JOIN nets ON user_id BETWEEN first AND last
   GROUP BY ip
 )"""
@@ -277,7 +280,7 @@ SELECT doc_id,
 FROM documents""",
     "topic_key": with_(EDITS)
     + " SELECT event_id, regexp_split_to_array(title, '[ _]')[1] AS topic FROM edits",
-    "is_ip": with_(EDITS) + ' SELECT event_id, "user", user_id % 5 = 1 AS is_ip FROM edits',
+    "is_ip": with_(EDITS) + f' SELECT event_id, "user", {IS_IP} AS is_ip FROM edits',
     "raw_edits": with_(EDITS) + """
 SELECT ts AS time, "user", is_bot, title, length_diff,
   CASE WHEN is_bot THEN 'BOT' ELSE 'HUMAN' END AS editor_type,
@@ -288,9 +291,9 @@ FROM edits""",
     + ' SELECT event_id, "user", is_suspicious FROM flagged',
     "geo_enrich": GEO + """
 SELECT event_id, "user", lat, lon FROM edits LEFT JOIN geo ON "user" = ip""",
-    "geo_missing": GEO + """
+    "geo_missing": GEO + f"""
 SELECT DISTINCT "user" AS ip FROM edits
-WHERE user_id % 5 = 1 AND "user" NOT IN (SELECT ip FROM geo)""",
+WHERE {IS_IP} AND "user" NOT IN (SELECT ip FROM geo)""",
     "geo_upsert": GEO + """
 SELECT ip, CASE WHEN status = 'success' THEN lat ELSE 0.0::DOUBLE END AS lat,
   CASE WHEN status = 'success' THEN lon ELSE 0.0::DOUBLE END AS lon FROM answers""",

@@ -30,16 +30,17 @@ def valid_times(rows: DataFrame, *bounds: str) -> DataFrame:
 
 
 def read_history(
-    spark: SparkSession, path: str | list[str], schema: str, *bounds: str
+    spark: SparkSession, path: str | list[str], schema: str, *bounds: str, escape: str = '"'
 ) -> DataFrame:
     """All result files of a folder or pattern as one table; unreadable files are skipped.
     ``batch_id`` comes from the files or, for the folders of a sink, from their names.
 
-    ``bounds`` names the times a row must have: both for edit wars, the start otherwise.
+    ``bounds`` names the times a row must have: both for edit wars, the start otherwise. Files
+    written with Spark's own CSV defaults quote with a backslash and need ``escape="\\\\"``.
     """
     rows = (
         spark.read.schema(schema)
-        .options(header=True, **CSV_READ)
+        .options(**{**CSV_READ, "header": "true", "escape": escape})
         .option("ignoreCorruptFiles", True)
         .csv(path)
     )

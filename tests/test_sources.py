@@ -27,6 +27,16 @@ def test_csv_files_round_trip(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, rows(spark).collect()))
 
 
+def test_files_of_the_default_writer_read_with_a_backslash(spark, tmp_path):
+    odd = rows(spark).filter("""title not in ('', ' pad ', 'back\\\\slash')""")
+    odd.write.option("header", True).csv(str(tmp_path / "a"))
+    got = history.read_history(
+        spark, str(tmp_path / "a"), schemas.EDIT_WARS, "start_time", "end_time", escape="\\"
+    )
+    assert sorted(map(str, got.collect())) == sorted(map(str, odd.collect()))
+    assert odd.count() == 7
+
+
 def test_damaged_rows_are_dropped(spark, tmp_path):
     header = ",".join(c.split("`")[1] for c in schemas.EDIT_WARS.split(", "))
     good = "2026-05-28T18:10:00.000+02:00,2026-05-28T18:15:00.000+02:00,X,2,2,a,c,5,1,0"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from editscope import schemas
 from editscope.operators import history as results
-from editscope.operators import normalize, rate, windows
+from editscope.operators import geo, normalize, rate, windows
 from editscope.sources import feed, history
 from editscope.streaming import pipeline, rate_state, sinks
 
@@ -232,6 +232,33 @@ def test_resolving_asks_each_address_until_found(spark, landing, tmp_path):
     assert pipeline.read_geo(spark, f"{tmp_path}/geo", "r", 99).count() == 2
 
 
+def test_stream_joins_a_static_address_table(spark, landing, tmp_path):
+    landing.add([edit(1, user="1.1.1.1"), edit(2, user="Alice"), edit(3, user="9.9.9.9")])
+    places = spark.createDataFrame([("1.1.1.1", 1.0, 2.0)], schemas.GEO)
+    located = geo.geo_enrich(landing.stream(), places)
+    run(located, sinks.partition_sink(f"{tmp_path}/out", "r"), tmp_path / "cp", "append")
+    assert {r.event_id: r.lat for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {1: 1.0, 2: None, 3: None}
+
+
+def test_feed_to_located_messages(spark, tmp_path):
+    """Feed lines, rate flag, addresses and messages as one running job."""
+    (tmp_path / "feed").mkdir()
+    events = [{"type": "edit", "user": u, "title": "T", "timestamp": 1_700_000_000 + i, "revision": {"new": i}}
+              for i, u in enumerate(["1.1.1.1"] * 12 + ["Alice"] * 3)]
+    (tmp_path / "feed" / "a.txt").write_text("".join(f"data: {json.dumps(e)}\n\n" for e in events))
+    edits = normalize.parse_feed(feed.stream_text(spark, f"{tmp_path}/feed"))
+    flagged = rate_state.suspicious_flag_stream(edits, id_col="revision_id")
+    pipeline.start_resolving(
+        flagged, f"{tmp_path}/geo", f"{tmp_path}/out", f"{tmp_path}/cp", "r",
+        lambda names: [(n, "success", 5.0, 6.0) for n in names], NOW,
+    ).awaitTermination()
+    located = spark.read.parquet(f"{tmp_path}/out")
+    decoded = normalize.decode_edits(normalize.encode_edits(located)).collect()
+    assert len(decoded) == 15
+    assert sorted(r.revision_id for r in decoded if r.editor_type == "SUSPECTED_BOT") == [9, 10, 11]
+    assert {(r.user, r.lat) for r in decoded} == {("1.1.1.1", 5.0), ("Alice", None)}
+
+
 def test_static_watermark_is_ignored(spark):
     rows = table(spark, random_edits(15)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     assert windows.edit_wars(rows).dtypes[0] == ("start_time", "timestamp_ntz")
