@@ -84,19 +84,22 @@ def with_ip_number(rows: DataFrame, column: str) -> DataFrame:
     return (
         rows.withColumn("_groups", F.when(text.contains(":"), _v6_groups_text(text)))
         .withColumn("family", F.when(is_ipv4(text), 4).when(_is_v6(text, groups), 6))
-        .withColumn("_octets", F.when(F.col("family") == 4, F.split(text, r"\.")))
-        .withColumn("_left", filled(F.substring_index(groups, "::", 1)))
-        .withColumn(
-            "_right",
-            F.when(groups.contains("::"), filled(F.substring_index(groups, "::", -1))).otherwise(
-                F.array().cast("array<string>")
-            ),
+        .withColumns(
+            {
+                "_octets": F.when(F.col("family") == 4, F.split(text, r"\.")),
+                "_left": filled(F.substring_index(groups, "::", 1)),
+                "_right": F.when(
+                    groups.contains("::"), filled(F.substring_index(groups, "::", -1))
+                ).otherwise(F.array().cast("array<string>")),
+            }
         )
         .withColumn("_digits", F.array_join(F.transform(padded, lambda g: F.lpad(g, 4, "0")), ""))
-        .withColumn(
-            "high", F.when(F.col("family") == 4, F.shiftleft(v4, 32)).when(F.col("family") == 6, half(1))
+        .withColumns(
+            {
+                "high": F.when(F.col("family") == 4, F.shiftleft(v4, 32)).when(F.col("family") == 6, half(1)),
+                "low": F.when(F.col("family") == 4, zero).when(F.col("family") == 6, half(17)),
+            }
         )
-        .withColumn("low", F.when(F.col("family") == 4, zero).when(F.col("family") == 6, half(17)))
         .drop("_groups", "_octets", "_left", "_right", "_digits")
     )
 

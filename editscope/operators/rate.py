@@ -39,15 +39,15 @@ def suspicious_flag(
     smaller ones take the plain way, which gives the same flags.
     """
     span = seconds * MICROS
-    rows = (
-        edits.withColumn("_us", event_micros(edits, time_col))
-        .withColumn(
-            "_tracked",
-            ~F.coalesce(F.col(bot_col), F.lit(False))
-            & F.col(user).isNotNull()
-            & F.col("_us").isNotNull(),
-        )
-        .withColumn("_cell", F.when(F.col("_tracked"), floor_div(F.col("_us"), span)))
+    micros = event_micros(edits, time_col)
+    known = F.col(user).isNotNull() & F.col(time_col).isNotNull()
+    tracked = ~F.coalesce(F.col(bot_col), F.lit(False)) & known
+    rows = edits.withColumns(
+        {
+            "_us": micros,
+            "_tracked": tracked,
+            "_cell": F.when(tracked, floor_div(micros, span)),
+        }
     )
     if n <= 1:
         return rows.withColumn(out, F.col("_tracked")).drop("_us", "_tracked", "_cell")
@@ -56,20 +56,20 @@ def suspicious_flag(
     inner = _hot_cell_interior(rows, cell, id_col, n, max(hot_rows, 2 * n), max_hot)
     place = F.struct("_us", id_col)
     decided = F.coalesce((place > F.col("_head_end")) & (place < F.col("_tail_start")), F.lit(False))
+    free = F.col("_decided") | ~F.col("_tracked")
     home = floor_div(F.col("_cell"), cells_per_bucket)
     last_cell = F.pmod(F.col("_cell"), F.lit(cells_per_bucket)) == cells_per_bucket - 1
     spread_over = F.pmod(F.xxhash64(id_col, "_us"), F.lit(spread)) + 1
+    own_and_next = F.when(~free & last_cell, F.array(home, home + 1)).otherwise(F.array(home))
     placed = (
         rows.join(F.broadcast(inner), cell, "left")
         .withColumn("_decided", decided)
-        .withColumn("_free", F.col("_decided") | ~F.col("_tracked"))
-        .withColumn("_part", F.when(F.col("_free"), spread_over).otherwise(F.lit(0)))
-        .withColumn("_home", home)
-        .withColumn(
-            "_bucket",
-            F.explode(
-                F.when(~F.col("_free") & last_cell, F.array(home, home + 1)).otherwise(F.array(home))
-            ),
+        .withColumns(
+            {
+                "_part": F.when(free, spread_over).otherwise(F.lit(0)),
+                "_home": home,
+                "_bucket": F.explode(own_and_next),
+            }
         )
     )
     order = Window.partitionBy(user, "_bucket", "_part").orderBy("_us", id_col)

@@ -33,12 +33,9 @@ def _panes(
 def in_windows(panes: DataFrame, size: str, slide: str) -> DataFrame:
     """Each pane row once per window that covers its pane, the window as two plain times: as
     grouping keys they sort and hash faster than a struct."""
-    return (
-        panes.withColumn("window", F.window("pane", size, slide))
-        .withColumn("start_time", F.col("window.start"))
-        .withColumn("end_time", F.col("window.end"))
-        .drop("window")
-    )
+    windowed = panes.withColumn("window", F.window("pane", size, slide))
+    bounds = F.col("window.start").alias("start_time"), F.col("window.end").alias("end_time")
+    return windowed.select(*panes.columns, *bounds)
 
 
 def _merged(members: str) -> Column:
@@ -82,8 +79,11 @@ WAR_COLUMNS = [
 
 
 def _war_facts(edits: DataFrame, time_col: str, revert_pattern: str) -> DataFrame:
-    return edits.withColumn("is_revert", text.revert_flag("comment", revert_pattern)).withColumn(
-        "latest", F.struct(time_col, "revision_id", "comment")
+    return edits.withColumns(
+        {
+            "is_revert": text.revert_flag("comment", revert_pattern),
+            "latest": F.struct(time_col, "revision_id", "comment"),
+        }
     )
 
 
@@ -124,13 +124,15 @@ def war_totals(panes: DataFrame, by: list[str], *extra: Column) -> DataFrame:
 def _war_columns(wars: DataFrame, unique_users: Column | None = None) -> DataFrame:
     """The latest comment and revision are those of the newest (time, revision), so they do not
     depend on arrival order."""
-    return (
-        wars.withColumn("total_edits", F.col("edits"))
-        .withColumn("reverts_count", F.col("reverts"))
-        .withColumn("unique_users", _count("users") if unique_users is None else unique_users)
-        .withColumn("combatants", _joined("users", ", "))
-        .withColumn("latest_comment", F.col("latest.comment"))
-        .withColumn("latest_revision", F.col("latest.revision_id"))
+    return wars.withColumns(
+        {
+            "total_edits": F.col("edits"),
+            "reverts_count": F.col("reverts"),
+            "unique_users": _count("users") if unique_users is None else unique_users,
+            "combatants": _joined("users", ", "),
+            "latest_comment": F.col("latest.comment"),
+            "latest_revision": F.col("latest.revision_id"),
+        }
     )
 
 
@@ -264,12 +266,14 @@ def editor_totals(panes: DataFrame, by: list[str], *extra: Column) -> DataFrame:
 
 def _editor_columns(editors: DataFrame) -> DataFrame:
     """The mean divides by all edits, also those without a length."""
-    return (
-        editors.withColumn("edit_count", F.col("edits"))
-        .withColumn("is_bot_flag", F.col("latest.is_bot"))
-        .withColumn("is_suspicious_flag", F.col("latest.is_suspicious"))
-        .withColumn("avg_length_diff", F.col("length_sum") / F.col("edits"))
-        .withColumn("langs_edited", _joined("langs", ", "))
+    return editors.withColumns(
+        {
+            "edit_count": F.col("edits"),
+            "is_bot_flag": F.col("latest.is_bot"),
+            "is_suspicious_flag": F.col("latest.is_suspicious"),
+            "avg_length_diff": F.col("length_sum") / F.col("edits"),
+            "langs_edited": _joined("langs", ", "),
+        }
     )
 
 
@@ -324,10 +328,12 @@ def topic_totals(panes: DataFrame, by: list[str], *extra: Column) -> DataFrame:
 
 
 def _topic_columns(topics: DataFrame, article_count: Column | None = None) -> DataFrame:
-    return (
-        topics.withColumn("total_edits", F.col("edits"))
-        .withColumn("article_count", _count("titles") if article_count is None else article_count)
-        .withColumn("sample_titles", _joined("titles", " | "))
+    return topics.withColumns(
+        {
+            "total_edits": F.col("edits"),
+            "article_count": _count("titles") if article_count is None else article_count,
+            "sample_titles": _joined("titles", " | "),
+        }
     )
 
 
