@@ -62,6 +62,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

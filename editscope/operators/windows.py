@@ -26,8 +26,10 @@ SIZE, SLIDE, WATERMARK = "5 minutes", "1 minute", "5 minutes"
 def _panes(
     edits: DataFrame, size: str, slide: str, time_col: str, keys: list[str], aggs: list[Column]
 ) -> DataFrame:
-    pane = F.window(time_col, pane_width(size, slide))["start"].alias("pane")
-    return edits.groupBy(pane, *keys).agg(*aggs)
+    start = F.window(time_col, pane_width(size, slide))["start"]
+    # A window start is never null. Saying so saves the null filters of the windows over panes.
+    epoch = F.lit("1970-01-01 00:00:00").cast(edits.schema[time_col].dataType)
+    return edits.groupBy(F.coalesce(start, epoch).alias("pane"), *keys).agg(*aggs)
 
 
 def in_windows(panes: DataFrame, size: str, slide: str) -> DataFrame:
@@ -188,7 +190,7 @@ def war_members(
     """The parties of the edit wars as rows: (window, title, user) with the user's edits and
     reverts and the totals of the war. No cell holds a list and the grouping spreads a page
     over its users, so this is the form for pages with a very large number of editors in one
-    window. Static tables only.
+    window. Reverts by unknown users are in a row without a user. Static tables only.
     """
     facts = _war_facts(edits, time_col, revert_pattern)
     panes = _panes(facts, size, slide, time_col, ["title", "user"], _war_counts())
@@ -206,7 +208,11 @@ def war_members(
         )
         .filter(war_condition(min_edits, min_reverts, min_users))
     )
-    members = per_user.filter(F.col("user").isNotNull()).join(wars, [*STATIC_KEY, "title"])
+    # Both sides of the join are the same grouping. Null-safe keys keep Spark from adding
+    # different null filters to the two, so that it computes the grouping once.
+    keys = [*STATIC_KEY, "title"]
+    war = wars.withColumnsRenamed({k: f"_{k}" for k in keys})
+    members = per_user.join(war, [per_user[k].eqNullSafe(war[f"_{k}"]) for k in keys])
     return _flat(
         members,
         ["title", "user", "user_edits", "user_reverts", "total_edits", "unique_users", "reverts_count"],
