@@ -46,7 +46,7 @@ def _merged(members: str) -> Column:
 
 
 def _joined(members: str, separator: str) -> Column:
-    return F.array_join(F.array_sort(members), separator)
+    return F.array_join(F.sort_array(members), separator)
 
 
 def _count(members: str) -> Column:

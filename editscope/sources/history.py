@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,18 +33,20 @@ def valid_times(rows: DataFrame, *bounds: str) -> DataFrame:
 def read_history(
     spark: SparkSession, path: str | list[str], schema: str, *bounds: str, escape: str = '"'
 ) -> DataFrame:
-    """All result files of a folder or pattern as one table; unreadable files are skipped.
+    """All result files of a folder or pattern as one table; unreadable files are skipped, and
+    a history that has not begun is empty.
     ``batch_id`` comes from the files or, for the folders of a sink, from their names.
 
     ``bounds`` names the times a row must have: both for edit wars, the start otherwise. Files
     written with Spark's own CSV defaults quote with a backslash and need ``escape="\\\\"``.
     """
-    rows = (
-        spark.read.schema(schema)
-        .options(**{**CSV_READ, "header": "true", "escape": escape})
-        .option("ignoreCorruptFiles", True)
-        .csv(path)
-    )
+    options = {**CSV_READ, "header": "true", "escape": escape, "ignoreCorruptFiles": "true"}
+    try:
+        rows = spark.read.schema(schema).options(**options).csv(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], schema)
     return valid_times(rows, *bounds)
 
 

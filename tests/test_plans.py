@@ -1,0 +1,66 @@
+"""What the physical plans must and must not contain."""
+
+import re
+
+import pytest
+
+from editscope.functions import text
+from editscope.operators import history, live_map, rate, windows
+from editscope.plans import catalog
+
+from .edits import random_edits, table
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+def test_no_pairing_and_no_python(spark, sf_dir, name):
+    text_plan = plan(catalog.QUERIES[name](spark, sf_dir))
+    for operator in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas", "PythonUDF"):
+        assert operator not in text_plan
+
+
+@pytest.fixture(scope="module")
+def silver(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("silver") / "edits")
+    table(spark, random_edits(21)).write.parquet(path)
+    return lambda: spark.read.parquet(path)
+
+
+def test_title_filter_reaches_the_scan_and_columns_are_pruned(silver):
+    topics = windows.topic_trends(silver().filter(text.is_content_title("title")))
+    scan = plan(topics)
+    assert "Not(StringStartsWith(title,Category:))" in scan
+    assert "Not(StringStartsWith(title,Talk:))" in scan
+    assert set(re.findall(r"ReadSchema: struct<([^>]*)>", scan)) == {"ts:timestamp,title:string"}
+
+
+def test_map_filter_reaches_the_scan(silver):
+    scan = plan(live_map.map_points(silver()).select("lat", "lon", "wiki_lang"))
+    assert "IsNotNull(lat), IsNotNull(lon)" in scan
+    assert "ReadSchema: struct<wiki_lang:string,lat:double,lon:double>" in scan
+
+
+@pytest.mark.parametrize("operator", [windows.edit_wars, windows.topic_trends])
+def test_windows_combine_twice_and_shuffle_twice(silver, operator):
+    steps = plan(operator(silver()))
+    assert steps.count("Exchange hashpartitioning") == 2
+    # The plan reads bottom-up: below the copying into windows there is already an aggregation.
+    assert steps.rindex("partial_") > steps.index("Expand")
+
+
+def test_rate_flag_moves_the_edits_once(silver):
+    steps = plan(rate.suspicious_flag(silver()))
+    wide = [line for line in steps.splitlines() if "Exchange hashpartitioning(user" in line and "_bucket" in line]
+    assert len(wide) == 1
+    # Broadcast: the bounded list of hot cells and their ends, nothing else.
+    assert steps.count("BroadcastExchange") == 2 and "TakeOrderedAndProject(limit=20000" in steps
+
+
+def test_small_results_are_bounded_top_k(silver):
+    assert "TakeOrderedAndProject(limit=500" in plan(live_map.rolling_points(silver()))
+    ranked = windows.top_editors_per_window(windows.super_editors(silver()), 5)
+    assert plan(ranked).count("WindowGroupLimit") == 2
+    assert "Sort" not in plan(history.last_range(silver(), "ts", "1 hour"))

@@ -19,7 +19,7 @@ def at(seconds):
 
 
 def brute_force(rows, seconds, n):
-    """The reference rule: per user, edits in arrival order, trailing window with a strict edge."""
+    """The rule row by row: per user, edits in arrival order, trailing window with a strict edge."""
     times, flags = defaultdict(list), {}
     for i, user, ts, bot in sorted(rows, key=lambda r: (r[2] or T0, r[0])):
         if bot or user is None or ts is None:

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 
 from editscope import schemas, session
+from editscope.operators.history import data_status
 from editscope.sources import feed, history
 
 
@@ -50,6 +51,12 @@ def test_damaged_rows_are_dropped(spark, tmp_path):
     assert sorted(r.title for r in start_only.collect()) == ["X", "Y"]
 
 
+def test_a_history_that_has_not_begun_is_empty(spark, tmp_path):
+    none = history.read_history(spark, f"{tmp_path}/nothing", schemas.EDIT_WARS, "start_time", "end_time")
+    assert none.count() == 0
+    assert data_status({"wars": none, "more": rows(spark)}).filter("has_data").collect()[0].table_name == "more"
+
+
 def test_kafka_options():
     class Reader:
         def __init__(self):
