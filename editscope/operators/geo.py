@@ -21,7 +21,7 @@ def geo_enrich(
     *,
     user: str = "user",
     spread_by: tuple[str, ...] = ("title", "revision_id"),
-    spread: int = 4096,
+    spread: int = 1_000_000,
 ) -> DataFrame:
     """Left join of ``lat``/``lon``: every edit is kept, without coordinates where the user is
     no address or the address is unknown. ``geo`` has one row per ip.

@@ -21,7 +21,7 @@ def suspicious_flag(
     hot_rows: int = 20_000,
     max_hot: int = 20_000,
     cells_per_bucket: int = 8,
-    spread: int = 256,
+    spread: int = 8192,
 ) -> DataFrame:
     """Add ``out``: true when a non-bot has ``n`` edits in ``(ts - seconds, ts]``, this one
     included. Bots are neither tested nor counted; rows without a user or time are false.
@@ -34,9 +34,10 @@ def suspicious_flag(
     Time does not split an account that sends everything at once. Cells (user, ``seconds``
     long span) of ``hot_rows`` rows or more are therefore thinned first. Within a cell, any row
     after the first ``n - 1`` has reached the rate, and no later row looks further back than
-    the last ``n - 1``; the rows between are decided without the window and go to ``spread``
-    partitions of their own. The hot cells handed to all executors are the ``max_hot`` largest;
-    smaller ones take the plain way, which gives the same flags.
+    the last ``n - 1``; the rows between are decided without the window and are spread, like
+    the rows of bots, over ``spread`` groups a user. The hot cells handed to all executors are the ``max_hot`` largest;
+    smaller ones take the plain way, which gives the same flags. The counting and the thinning
+    read only user, time and id again, so run this on landed edits rather than on unparsed text.
     """
     span = seconds * MICROS
     micros = event_micros(edits, time_col)
