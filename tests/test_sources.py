@@ -5,6 +5,7 @@ import pytest
 from editscope import schemas, session
 from editscope.operators.history import data_status
 from editscope.sources import feed, history
+from editscope.streaming import pipeline
 
 
 WAR = (
@@ -83,6 +84,27 @@ def test_kafka_options():
     assert source.options["maxOffsetsPerTrigger"] == feed.MAX_OFFSETS_PER_TRIGGER
 
 
+def test_kafka_sink_options():
+    class Writer(dict):
+        def format(self, name):
+            return self.option("format", name)
+
+        def option(self, key, value):
+            self[key] = value
+            return self
+
+        def start(self):
+            return self
+
+    class Messages:
+        writeStream = Writer()
+
+    sink = pipeline.publish_kafka(Messages(), "host:9092", "/cp")
+    assert sink == {
+        "format": "kafka", "kafka.bootstrap.servers": "host:9092", "topic": "wiki-edits", "checkpointLocation": "/cp",
+    }
+
+
 def test_text_source(spark, tmp_path):
     (tmp_path / "f.txt").write_text("data: 1\n\nevent: x\n")
     assert feed.read_text(spark, str(tmp_path)).count() == 3
