@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate, pii
+from . import chat, decontaminate, langid, pii
 
 QUERIES = {
+    "op2_chat": chat.op2_chat,
+    "op4_language": langid.op4_language,
     "op6_pii": pii.op6_pii,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_chat": chat.OP2_SQL,
+}
