@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, pii
+from . import chat, decontaminate, langid, pii, simhash
 
 QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
     "op2_chat": chat.op2_chat,
     "op4_language": langid.op4_language,
     "op6_pii": pii.op6_pii,
