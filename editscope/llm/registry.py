@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, lattice_lm, pii, simhash
+from . import chat, decontaminate, langid, lattice_lm, packing, pii, simhash
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_chat": chat.op2_chat,
     "op4_language": langid.op4_language,
     "op6_pii": pii.op6_pii,
+    "op7_packing": packing.op7_packing,
     "op8_lattice": lattice_lm.op8_lattice,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
