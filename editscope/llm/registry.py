@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, lattice_lm, packing, pii, simhash
+from . import chat, decontaminate, langid, lattice_lm, packing, pii, simhash, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_chat": chat.op2_chat,
     "op4_language": langid.op4_language,
+    "op5_warc": warc.op5_warc,
     "op6_pii": pii.op6_pii,
     "op7_packing": packing.op7_packing,
     "op8_lattice": lattice_lm.op8_lattice,
@@ -16,4 +17,5 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op2_chat": chat.OP2_SQL,
+    "op5_warc": warc.OP5_SQL,
 }
