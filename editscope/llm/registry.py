@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, lattice_lm, packing, pii, simhash, warc
+from . import chat, decontaminate, hnsw, langid, lattice_lm, packing, pii, simhash, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_pii": pii.op6_pii,
     "op7_packing": packing.op7_packing,
     "op8_lattice": lattice_lm.op8_lattice,
+    "op9_hnsw": hnsw.op9_hnsw,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
