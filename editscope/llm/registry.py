@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, hnsw, langid, lattice_lm, packing, pii, simhash, warc
+from . import chat, decontaminate, hnsw, html_text, langid, lattice_lm, packing, pii, simhash, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_chat": chat.op2_chat,
+    "op3_html": html_text.op3_html,
     "op4_language": langid.op4_language,
     "op5_warc": warc.op5_warc,
     "op6_pii": pii.op6_pii,
