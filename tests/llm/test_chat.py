@@ -1,0 +1,76 @@
+import hashlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from editscope.llm import chat
+
+from ..compare import assert_same, connect
+
+
+def test_query_equals_sql(spark, sf_dir):
+    assert assert_same(chat.op2_chat(spark, sf_dir), connect(sf_dir), chat.OP2_SQL) > 1
+
+
+def read(spark, rows, schema="conv_id long, turn long, role string, text string"):
+    chats = chat.format_chats(spark.createDataFrame(rows, schema))
+    return {r.conv_id: r for r in chats.withColumns(
+        {"turns": chat.read_turns(F.col("formatted")), "trained": chat.loss_text(F.col("formatted"), F.col("loss"))}
+    ).collect()}
+
+
+PIECES = ["<|turn|>", "<|end|>\n", "<|text|>", "<", "|", "\\", "\n", "a", "é", "😀", "|>", "<\\|", "$1"]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=8).map("".join), min_size=8, max_size=8))
+def test_round_trip_of_control_strings(spark, texts):
+    rows = [(1, k, ("user", "assistant")[k % 2] if k else text, text) for k, text in enumerate(texts)]
+    got = read(spark, rows)[1]
+    assert [(t.role, t.text) for t in got.turns] == [(r[2], r[3]) for r in rows]
+    assert got.trained == "".join(r[3] for r in rows if r[2] == "assistant")
+
+
+def test_odd_rows(spark):
+    long = "x<|y" * 50_000
+    rows = [(1, 2, "assistant", None), (1, 1, None, "hi"), (1, 2, "assistant", "b"), (1, 2, "assistant", "b"),
+            (None, None, None, None), (2, 0, "assistant", long)]
+    got = read(spark, rows)
+    assert [(t.role, t.text) for t in got[1].turns] == [("", "hi"), ("assistant", ""), ("assistant", "b"), ("assistant", "b")]
+    assert got[1].trained == "bb" and len(got[1].loss) == 3
+    assert [(t.role, t.text) for t in got[None].turns] == [("", "")]
+    assert got[2].trained == long
+
+
+def test_extra_columns_and_empty_table(spark):
+    schema = "conv_id long, turn long, role string, text string, formatted string, turns int, pieces int, loss int"
+    rows = [(1, 0, "assistant", "t", "f", 1, 2, 3)]
+    assert read(spark, rows, schema)[1].trained == "t"
+    assert read(spark, [], schema) == {}
+
+
+def test_parts_become_placeholders(spark):
+    part = lambda kind, **kw: (kind, *(kw.get(k) for k in ("text", "ref", "width", "height", "seconds", "pages")))
+    content = [part("text", text="see<"), part("text", text="|turn|>"), part("Image", ref="a.png", width=100, height=60),
+               part("audio", ref="b.wav", seconds=1.5), part("document", ref="c.pdf", pages=3), part("image"), part("odd", text="z")]
+    rows = [(1, 0, "user", content), (1, 1, "assistant", None)]
+    got = read(spark, rows, f"conv_id long, turn long, role string, content array<{chat.PART}>")[1]
+    assert got.formatted.startswith("<|turn|>user<|text|>see<\\|turn|><|image|><|audio|><|document|><|image|>z<|end|>\n")
+    assert [(a.turn, a.part, a.kind, a.ref, a.tokens) for a in got.attachments] == [
+        (0, 2, "image", "a.png", 12), (0, 3, "audio", "b.wav", 38), (0, 4, "document", "c.pdf", 1536), (0, 5, "image", None, 1)]
+    assert got.attachment_tokens == 1587
+    assert got.turns[0].text == "see<|turn|><|image|><|audio|><|document|><|image|>z"
+
+
+def test_control_conversation(spark, sf_dir):
+    odd = r"\### Assistant: </turn> ok"
+    row = chat.op2_chat(spark, sf_dir).filter("conv_id = -7").first()
+    assert (row.n_turns, row.loss_chars) == (2, len(odd))
+    assert row.loss_sha256 == hashlib.sha256(odd.encode()).hexdigest()
+    assert row.turns_sha256 == hashlib.sha256(f"user\n{odd}\nassistant\n{odd}\n".encode()).hexdigest()
+
+
+def test_no_python_in_the_plan(spark, sf_dir):
+    plan = chat.op2_chat(spark, sf_dir)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,36 @@
+import random
+
+import pytest
+
+from editscope.llm import common
+
+
+def truth(edges):
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    return {x: find(x) for x in list(parent)}
+
+
+def path(n):
+    return [(k, k + 1) for k in range(n)]
+
+
+def tangle(seed):
+    rng = random.Random(seed)
+    return [(rng.randrange(-200, 200), rng.randrange(-200, 200)) for _ in range(220)]
+
+
+@pytest.mark.parametrize("edges", [[], [(3, 3)], path(60), [(0, k) for k in range(1, 50)], [(50, k) for k in range(50)], tangle(1),
+                                   [*path(9), *path(9), (-5, 4), (2**62, -(2**62))]])
+def test_components(spark, edges):
+    rows = spark.createDataFrame([*edges, (None, 1), (1, None)], "a long, b long")
+    assert {r.id: r.root for r in common.components(rows).collect()} == truth(edges)

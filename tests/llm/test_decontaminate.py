@@ -1,0 +1,98 @@
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from editscope.llm import decontaminate as op
+
+from . import odd
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def truth(texts, items, size=10):
+    """Per text: words, positions hit, items found."""
+    windows = defaultdict(set)
+    for item, text in items:
+        found = words(text)
+        for k in range(max(1, len(found) - size + 1)) if found else ():
+            windows[tuple(found[k : k + size])].add(item)
+    lengths = {len(w) for w in windows}
+    for text in texts:
+        found, hit, seen = words(text), set(), set()
+        for n in lengths:
+            for k in range(len(found) - n + 1):
+                names = windows.get(tuple(found[k : k + n]))
+                if names:
+                    hit.update(range(k, k + n))
+                    seen |= names
+        yield found, hit, sorted(str(s) for s in seen if s is not None)
+
+
+def check(docs, benchmark, rows, size=10):
+    texts = docs.collect()
+    items = [(r.item_id, r.text) for r in benchmark.collect()]
+    want = [(repr(r.doc_id), len(w), sorted(h), s) for r, (w, h, s) in zip(texts, truth([t.text for t in texts], items, size))]
+    have = [(repr(r.doc_id), r.h.n_words, [k for s in r.h.spans for k in range(s.start, s.stop)], list(r.h["items"])) for r in rows.collect()]
+    assert sorted(map(repr, have)) == sorted(map(repr, want))
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    docs, benchmark = odd.plain(spark, sf_dir), odd.plain(spark, sf_dir, "benchmark")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    items = [(r.item_id, r.text) for r in benchmark.collect()]
+    for r in op.op10_decontaminate(spark, sf_dir).collect():
+        (found, hit, seen), = truth([texts[r.doc_id]], items)
+        digest = hashlib.sha256(",".join(seen).encode()).hexdigest()
+        assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == (len(found), len(hit), len(seen), digest, bool(hit))
+
+
+ITEMS = [(1, "of THE, and of the and"), (2, "the same text twice over here the same text twice"), (3, None), (4, ""), (5, "..."), (None, "x"),
+         (1, "of the"), (6, "lorem ipsum dolor sit amet lorem ipsum dolor sit amet"), (7, "lorem ipsum dolor sit amet lorem ipsum dolor sit amet"),
+         (8, "words")]
+
+
+@pytest.mark.parametrize("shard_words", [1_000_000, 12])
+def test_odd_documents_and_items(spark, shard_words):
+    docs = odd.documents(spark)
+    benchmark = spark.createDataFrame(ITEMS, "item_id long, text string")
+    rows = op.mark(docs, benchmark, out="h", shard_words=shard_words)
+    check(docs, benchmark, rows)
+    assert op.mark(docs, benchmark, out="hits").count() == docs.count()
+    assert op.mark(odd.empty(spark), benchmark, out="h").count() == 0
+    nothing = op.mark(docs, benchmark.limit(0), out="h")
+    check(docs, benchmark.limit(0), nothing)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_automaton_equals_brute_force(seed):
+    rng = random.Random(seed)
+    letters = ["a", "b", "c"][: 2 + seed % 2]
+    size = rng.choice([2, 3, 4])
+    items = [(str(k), " ".join(rng.choices(letters, k=rng.randrange(0, 12)))) for k in range(6)]
+    pieces = [(i, [w.encode() for w in t.split()], len(t.split()) < size) for i, t in items if t]
+    automaton = op.Automaton(pieces, size)
+    texts = [" ".join(rng.choices([*letters, "z"], k=rng.randrange(0, 60))) for _ in range(150)]
+    for text, (found, hit, seen) in zip(texts, truth(texts, items, size)):
+        spans, names = automaton.scan(op.words_of(text))
+        assert [k for a, b in spans for k in range(a, b)] == sorted(hit) and sorted(names) == seen
+
+
+def test_cutting_leaves_the_rest(spark):
+    item = "one two three four five six seven eight nine ten"
+    clean = "Nothing  here, at\nall."
+    texts = [f"Before, {item.upper()}! After.", item, f"{clean} {item} and some more words that are no part of it at all, ok", clean, None, ""]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, hits string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r.doc_id: r.text for r in op.decontaminate(docs, benchmark, max_coverage=0.9).collect()}
+    assert got[0] == "Before, ! After." and 1 not in got and got[3] == clean and got[4] is None and got[5] == ""
+    assert got[2] == f"{clean}  and some more words that are no part of it at all, ok"
+    strict = op.decontaminate(docs, benchmark, max_coverage=0.2)
+    assert sorted(r.doc_id for r in strict.collect()) == [3, 4, 5] and strict.columns == docs.columns
+    left = op.mark(op.decontaminate(docs, benchmark, max_coverage=0.9), benchmark, out="h")
+    assert left.filter(F.size("h.spans") > 0).count() == 0

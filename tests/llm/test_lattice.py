@@ -1,0 +1,103 @@
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from editscope.llm import lattice_lm
+
+from . import odd
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def held(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
+
+
+def is_held():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return lattice_lm.Vocabulary(lattice_lm.default_vocabulary())
+
+
+def check(docs, rows):
+    rows = rows.collect()
+    texts = docs.collect()
+    train = [words(r.text) for r in texts if not held(r.doc_id)]
+    counts, ends = Counter(w for t in train for w in t), len(train)
+    total, kinds = sum(counts.values()) + ends, len(counts) + (1 if ends else 0)
+    want = []
+    for r in texts:
+        found = words(r.text)
+        base = sum(math.log10((c + 1) / (total + kinds + 1)) for c in [*map(counts.__getitem__, found), ends])
+        known = sum(counts[w] > 0 for w in found) + (ends > 0)
+        want.append((str(r.doc_id), held(r.doc_id), len(found) + 1, known, total, round(base, 5)))
+    have = [(str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in rows]
+    for a, b in zip(sorted(have), sorted(want)):
+        assert a[:5] == b[:5] and a[5] == pytest.approx(b[5], rel=1e-9, abs=2e-5)
+    assert len(have) == len(want)
+    assert all(r.score < 0 and math.isfinite(r.score) for r in rows)
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    check(odd.plain(spark, sf_dir), lattice_lm.op8_lattice(spark, sf_dir))
+
+
+def test_odd_documents(spark):
+    docs = odd.documents(spark)
+    check(docs, lattice_lm.score(docs, is_held()))
+    assert lattice_lm.score(odd.empty(spark), is_held()).count() == 0
+
+
+def test_broadcast_and_joined_words_agree(spark, sf_dir):
+    docs = odd.plain(spark, sf_dir)
+    a, b = ({r.doc_id: r for r in lattice_lm.score(docs, is_held(), common_words=n).collect()} for n in (10, 100_000))
+    for k, r in a.items():
+        assert (r.n_known, r.n_tokens) == (b[k].n_known, b[k].n_tokens)
+        assert r.score == pytest.approx(b[k].score) and r.base_score == pytest.approx(b[k].base_score)
+
+
+def test_nothing_to_learn_from(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in lattice_lm.score(docs, F.lit(True)).collect()}
+    assert (rows[1].train_tokens, rows[1].n_known, rows[1].n_tokens) == (0, 0, 3)
+    assert rows[1].base_score == 0 and rows[1].score < rows[2].score < 0
+
+
+def segmentations(text, pieces):
+    if not text:
+        return 1.0
+    return sum(pieces[text[:n]] * segmentations(text[n:], pieces) for n in range(1, len(text) + 1) if text[:n] in pieces)
+
+
+def test_forward_sums_all_segmentations(vocabulary):
+    logs = np.log(np.maximum(vocabulary.share, 1e-300))
+    lattice = lattice_lm.Lattice(vocabulary, logs)
+    raw = set(vocabulary.bytes.values())
+    pieces = {p: s for k, (p, s) in enumerate(zip(vocabulary.pieces, vocabulary.share)) if s > 0 and k not in raw}
+    for word in ("the", "thention", "été", "a", "▁", "x1y2", "nation"):
+        assert lattice.score(word) == pytest.approx(math.log(segmentations("▁" + word, pieces)))
+    odd_one = "\U00012000"  # no piece has it: its four bytes
+    want = math.log(pieces["▁"]) + sum(logs[vocabulary.bytes[b]] for b in odd_one.encode())
+    assert lattice.score(odd_one) == pytest.approx(want)
+    assert math.isfinite(lattice.score("ab" * 50_000))
+
+
+def test_shares_are_a_distribution(vocabulary):
+    assert vocabulary.share.sum() + lattice_lm.PRIOR_END == pytest.approx(1)
+    assert min(vocabulary.share[k] for k in vocabulary.bytes.values()) > 0
+
+
+def test_scores_prefer_the_training_language(spark):
+    docs = spark.createDataFrame([(1, "the cat sat on the mat " * 30), (2, "the cat on the mat"), (3, "zq xv qz vx zq kj")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in lattice_lm.score(docs, F.col("doc_id") > 1).collect()}
+    assert rows[2].score / rows[2].n_tokens > rows[3].score / rows[3].n_tokens

@@ -1,0 +1,97 @@
+import re
+
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+
+from editscope.llm import common, decontaminate, langid, pii
+
+from . import odd
+from .test_decontaminate import truth, words
+from .test_packing import check, tokenizer  # noqa: F401
+from .test_pii import base
+from .test_simhash import fingerprint, groups
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_every_stage_takes_odd_and_empty_tables(spark, sf_dir, name, stage):
+    docs = odd.documents(spark)
+    got = stage(spark, docs, sf_dir)
+    if name != "sequences":
+        assert got.columns == docs.columns
+    assert got.count() > 0
+    assert stage(spark, odd.empty(spark), sf_dir).count() == 0
+
+
+def test_language_rejects_only_texts_without_one(spark, sf_dir):
+    docs = odd.documents(spark)
+    got = corpus_pipeline.language(spark, docs, sf_dir)
+    want = [r for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want))
+    clean = odd.plain(spark, sf_dir)
+    assert corpus_pipeline.language(spark, clean, sf_dir).count() == clean.count()
+
+
+def without(text, hit):
+    """The text without runs of hit words and what stands between them."""
+    places = [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))]
+    out, at, k = [], 0, 0
+    while k < len(places):
+        if k in hit:
+            start = k
+            while k + 1 in hit:
+                k += 1
+            out.append(text[at : places[start][0]])
+            at = places[k][1]
+        k += 1
+    return "".join(out) + text[at:]
+
+
+def test_run_equals_a_plain_version(spark, sf_dir, tokenizer):  # noqa: F811
+    docs = odd.plain(spark, sf_dir).collect()
+    model = langid.fit(odd.plain(spark, sf_dir))
+    names, scores = model.predict([d.text for d in docs])
+    docs = [d for d, n, s in zip(docs, names, scores) if n != "und" and s >= 0.5]
+    root = groups([fingerprint(d.text) for d in docs], 3)
+    best = {}
+    for d, g in zip(docs, root):
+        if g not in best or d.doc_id < best[g].doc_id:
+            best[g] = d
+    items = [(r.item_id, r.text) for r in odd.plain(spark, sf_dir, "benchmark").collect()]
+    texts, kept = [d.text for d in best.values()], []
+    for d, (found, hit, _) in zip(best.values(), truth(texts, items)):
+        if len(hit) <= 0.5 * len(found):
+            kept.append((d.doc_id, without(d.text, hit) if hit else d.text))
+    clean = []
+    for number, text in kept:
+        at, out = 0, []
+        for span in sorted((int(s.split(":")[1]), int(s.split(":")[2]), s.split(":")[0]) for s in base(text).split(",") if s):
+            if span[0] >= at:
+                out += [text[at : span[0]], f"<{span[2].upper()}>"]
+            at = max(at, span[1])
+        clean.append((number, "".join(out) + text[at:]))
+    rows = spark.createDataFrame(clean, "doc_id long, text string")
+    check(tokenizer, rows, corpus_pipeline.run(spark, sf_dir))
+
+
+def test_later_stages_work_on_what_is_kept(spark, sf_dir):
+    docs = odd.plain(spark, sf_dir)
+    benchmark = odd.plain(spark, sf_dir, "benchmark")
+    passage = benchmark.first().text
+    extra = spark.createDataFrame([(10**9, f"Some words before it. {passage} " + "And many other words after it. " * 20 + "mail a.b@c.example", "en", "s", 0)],
+                                  docs.schema)
+    one = common.staged(corpus_pipeline.benchmark(spark, docs.union(extra), sf_dir), "t")
+    assert decontaminate.mark(one, benchmark, out="h").filter(F.size("h.spans") > 0).count() == 0
+    two = corpus_pipeline.personal_data(spark, one, sf_dir)
+    row = two.filter(F.col("doc_id") == 10**9).first()
+    assert row.text.endswith("mail <EMAIL>") and row.n_chars == len(row.text) and words(passage)[-1] not in words(row.text)[:6]
+    assert pii.find(two).filter(F.size("pii") > 0).count() == 0
+
+
+def test_registration():
+    import __spark_entry__ as entry
+
+    names = list(entry.queries())
+    for n in range(1, 11):
+        assert sum(name.startswith(f"op{n}_") for name in names) == 1
+    assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)

@@ -1,0 +1,126 @@
+import random
+import re
+from collections import defaultdict
+
+import pytest
+import xxhash
+
+from editscope.llm import simhash
+
+from . import odd
+
+
+def fingerprint(text, shingle=3):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if len(words) >= shingle:
+        shingles = [" ".join(words[k : k + shingle]) for k in range(len(words) - shingle + 1)]
+    else:
+        shingles = [" ".join(words)] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def groups(points, radius):
+    """Each point's group, as the smallest index in it."""
+    parent = list(range(len(points)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a in range(len(points)):
+        for b in range(a):
+            if (points[a] ^ points[b]).bit_count() <= radius:
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return [find(k) for k in range(len(points))]
+
+
+def check(docs, got):
+    rows = docs.collect()
+    points = [fingerprint(r.text) for r in rows]
+    root = groups(points, 3)
+    low = defaultdict(lambda: None)
+    for r, g in zip(rows, root):
+        if r.doc_id is not None:
+            low[g] = r.doc_id if low[g] is None else min(low[g], r.doc_id)
+    want = sorted((str(r.doc_id), f"{p:016x}", str(low[g])) for r, p, g in zip(rows, points, root))
+    assert sorted((str(r.doc_id), r.fingerprint, str(r.component_id)) for r in got.collect()) == want
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    check(odd.plain(spark, sf_dir), simhash.op1_simhash(spark, sf_dir))
+
+
+def test_odd_documents(spark):
+    docs = odd.documents(spark)
+    check(docs, simhash.near_duplicates(docs))
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    rows = docs.collect()
+    assert kept.count() == len(set(groups([fingerprint(r.text) for r in rows], 3)))
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(odd.empty(spark)).count() == 0
+    assert simhash.deduplicate(odd.empty(spark)).count() == 0
+
+
+def near_points(seed, centres=30, each=12):
+    rng = random.Random(seed)
+    out = set()
+    for _ in range(centres):
+        centre = rng.getrandbits(64)
+        for _ in range(each):
+            point = centre
+            for _ in range(rng.randrange(5)):
+                point ^= 1 << rng.randrange(64)
+            out.add(point)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_tree_finds_all_within_the_radius(seed):
+    points = near_points(seed)
+    tree = simhash.BKTree(points)
+    for point in points[::7]:
+        for radius in (0, 1, 3):
+            want = [k for k, p in enumerate(points) if (p ^ point).bit_count() <= radius]
+            assert sorted(tree.near(point, radius)) == want
+
+
+def joined(points, links):
+    place = {p: k for k, p in enumerate(points)}
+    parent = list(range(len(points)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        assert (a ^ b).bit_count() <= 3
+        x, y = find(place[a]), find(place[b])
+        parent[max(x, y)] = min(x, y)
+    return [find(k) for k in range(len(points))]
+
+
+@pytest.mark.parametrize("blocks,slice_rows", [(4, 2048), (4, 5), (5, 2048), (6, 40)])
+def test_links_join_what_is_connected(spark, monkeypatch, blocks, slice_rows):
+    points = near_points(11)
+    monkeypatch.setattr(simhash, "_blocks", lambda count, bits: blocks)
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in points]
+    found = simhash.links(spark.createDataFrame(signed, "fp long"), 3, slice_rows).collect()
+    links = [(r.a & (1 << 64) - 1, r.b & (1 << 64) - 1) for r in found]
+    assert joined(points, links) == groups(points, 3)
+
+
+def test_a_large_cluster_keeps_few_links():
+    points = sorted({1 << a | 1 << b for a in range(40) for b in range(40)})
+    links = simhash.spanning_links(points, 3)
+    assert len(links) == len(points) - 1
+
+
+def test_blocks_grow_with_the_rows():
+    assert [simhash._blocks(n, 3) for n in (0, 10**6, 10**8, 10**10)] == [4, 4, 5, 6]

@@ -1,0 +1,81 @@
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from editscope.llm import common, warc
+
+from ..compare import assert_same, connect
+
+PAGES = "page_id long, url string, html string, digest string, record string, part int"
+
+
+def test_query_equals_sql(spark, sf_dir):
+    assert assert_same(warc.op5_warc(spark, sf_dir), connect(sf_dir), warc.OP5_SQL) > 0
+
+
+def archive(spark, rows, **options):
+    pages = spark.createDataFrame(rows, PAGES)
+    path = common.scratch_path(spark, f"test-{uuid.uuid4().hex}")
+    warc.write_archives(pages, path, **options)
+    return warc.read_archives(spark, path)
+
+
+def test_odd_pages_round_trip(spark):
+    big = "x\r\n\r\nWARC/1.1\r\n" * 200
+    pages = [(1, "http://a.B.com:80/x?y#z", big), (2, None, big), (2, None, big), (None, "u\r\nX: 1", big), (3, "", None),
+             (4, "https://www.é.fr", "WARC/1.1\r\n"), (5, "http://h/", "short"), (6, "http://h/", "short"), (7, "http://h/", "é" * 700_000)]
+    rows = [(*p, "d", "r", 3) for p in pages]
+    got = archive(spark, rows).collect()
+    want = []
+    for number, _, html in pages:
+        size = len((html or "").encode())
+        revisit = size >= 1000 and number == 1
+        want.append((number, size, "revisit" if revisit else "response", 2 if revisit else None, b"" if revisit else (html or "").encode()))
+    have = [(r.page_id, r.payload_bytes, r.record_type, r.refers_to, bytes(r.payload)) for r in got]
+    assert sorted(map(repr, have)) == sorted(map(repr, want))
+
+
+def test_many_files_and_histories(spark):
+    rng = random.Random(5)
+    rows = [(k, f"http://host{rng.randrange(4)}.example/p{rng.randrange(6)}", f"page {k % 90} " * 200, "d", "r", 0) for k in range(400)]
+    captures = archive(spark, rows, file_bytes=20_000)
+    assert captures.select("file").distinct().count() > 10
+    index = warc.capture_index(captures.drop("payload"), range_rows=30)
+    got = warc.histories(index).collect()
+    assert len(got) == 400
+    order = sorted(got, key=lambda r: (r.part, r.position))
+    keys = [(r.url_key, r.captured, r.page_id) for r in order]
+    assert keys == sorted(keys)
+    seen = {}
+    for r in order:
+        seen[r.url_key] = seen.get(r.url_key, 0) + 1
+        assert r.capture_no == seen[r.url_key]
+
+
+def test_empty_table(spark):
+    captures = archive(spark, [])
+    assert captures.count() == 0 and warc.histories(warc.capture_index(captures)).count() == 0
+
+
+@pytest.mark.parametrize("runs", [0, 1, 2, 3, 5, 8, 13])
+def test_loser_tree(runs):
+    rng = random.Random(runs)
+    parts = [sorted(rng.choices(range(50), k=rng.randrange(20))) for _ in range(runs)]
+    assert list(warc.LoserTree([iter(p) for p in parts])) == sorted(x for p in parts for x in p)
+
+
+def test_a_damaged_archive_is_an_error():
+    good = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    assert [r["payload"] for r in warc._parse(good * 2)] == [b"abc"] * 2
+    with pytest.raises(ValueError):
+        list(warc._parse(good.replace(b"abc", b"abcd")))
+    with pytest.raises(ValueError):
+        list(warc._parse(b"x" + good))
+
+
+def test_url_keys(spark):
+    urls = ["http://www.Example.com:8080/A?b=1#c", "https://u:p@a.b.c", "ftp://x/", "a.b/c", None, "", "http://h?q"]
+    got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(warc.url_key(F.col("u"))).collect()]
+    assert got == ["com,example)/a?b=1", "c,b,a)/", "x)/", "b,a)/c", "", "", "h)?q"]
