@@ -281,7 +281,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> D
         raise ValueError("a length is not between 1 and the capacity")
     shared = spark.sparkContext.broadcast(_runs(plan(histogram, capacity, rounds)))
     # ranks within a length, in slices, since one length can have most of the pieces
-    slices = 8 * common.width(spark)
+    slices = common.width(spark)
     sliced = pieces.withColumn("slice", F.pmod(F.xxhash64("id", "piece"), F.lit(slices)).cast("int"))
     counts = sliced.groupBy("length", "slice").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
