@@ -15,10 +15,7 @@ MICROS = 1_000_000
 def event_micros(df: DataFrame, name: str) -> Column:
     """Microseconds since the epoch for a ``timestamp`` or ``timestamp_ntz`` column."""
     if isinstance(df.schema[name].dataType, T.TimestampNTZType):
-        return F.expr(
-            f"cast(cast(cast(`{name}` - timestamp_ntz'1970-01-01 00:00:00' as interval second) "
-            f"as decimal(20, 6)) * {MICROS} as bigint)"
-        )
+        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{name}`)")
     return F.unix_micros(F.col(name))
 
 

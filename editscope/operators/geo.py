@@ -15,28 +15,21 @@ SUCCESS = "success"
 CHUNK = 100
 
 
-def geo_enrich(
-    edits: DataFrame,
-    geo: DataFrame,
-    *,
-    user: str = "user",
-    spread_by: tuple[str, ...] = ("title", "revision_id"),
-    spread: int = 1_000_000,
-) -> DataFrame:
+def geo_enrich(edits: DataFrame, geo: DataFrame, *, user: str = "user") -> DataFrame:
     """Left join of ``lat``/``lon``: every edit is kept, without coordinates where the user is
     no address or the address is unknown. ``geo`` has one row per ip.
 
     No broadcast hint: a small dimension is broadcast by its measured size, a large one is
-    joined by shuffle with adaptive skew splitting. Users that cannot be an address never
-    match, so they get one of ``spread`` keys outside the address space, drawn from the hash of
-    ``spread_by``; a logged-in account with most of the edits does not gather in one partition.
+    joined by shuffle with adaptive skew splitting. Edits whose user cannot be an address never
+    match, so they go past the join and are not shuffled; ``edits`` is read for them a second
+    time.
     """
-    ordinal = F.pmod(F.xxhash64(*spread_by), F.lit(spread))
-    key = F.when(ip.looks_like_ip(user), F.col(user)).otherwise(
-        F.concat(F.lit("no-ip-"), ordinal.cast("string"))
-    )
-    places = geo.select(F.col("ip").alias("_key"), "lat", "lon")
-    return edits.drop("lat", "lon").withColumn("_key", key).join(places, "_key", "left").drop("_key")
+    plain = edits.drop("lat", "lon")
+    may_match = F.coalesce(ip.looks_like_ip(user), F.lit(False))
+    places = geo.select(F.col("ip").alias("_key"), F.col("lat").cast("double"), F.col("lon").cast("double"))
+    located = plain.filter(may_match).withColumn("_key", F.col(user)).join(places, "_key", "left").drop("_key")
+    nowhere = F.lit(None).cast("double")
+    return located.unionByName(plain.filter(~may_match).withColumns({"lat": nowhere, "lon": nowhere}))
 
 
 def edit_ips(edits: DataFrame, user: str = "user") -> DataFrame:
@@ -93,28 +86,36 @@ def _network_key() -> list:
     ]
 
 
+#: Networks up to this prefix length, at most 2 ** (length + 1) - 1 a family, are looked up in a
+#: broadcast table: a handful of keys would gather all addresses. Longer ones are shuffled.
+SHORT_PREFIX = 12
+
+
 def network_lookup(ips: DataFrame, networks: DataFrame) -> DataFrame:
     """The most specific network holding each address: ``ip, prefix_len, lat, lon``.
 
     ``networks`` has ``net_start`` (text), ``prefix_len``, ``lat``, ``lon``. Instead of a range
-    comparison, each distinct address is cut to every prefix length that occurs (33 + 129 at
-    most) and joined on equality, so the work is addresses times lengths and no group of
-    addresses is ever paired with a group of networks.
+    comparison, each distinct address is cut to every prefix length that occurs in its family (33
+    or 129 at most) and joined on equality, so the work is addresses times lengths and no group
+    of addresses is ever paired with a group of networks. Of several rows of one network, the
+    greatest (lat, lon) counts.
     """
     spans = ip.with_ip_number(networks, "net_start").filter(F.col("family").isNotNull())
-    nets = spans.select(*_network_key(), "lat", "lon")
-    lengths = nets.agg(F.collect_set(F.struct("family", "prefix_len"))).scalar()
-    cut = (
-        ip.with_ip_number(ips.select("ip").distinct(), "ip")
-        .withColumn("length", F.explode(lengths))
-        .filter(F.col("length.family") == F.col("family"))
-        .withColumn("prefix_len", F.col("length.prefix_len"))
-        .select("ip", *_network_key())
-    )
-    best = F.max(F.struct("prefix_len", "lat", "lon")).alias("best")
-    return (
-        cut.join(nets, ["family", "prefix_len", "net_high", "net_low"])
-        .groupBy("ip")
-        .agg(best)
-        .select("ip", "best.prefix_len", "best.lat", "best.lon")
-    )
+    keys = ["family", "prefix_len", "net_high", "net_low"]
+    place = F.max(F.struct("lat", "lon")).alias("place")
+    nets = spans.select(*_network_key(), "lat", "lon").groupBy(*keys).agg(place)
+    numbered = ip.with_ip_number(ips.select("ip").distinct(), "ip").filter(F.col("family").isNotNull())
+    short = F.col("prefix_len") <= SHORT_PREFIX
+
+    def cut(wanted):
+        v4, v6 = (
+            spans.filter(wanted & (F.col("family") == family)).agg(F.collect_set("prefix_len")).scalar()
+            for family in (4, 6)
+        )
+        each = F.explode(F.when(F.col("family") == 4, v4).otherwise(v6))
+        return numbered.withColumn("prefix_len", each).select("ip", *_network_key())
+
+    few = F.broadcast(nets.filter(short))  # bounded by the lengths
+    found = cut(short).join(few, keys).unionByName(cut(~short).join(nets.filter(~short), keys))
+    best = F.max(F.struct("prefix_len", "place.lat", "place.lon")).alias("best")
+    return found.groupBy("ip").agg(best).select("ip", "best.prefix_len", "best.lat", "best.lon")

@@ -30,11 +30,14 @@ def latest_versions(
 
 def last_range(rows: DataFrame, column: str, interval: str | None) -> DataFrame:
     """Rows from ``interval`` before the latest time in the data on, that edge included; all
-    rows for ``None``. The latest time is a scalar subquery over one column."""
+    rows for ``None``. The latest time is a scalar subquery over one column. Rows of a sink have
+    the ``day`` of their end, a partition, and older days are not read."""
     if interval is None:
         return rows
-    latest = rows.agg(F.max(column)).scalar()
-    return rows.filter(F.col(column) >= latest - F.expr(f"interval {interval}"))
+    since = rows.agg(F.max(column)).scalar() - F.expr(f"interval {interval}")
+    recent = rows.filter(F.col(column) >= since)
+    # a row that starts or ends late enough ends on that day at the earliest
+    return recent.filter(F.col("day") >= F.to_date(since)) if "day" in rows.columns else recent
 
 
 def newest_first(rows: DataFrame, column: str = "end_time", *ties: str) -> DataFrame:
@@ -59,22 +62,24 @@ def war_kpis(
     """One row: batches of the whole history, conflicts and their largest size and reverts
     after peak deduplication, and rows in range. ``run`` names columns that tell runs apart
     whose batch numbers start again."""
-    batches = history.agg(F.count_distinct(*(run or []), "batch_id")).scalar()
-    in_range = last_range(history, "end_time", interval)
-    return (
-        peaks(in_range, ["title"], WAR_ORDER)
-        .agg(
-            F.count("*").alias("conflicts"),
-            F.coalesce(F.max("total_edits"), F.lit(0)).cast("bigint").alias("max_edits"),
-            F.coalesce(F.sum("reverts_count"), F.lit(0)).cast("bigint").alias("reverts"),
-        )
-        .select(
-            batches.alias("batches"),
-            "conflicts",
-            "max_edits",
-            "reverts",
-            in_range.agg(F.count("*")).scalar().alias("rows_in_range"),
-        )
+    in_range = F.lit(True)
+    if interval is not None:
+        in_range = F.col("end_time") >= history.agg(F.max("end_time")).scalar() - F.expr(f"interval {interval}")
+    batch = [*(run or []), "batch_id"]
+    # One pass with two groupings: the peak of each title within range, and the distinct batches.
+    facts = history.select("title", *batch, in_range.alias("inside"), F.struct(*WAR_ORDER).alias("place"), "total_edits", "reverts_count")
+    peak = F.max_by(F.struct("total_edits", "reverts_count"), F.when(F.col("inside"), F.col("place")))
+    grouped = facts.groupingSets([["title"], batch], "title", *batch).agg(
+        F.grouping("title").alias("is_batch"), F.count_if("inside").alias("rows"), peak.alias("peak"),
+        F.count("batch_id").alias("numbered"),
+    )
+    title = (F.col("is_batch") == 0) & (F.col("rows") > 0)
+    return grouped.agg(
+        F.count_if((F.col("is_batch") == 1) & (F.col("numbered") > 0)).alias("batches"),
+        F.count_if(title).alias("conflicts"),
+        F.coalesce(F.max(F.when(title, F.col("peak.total_edits"))), F.lit(0)).cast("bigint").alias("max_edits"),
+        F.coalesce(F.sum(F.when(title, F.col("peak.reverts_count"))), F.lit(0)).cast("bigint").alias("reverts"),
+        F.coalesce(F.sum(F.when(title, F.col("rows"))), F.lit(0)).cast("bigint").alias("rows_in_range"),
     )
 
 

@@ -6,11 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: What a stored point has: its place and language, and what orders it.
+POINT_COLUMNS = ("event_id", "ts", "lat", "lon", "wiki_lang")
+
+
 def map_points(edits: DataFrame) -> DataFrame:
     """Edits that have both coordinates."""
     return edits.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
 
 
+def point_rows(edits: DataFrame) -> DataFrame:
+    """Points as the map stores them."""
+    return map_points(edits).select(*POINT_COLUMNS)
+
+
 def rolling_points(
     points: DataFrame, n: int = 500, order: tuple[str, ...] = ("ts", "event_id")
 ) -> DataFrame:

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from ..functions import text
 from ..schemas import EDIT, EDIT_FIELDS, RAW_CHANGE
 
 DATA_PREFIX = "data: "
+#: Seconds from the first to the last time that a timestamp can be printed as, years 1 to 9999.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
 
 
 def _fields(value: Column | str, schema: str) -> Column:
@@ -17,6 +21,12 @@ def _fields(value: Column | str, schema: str) -> Column:
     return F.inline(F.array(F.from_json(value, schema)))
 
 
+def _seconds(value: Column | str) -> Column:
+    """A time from unix seconds; null where there is no such time."""
+    seconds = F.col(value) if isinstance(value, str) else value
+    return F.timestamp_seconds(F.when(seconds.between(FIRST_SECOND, LAST_SECOND), seconds))
+
+
 def feed_payloads(lines: DataFrame) -> DataFrame:
     """The JSON of every data line; blank lines and other fields of the feed are skipped.
 
@@ -32,22 +42,24 @@ def parse_changes(payloads: DataFrame, received_at: Column | None = None) -> Dat
     or title are dropped; missing fields get their defaults.
 
     ``ts`` is the event's own time when it has one, else ``received_at`` (the current time).
+    A length difference that is no 32-bit number is null; no line can stop the job.
+    ``event_id`` is a hash of the event as it came, so a line that is read twice has one id.
     """
     raw = (
-        payloads.select(_fields("value", RAW_CHANGE))
+        payloads.select(F.xxhash64("value").alias("event_id"), _fields("value", RAW_CHANGE))
         .filter(F.col("type") == "edit")
         .dropna(subset=["user", "title"])
     )
     arrival = F.current_timestamp() if received_at is None else received_at
+    length = F.try_subtract(F.coalesce("length.new", F.lit(0)), F.coalesce("length.old", F.lit(0)))
     return raw.select(
-        F.coalesce(F.timestamp_seconds("timestamp"), arrival).alias("ts"),
+        "event_id",
+        F.coalesce(_seconds("timestamp"), arrival).alias("ts"),
         "user",
         F.coalesce("bot", F.lit(False)).alias("is_bot"),
         "title",
         text.wiki_lang("server_name").alias("wiki_lang"),
-        (F.coalesce("length.new", F.lit(0)) - F.coalesce("length.old", F.lit(0)))
-        .cast("int")
-        .alias("length_diff"),
+        length.try_cast("int").alias("length_diff"),
         F.coalesce("comment", F.lit("")).alias("comment"),
         F.coalesce("revision.new", F.lit(0)).cast("bigint").alias("revision_id"),
         F.coalesce("minor", F.lit(False)).alias("is_minor"),
@@ -63,9 +75,9 @@ def encode_edits(edits: DataFrame, *keep: str) -> DataFrame:
     """Edits as JSON messages in ``value``. Nulls are written out; fields the edits lack are
     null. ``keep`` names columns to carry beside the message, such as a key."""
     known = edits.withColumn("time", F.date_format("ts", text.TIME_FORMAT))
-    types = {f.split("` ")[0].strip("`"): f.split("` ")[1] for f in EDIT.split(", ")}
+    types = T.StructType.fromDDL(EDIT)
     fields = [
-        F.col(name) if name in known.columns else F.lit(None).cast(types[name]).alias(name)
+        F.col(name) if name in known.columns else F.lit(None).cast(types[name].dataType).alias(name)
         for name in EDIT_FIELDS
     ]
     message = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})

@@ -3,10 +3,11 @@
 Every operator runs on static tables and on streams and returns the same columns.
 
 On static tables a window is put together from tumbling panes as wide as the common step of
-size and slide. Edits are first reduced to one row per (pane, key) with the distinct members the
-result lists: users of a page, languages of a user, titles of a topic. Each task does most of
-that before the shuffle, and a page, user or topic with a large share of all edits is split by
-pane. Only the reduced rows are copied into the ``size / slide`` windows they belong to.
+size and slide. Edits are first reduced to one row per pane and key: user, or page and user, or
+topic and page. Each task does most of that before the shuffle, and a user, page or topic with a
+large share of all edits is split by pane and member. Only the reduced rows are copied into the
+``size / slide`` windows they belong to. Users of a page and titles of a topic are put into lists
+only after the conditions on counts have been applied.
 
 On streams the same result comes from one stateful aggregation behind a watermark; its state
 per window is dropped once the watermark passes.
@@ -123,7 +124,7 @@ def war_totals(panes: DataFrame, by: list[str], *extra: Column) -> DataFrame:
     )
 
 
-def _war_columns(wars: DataFrame, unique_users: Column | None = None) -> DataFrame:
+def _war_columns(wars: DataFrame, unique_users: Column | None = None, combatants: Column | None = None) -> DataFrame:
     """The latest comment and revision are those of the newest (time, revision), so they do not
     depend on arrival order."""
     return wars.withColumns(
@@ -131,7 +132,7 @@ def _war_columns(wars: DataFrame, unique_users: Column | None = None) -> DataFra
             "total_edits": F.col("edits"),
             "reverts_count": F.col("reverts"),
             "unique_users": _count("users") if unique_users is None else unique_users,
-            "combatants": _joined("users", ", "),
+            "combatants": _joined("users", ", ") if combatants is None else combatants,
             "latest_comment": F.col("latest.comment"),
             "latest_revision": F.col("latest.revision_id"),
         }
@@ -159,21 +160,60 @@ def edit_wars(
 ) -> DataFrame:
     """Pages under conflict: per (window, title) the edits, distinct users, users joined in
     name order, latest comment and revision, and reverts; kept when edits and reverts reach
-    their minimum. ``exact=False`` counts the users with HyperLogLog++.
+    their minimum.
+
+    On static tables the users of a page are counted first, and listed only where the conditions
+    hold. ``exact=False`` estimates the number of users from mergeable sketches, one for each
+    pane, and lists nobody (``combatants`` is null).
     """
-    if edits.isStreaming or not exact:
-        rows, key = _window_rows(
-            _war_facts(edits, time_col, revert_pattern), size, slide, time_col, watermark
+    facts = _war_facts(edits, time_col, revert_pattern)
+    condition = war_condition(min_edits, min_reverts, min_users)
+    latest = F.max("latest").alias("latest")
+    if not exact:
+        sketch = F.hll_sketch_agg("user").alias("sketch")
+        if edits.isStreaming:
+            rows, key = _window_rows(facts, size, slide, time_col, watermark)
+            wars = rows.groupBy(*key, "title").agg(*_war_counts(), latest, sketch)
+        else:
+            panes = _panes(facts, size, slide, time_col, ["title"], [*_war_counts(), latest, sketch])
+            key = STATIC_KEY
+            wars = in_windows(panes, size, slide).groupBy(*key, "title").agg(
+                F.sum("edits").alias("edits"), F.sum("reverts").alias("reverts"), latest, F.hll_union_agg("sketch").alias("sketch")
+            )
+        wars = _war_columns(wars, F.hll_sketch_estimate("sketch"), F.lit(None).cast("string"))
+    elif edits.isStreaming:
+        rows, key = _window_rows(facts, size, slide, time_col, watermark)
+        wars = _war_columns(rows.groupBy(*key, "title").agg(*_war_aggregates()))
+    else:
+        per_user = _per_member(
+            facts, size, slide, time_col, "title", "user", [*_war_counts(), latest],
+            [F.sum("edits").alias("edits"), F.sum("reverts").alias("reverts"), latest],
         )
-        wars = rows.groupBy(*key, "title").agg(
-            *_war_aggregates(),
-            *([] if exact else [F.approx_count_distinct("user").alias("approx_users")]),
+        totals = [F.sum("edits").alias("edits"), F.sum("reverts").alias("reverts"), latest, F.count("user").alias("n")]
+        wars = per_user.groupBy(*STATIC_KEY, "title").agg(*totals).withColumns(
+            {"total_edits": F.col("edits"), "reverts_count": F.col("reverts"), "unique_users": F.col("n")}
         )
-        wars = _war_columns(wars, None if exact else F.col("approx_users"))
-    else:
-        panes = war_panes(edits, size, slide, time_col, revert_pattern)
-        wars = war_totals(in_windows(panes, size, slide), STATIC_KEY)
-    return _flat(wars.filter(war_condition(min_edits, min_reverts, min_users)), WAR_COLUMNS)
+        wars = _with_list(wars.filter(condition), per_user, "title", "user", ", ", "combatants")
+        wars = _war_columns(wars, F.col("n"), F.col("combatants"))
+    return _flat(wars.filter(condition), WAR_COLUMNS)
+
+
+def _per_member(
+    rows: DataFrame, size: str, slide: str, time_col: str, key: str, member: str, aggs: list[Column], merged: list[Column]
+) -> DataFrame:
+    """One row per (window, key, member): a key with a large share of the edits is spread over its
+    members."""
+    panes = _panes(rows, size, slide, time_col, [key, member], aggs)
+    return in_windows(panes, size, slide).groupBy(*STATIC_KEY, key, member).agg(*merged)
+
+
+def _with_list(found: DataFrame, members: DataFrame, key: str, member: str, separator: str, out: str) -> DataFrame:
+    """``found`` with the members of each (window, key) joined in name order: only rows of
+    ``members`` that belong to a found key reach a list."""
+    listed = F.array_join(F.sort_array(F.collect_list(member)), separator).alias(out)
+    keys = [*STATIC_KEY, key]
+    same = [F.first(c).alias(c) for c in found.columns if c not in keys]
+    return _with_totals(members.select(*keys, member), found, key).groupBy(*keys).agg(listed, *same)
 
 
 def war_members(
@@ -188,16 +228,15 @@ def war_members(
     time_col: str = "ts",
 ) -> DataFrame:
     """The parties of the edit wars as rows: (window, title, user) with the user's edits and
-    reverts and the totals of the war. No cell holds a list and the grouping spreads a page
-    over its users, so this is the form for pages with a very large number of editors in one
-    window. Reverts by unknown users are in a row without a user. Static tables only.
+    reverts and the totals of the war. No cell holds a list, so this is the form for pages with
+    a very large number of editors in one window; the join that adds the totals is left to
+    adaptive skew splitting. Reverts by unknown users are in a row without a user. Static tables
+    only.
     """
     facts = _war_facts(edits, time_col, revert_pattern)
-    panes = _panes(facts, size, slide, time_col, ["title", "user"], _war_counts())
-    per_user = (
-        in_windows(panes, size, slide)
-        .groupBy(*STATIC_KEY, "title", "user")
-        .agg(F.sum("edits").alias("user_edits"), F.sum("reverts").alias("user_reverts"))
+    per_user = _per_member(
+        facts, size, slide, time_col, "title", "user", _war_counts(),
+        [F.sum("edits").alias("user_edits"), F.sum("reverts").alias("user_reverts")],
     )
     wars = (
         per_user.groupBy(*STATIC_KEY, "title")
@@ -208,17 +247,20 @@ def war_members(
         )
         .filter(war_condition(min_edits, min_reverts, min_users))
     )
-    # Both sides of the join are the same grouping. Null-safe keys keep Spark from adding
-    # different null filters to the two, so that it computes the grouping once.
-    keys = [*STATIC_KEY, "title"]
-    war = wars.withColumnsRenamed({k: f"_{k}" for k in keys})
-    members = per_user.join(war, [per_user[k].eqNullSafe(war[f"_{k}"]) for k in keys])
     return _flat(
-        members,
+        _with_totals(per_user, wars, "title"),
         ["title", "user", "user_edits", "user_reverts", "total_edits", "unique_users", "reverts_count"],
     )
 
 
+def _with_totals(members: DataFrame, totals: DataFrame, key: str) -> DataFrame:
+    # Both sides of the join are the same grouping. Null-safe keys keep Spark from adding
+    # different null filters to the two, so that it computes the grouping once.
+    keys = [*STATIC_KEY, key]
+    total = totals.withColumnsRenamed({k: f"_{k}" for k in keys})
+    return members.join(total, [members[k].eqNullSafe(total[f"_{k}"]) for k in keys])
+
+
 # ---- super editors -----------------------------------------------------------------------
 
 EDITOR_COLUMNS = [
@@ -333,12 +375,14 @@ def topic_totals(panes: DataFrame, by: list[str], *extra: Column) -> DataFrame:
     )
 
 
-def _topic_columns(topics: DataFrame, article_count: Column | None = None) -> DataFrame:
+def _topic_columns(
+    topics: DataFrame, article_count: Column | None = None, sample_titles: Column | None = None
+) -> DataFrame:
     return topics.withColumns(
         {
             "total_edits": F.col("edits"),
             "article_count": _count("titles") if article_count is None else article_count,
-            "sample_titles": _joined("titles", " | "),
+            "sample_titles": _joined("titles", " | ") if sample_titles is None else sample_titles,
         }
     )
 
@@ -355,19 +399,61 @@ def topic_trends(
     watermark: str = WATERMARK,
 ) -> DataFrame:
     """Topics (first title word) spread over several pages: per (window, topic) the distinct
-    titles, edits, and titles joined in name order; kept from ``min_articles`` titles on."""
-    if edits.isStreaming or not exact:
-        topics = edits.withColumn("topic", text.topic_key("title", separators))
+    titles, edits, and titles joined in name order; kept from ``min_articles`` titles on.
+
+    On static tables the titles of a topic are counted first, and listed only where there are
+    enough. ``exact=False`` estimates their number from mergeable sketches, one for each pane,
+    and lists none (``sample_titles`` is null)."""
+    topics = edits.withColumn("topic", text.topic_key("title", separators))
+    enough = F.col("article_count") >= min_articles
+    edits_sum = F.sum("edits").alias("edits")
+    if not exact:
+        aggs = [F.count("*").alias("edits"), F.hll_sketch_agg("title").alias("sketch")]
+        if edits.isStreaming:
+            rows, key = _window_rows(topics, size, slide, time_col, watermark)
+            topics = rows.groupBy(*key, "topic").agg(*aggs)
+        else:
+            panes = _panes(topics, size, slide, time_col, ["topic"], aggs)
+            topics = in_windows(panes, size, slide).groupBy(*STATIC_KEY, "topic").agg(
+                edits_sum, F.hll_union_agg("sketch").alias("sketch")
+            )
+        topics = _topic_columns(topics, F.hll_sketch_estimate("sketch"), F.lit(None).cast("string"))
+    elif edits.isStreaming:
         rows, key = _window_rows(topics, size, slide, time_col, watermark)
-        topics = rows.groupBy(*key, "topic").agg(
-            *_topic_aggregates(),
-            *([] if exact else [F.approx_count_distinct("title").alias("approx_titles")]),
-        )
-        topics = _topic_columns(topics, None if exact else F.col("approx_titles"))
+        topics = _topic_columns(rows.groupBy(*key, "topic").agg(*_topic_aggregates()))
     else:
-        panes = topic_panes(edits, size, slide, time_col, separators)
-        topics = topic_totals(in_windows(panes, size, slide), STATIC_KEY)
-    return _flat(topics.filter(F.col("article_count") >= min_articles), TOPIC_COLUMNS)
+        per_title = _per_member(
+            topics, size, slide, time_col, "topic", "title", [F.count("*").alias("edits")], [edits_sum]
+        )
+        found = per_title.groupBy(*STATIC_KEY, "topic").agg(edits_sum, F.count("title").alias("article_count"))
+        listed = _with_list(found.filter(enough), per_title, "topic", "title", " | ", "sample_titles")
+        topics = _topic_columns(listed, F.col("article_count"), F.col("sample_titles"))
+    return _flat(topics.filter(enough), TOPIC_COLUMNS)
+
+
+def topic_members(
+    edits: DataFrame,
+    size: str = SIZE,
+    slide: str = SLIDE,
+    *,
+    min_articles: int = 2,
+    separators: str = "[ _]",
+    time_col: str = "ts",
+) -> DataFrame:
+    """The pages of the trending topics as rows: (window, topic, title) with the page's edits and
+    the totals of the topic. No cell holds a list, so this is the form for first words that very
+    many titles share. Static tables only."""
+    topics = edits.withColumn("topic", text.topic_key("title", separators))
+    per_title = _per_member(
+        topics, size, slide, time_col, "topic", "title", [F.count("*").alias("edits")],
+        [F.sum("edits").alias("title_edits")],
+    )
+    found = (
+        per_title.groupBy(*STATIC_KEY, "topic")
+        .agg(F.sum("title_edits").alias("total_edits"), F.count("title").alias("article_count"))
+        .filter(F.col("article_count") >= min_articles)
+    )
+    return _flat(_with_totals(per_title, found, "topic"), ["topic", "title", "title_edits", "article_count", "total_edits"])
 
 
 # ---- rankings ----------------------------------------------------------------------------

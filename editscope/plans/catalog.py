@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import ip, text
 from ..functions.times import MICROS, event_micros, floor_div
 from ..operators import geo, history, live_map, normalize, rate, windows
-from ..schemas import EDIT_WARS
-from ..sources.history import parse_csv_lines, to_csv_line
+from ..schemas import EDIT_WARS, SUPER_EDITORS, TOPIC_TRENDS
+from ..sources.history import CSV_WRITE, packed, parse_csv_lines, read_history, to_csv_line
 from . import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +66,24 @@ def feed_parse(spark, sf_dir):
     )
 
 
+def feed_parse_odd(spark, sf_dir):
+    """Events whose numbers fit no column: lengths that overflow, times that are none."""
+    k = F.col("event_id") % 4
+    big = F.lit(9_223_372_036_854_775_807)
+    change = F.to_json(F.struct(
+        F.lit("edit").alias("type"), "user", "title",
+        F.struct(
+            F.when(k == 0, F.lit(-5_000_000_000)).when(k == 1, -big).otherwise(F.lit(0)).alias("old"),
+            F.when(k == 0, F.lit(3_000_000_000)).when(k == 1, big).otherwise(F.col("event_id") % 7).alias("new"),
+        ).alias("length"),
+        F.struct(F.col("revision_id").alias("new")).alias("revision"),
+        F.when(k == 2, F.lit(9_000_000_000_000_000_000)).otherwise(floor_div(event_micros(t.edits(spark, sf_dir), "ts"), MICROS)).alias("timestamp"),
+    ))
+    lines = t.edits(spark, sf_dir).select(F.concat(F.lit(normalize.DATA_PREFIX), change).alias("value"))
+    never = F.lit(None).cast("timestamp")
+    return normalize.parse_feed(lines, never).select("revision_id", "length_diff", F.unix_seconds("ts").alias("event_second"))
+
+
 def edit_to_json(spark, sf_dir):
     rows = geo.geo_enrich(t.flagged_edits(spark, sf_dir), t.geo(spark, sf_dir))
     return normalize.encode_edits(rows, "event_id")
@@ -131,10 +150,46 @@ def suspicious_flag_60s(spark, sf_dir):
     return rate.suspicious_flag(t.edits(spark, sf_dir)).select("event_id", "user", "is_suspicious")
 
 
+def suspicious_flag_hot(spark, sf_dir):
+    """Long spans and a low threshold, so that hot cells are found and thinned on small tables."""
+    rows = rate.suspicious_flag(t.edits(spark, sf_dir), 15 * 24 * 3600, 3, hot_rows=6, max_hot=100_000)
+    return rows.select("event_id", "user", "is_suspicious")
+
+
+def suspicious_flag_fast(spark, sf_dir):
+    """The operator's own defaults on thirty days that pass in a minute."""
+    rows = t.edits(spark, sf_dir)
+    fast = F.timestamp_micros(floor_div(event_micros(rows, "ts"), 50_000))
+    return rate.suspicious_flag(rows.withColumn("ts", fast)).select("event_id", "user", "is_suspicious")
+
+
+def _landed_feed(spark, sf_dir):
+    """Parsed and flagged feed lines. Parsed once and landed, since the flag reads its input
+    several times."""
+    parsed = t.landed(normalize.parse_feed(feed_lines(spark, sf_dir)), "feed")
+    return rate.suspicious_flag(parsed, **t.RATE, id_col="revision_id")
+
+
+def _feed_content(spark, sf_dir):
+    rows = _landed_feed(spark, sf_dir)
+    return rows.filter(text.is_content_title("title")).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def feed_to_wars(spark, sf_dir):
+    return windows.edit_wars(_feed_content(spark, sf_dir), *t.WAR_WINDOW)
+
+
+def feed_to_editors(spark, sf_dir):
+    return windows.super_editors(_feed_content(spark, sf_dir), *t.EDITOR_WINDOW)
+
+
+def feed_to_topics(spark, sf_dir):
+    return windows.topic_trends(_feed_content(spark, sf_dir), *t.WAR_WINDOW)
+
+
 def feed_to_edits(spark, sf_dir):
     """The whole way of an edit: feed lines, rate flag, coordinates, message, edit table."""
-    parsed = normalize.parse_feed(feed_lines(spark, sf_dir))
-    flagged = rate.suspicious_flag(parsed, **t.RATE, id_col="revision_id")
+    flagged = _landed_feed(spark, sf_dir)
     located = geo.geo_enrich(flagged, t.geo(spark, sf_dir))
     decoded = normalize.decode_edits(normalize.encode_edits(located))
     return decoded.withColumn("event_second", F.unix_seconds("ts")).drop("ts", "time")
@@ -162,6 +217,21 @@ def geo_range(spark, sf_dir):
     return geo.network_lookup(geo.edit_ips(t.edits(spark, sf_dir)), t.networks(spark, sf_dir))
 
 
+def geo_range_v6(spark, sf_dir):
+    """The users as IPv6 addresses, in /120 networks for every second block and one /3 for all."""
+    who, block = F.col("user_id"), F.expr("user_id div 256")
+    users = t.read(spark, sf_dir, "events").select("user_id").distinct()
+
+    def address(low):
+        return F.concat(F.lit("2001:db8::"), F.lower(F.hex(F.call_function("div", low, F.lit(65_536)))), F.lit(":"), F.lower(F.hex(low % 65_536)))
+
+    narrow = users.filter(block % 2 == 0).select(
+        address(block * 256).alias("net_start"), F.lit(120).alias("prefix_len"), block.cast("double").alias("lat"), (block * 2).cast("double").alias("lon")
+    ).distinct()
+    wide = users.agg(F.lit("2000::").alias("net_start"), F.lit(3).alias("prefix_len"), F.lit(1.0).alias("lat"), F.lit(1.0).alias("lon"))
+    return geo.network_lookup(users.select(address(who).alias("ip")), narrow.unionByName(wide))
+
+
 def geo_range_enrich(spark, sf_dir):
     rows = t.edits(spark, sf_dir)
     places = geo.network_lookup(geo.edit_ips(rows), t.networks(spark, sf_dir))
@@ -193,8 +263,28 @@ def edit_wars(spark, sf_dir):
     return windows.edit_wars(_content(spark, sf_dir), *t.WAR_WINDOW)
 
 
+def _against(exact, estimated, key, count):
+    """The exact count of each (window, key) and whether the estimate is within a tenth of it."""
+    keys = [*windows.STATIC_KEY, key]
+    guess = estimated.select(*keys, F.col(count).alias("estimate"))
+    close = F.abs(F.col("estimate") - F.col(count)) <= F.col(count) * 0.1
+    return exact.join(guess, keys, "left").select(*keys, count, F.coalesce(close, F.lit(False)).alias("is_close"))
+
+
 def edit_wars_approx(spark, sf_dir):
-    return windows.edit_wars(_content(spark, sf_dir), *t.WAR_WINDOW, exact=False)
+    rows = _content(spark, sf_dir)
+    guess = windows.edit_wars(rows, *t.WAR_WINDOW, exact=False)
+    return _against(windows.edit_wars(rows, *t.WAR_WINDOW), guess, "title", "unique_users")
+
+
+def topic_trends_approx(spark, sf_dir):
+    rows = _content(spark, sf_dir)
+    guess = windows.topic_trends(rows, *t.WAR_WINDOW, exact=False)
+    return _against(windows.topic_trends(rows, *t.WAR_WINDOW), guess, "topic", "article_count")
+
+
+def topic_trends_members(spark, sf_dir):
+    return windows.topic_members(_content(spark, sf_dir), *t.WAR_WINDOW)
 
 
 def edit_wars_min_users(spark, sf_dir):
@@ -262,6 +352,28 @@ def hist_read(spark, sf_dir):
     )
 
 
+def _through_files(rows, schema, *bounds):
+    """The history written as CSV files in the shared folder and read back."""
+    path = f"{t.scratch(rows.sparkSession)}/history-{uuid.uuid4().hex}"
+    packed(rows).write.options(header=True, **CSV_WRITE).csv(path)
+    back = read_history(rows.sparkSession, [path, f"{path}-not-yet"], schema, *bounds)
+    return _naive(back, "start_time", "end_time")
+
+
+def hist_read_editors(spark, sf_dir):
+    """Editor history through files; the languages are parted by line breaks."""
+    rows = t.editor_history(spark, sf_dir)
+    broken = rows.withColumn("langs_edited", F.replace("langs_edited", F.lit(", "), F.lit("\r\n")))
+    return _through_files(broken, SUPER_EDITORS, "start_time")
+
+
+def hist_read_topics(spark, sf_dir):
+    """Topic history through files; the titles are parted by line breaks."""
+    rows = t.topic_history(spark, sf_dir)
+    broken = rows.withColumn("sample_titles", F.replace("sample_titles", F.lit(" | "), F.lit("\n")))
+    return _through_files(broken, TOPIC_TRENDS, "start_time")
+
+
 def latest_versions(spark, sf_dir):
     return history.latest_versions(t.war_history(spark, sf_dir), ["start_time", "title"])
 
@@ -339,13 +451,13 @@ QUERIES: dict[str, Query] = {
     for q in (
         edit_wars, edit_wars_approx, edit_wars_min_users, edit_wars_members, edit_wars_by_edits,
         super_editors, super_editors_top50, super_editors_top_per_window,
-        topic_trends, topic_trends_top20, edit_wars_5m, super_editors_5m, topic_trends_5m,
-        feed_parse, edit_to_json, json_decode, wiki_lang, editor_type, editor_type_v1,
+        topic_trends, topic_trends_top20, topic_trends_members, topic_trends_approx, edit_wars_5m, super_editors_5m, topic_trends_5m,
+        feed_parse, feed_parse_odd, feed_to_wars, feed_to_editors, feed_to_topics, edit_to_json, json_decode, wiki_lang, editor_type, editor_type_v1,
         title_filter, revert_flag, revert_flag_documents, topic_key, is_ip, raw_edits,
-        suspicious_flag, suspicious_flag_60s, feed_to_edits,
-        geo_enrich, geo_missing, geo_upsert, geo_range, geo_range_enrich,
+        suspicious_flag, suspicious_flag_60s, suspicious_flag_hot, suspicious_flag_fast, feed_to_edits,
+        geo_enrich, geo_missing, geo_upsert, geo_range, geo_range_v6, geo_range_enrich,
         map_points, map_last_n, map_lang_top10, map_summary,
-        hist_read, latest_versions, hist_war_peaks, hist_editor_peaks, hist_topic_peaks,
+        hist_read, hist_read_editors, hist_read_topics, latest_versions, hist_war_peaks, hist_editor_peaks, hist_topic_peaks,
         hist_last_15m, hist_last_1h, hist_war_kpis, hist_war_kpis_all,
         hist_war_trend, hist_war_trend_latest, war_links,
         hist_editor_mix, hist_top_editors, hist_suspicious, hist_top_topics, data_status,

@@ -142,6 +142,17 @@ def with_(*tables: str) -> str:
     return "WITH " + ",".join(tables)
 
 
+SENT = """
+sent AS (
+  SELECT * REPLACE (date_trunc('second', ts) AS ts, coalesce(comment, '') AS comment)
+  FROM edits WHERE event_type <> 'view'
+), content AS (
+  SELECT *, coalesce(NOT is_bot AND lag(ts, 2) OVER (
+      PARTITION BY "user", is_bot ORDER BY ts, revision_id) > ts - INTERVAL 6 HOUR, false) AS is_suspicious
+  FROM sent
+  QUALIFY NOT starts_with(title, 'Category:') AND NOT starts_with(title, 'Talk:')
+)"""
+
 QUARTER, HOUR = 15 * 60 * 1_000_000, 3600 * 1_000_000
 WAR_WINDOWS = windowed("content", "1 hour", "15 minutes", 4)
 WARS = with_(EDITS, CONTENT, WAR_WINDOWS, totals("wars", WAR_AGGREGATES, "title", WAR_HAVING))
@@ -206,6 +217,46 @@ SELECT w.start_time, w.end_time, w.title, e."user", count(*) AS user_edits,
   any_value(reverts_count) AS reverts_count
 FROM wars w JOIN windowed e ON w.start_time = e.start_time AND w.title = e.title
 GROUP BY w.start_time, w.end_time, w.title, e."user" """,
+    "edit_wars_approx": WARS + " SELECT start_time, end_time, title, unique_users, true AS is_close FROM wars",
+    "topic_trends_approx": TOPICS + " SELECT start_time, end_time, topic, article_count, true AS is_close FROM topics",
+    "topic_trends_members": TOPICS + """
+SELECT w.start_time, w.end_time, w.topic, e.title, count(*) AS title_edits,
+  any_value(article_count) AS article_count, any_value(total_edits) AS total_edits
+FROM topics w JOIN windowed e
+  ON w.start_time = e.start_time AND w.topic = regexp_split_to_array(e.title, '[ _]')[1]
+GROUP BY w.start_time, w.end_time, w.topic, e.title""",
+    "feed_to_wars": with_(
+        EDITS, SENT, WAR_WINDOWS, totals("wars", WAR_AGGREGATES, "title", WAR_HAVING)
+    ) + " SELECT * FROM wars",
+    "feed_to_editors": with_(
+        EDITS, SENT, windowed("content", "6 hours", "1 hour", 6),
+        totals("editors", EDITOR_AGGREGATES, '"user"', "edit_count >= 3"),
+    ) + " SELECT * FROM editors",
+    "feed_to_topics": with_(
+        EDITS, SENT, WAR_WINDOWS, totals("topics", TOPIC_AGGREGATES, "topic", "article_count >= 2")
+    ) + " SELECT * FROM topics",
+    "feed_parse_odd": with_(EDITS) + """
+SELECT revision_id, CASE WHEN event_id % 4 >= 2 THEN (event_id % 7)::INT END AS length_diff,
+  CASE WHEN event_id % 4 <> 2 THEN epoch_us(ts) // 1000000 END AS event_second
+FROM edits""",
+    "suspicious_flag_hot": with_(EDITS) + """
+SELECT event_id, "user", coalesce(NOT is_bot AND lag(ts, 2) OVER (
+    PARTITION BY "user", is_bot ORDER BY ts, event_id) > ts - INTERVAL 15 DAY, false) AS is_suspicious
+FROM edits""",
+    "suspicious_flag_fast": with_(EDITS) + """
+SELECT event_id, "user", coalesce(NOT is_bot AND lag(us, 9) OVER (
+    PARTITION BY "user", is_bot ORDER BY us, event_id) > us - 60000000, false) AS is_suspicious
+FROM (SELECT *, epoch_us(ts) // 50000 AS us FROM edits)""",
+    "geo_range_v6": """
+SELECT '2001:db8::' || printf('%x', user_id // 65536) || ':' || printf('%x', user_id % 65536) AS ip,
+  CASE WHEN block % 2 = 0 THEN 120 ELSE 3 END::INT AS prefix_len,
+  CASE WHEN block % 2 = 0 THEN block ELSE 1 END::DOUBLE AS lat,
+  CASE WHEN block % 2 = 0 THEN block * 2 ELSE 1 END::DOUBLE AS lon
+FROM (SELECT DISTINCT user_id, user_id // 256 AS block FROM events)""",
+    "hist_read_editors": EDITOR_HISTORY
+    + " SELECT * REPLACE (replace(langs_edited, ', ', chr(13) || chr(10)) AS langs_edited) FROM hist",
+    "hist_read_topics": TOPIC_HISTORY
+    + " SELECT * REPLACE (replace(sample_titles, ' | ', chr(10)) AS sample_titles) FROM hist",
     "super_editors": EDITORS + " SELECT * FROM editors",
     "super_editors_top50": EDITORS
     + ' SELECT * FROM editors ORDER BY edit_count DESC, start_time, "user" LIMIT 50',

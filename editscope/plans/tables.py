@@ -3,6 +3,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +67,18 @@ def edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written to the folder that the cluster shares and read again, as a running job lands
+    its feed once. A temporary folder stands in only where the session names none."""
+    path = f"{scratch(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def scratch(spark: SparkSession) -> str:
+    return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="editscope-")
+
+
 def flagged_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rate.suspicious_flag(edits(spark, sf_dir), **RATE)
 

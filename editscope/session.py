@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
+#: Fixed value: where checkpoints are below a database.
+CHECKPOINT_SUFFIX = "/tmp/checkpoint/"
+
 
 def build_session(app: str = "editscope", **conf: str) -> SparkSession:
     """A session with the settings the results depend on: UTC and adaptive execution.
@@ -38,4 +39,4 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def get_checkpoint_location(spark: SparkSession) -> str:
     """Checkpoint folder below the location of the session's current database."""
     database = spark.catalog.getDatabase(spark.catalog.currentDatabase())
-    return os.path.join(database.locationUri, "tmp", "checkpoint", "")
+    return database.locationUri + CHECKPOINT_SUFFIX

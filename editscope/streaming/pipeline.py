@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import text
 from ..operators import geo, live_map, windows
 from ..schemas import GEO
 from ..session import shared_dir
@@ -76,15 +77,21 @@ def start_results(
     size: str = windows.SIZE,
     slide: str = windows.SLIDE,
     watermark: str = windows.WATERMARK,
-    top_editors: int | None = 50,
-    top_topics: int | None = 20,
+    top_editors: int | None = None,
+    top_topics: int | None = None,
+    geo_path: str | None = None,
+    resolver: Callable[[list[str]], list[tuple]] | None = None,
     aggregate_trigger: dict = AGGREGATE_TRIGGER,
     map_trigger: dict = MAP_TRIGGER,
 ) -> list[StreamingQuery]:
-    """Start wars, editors, topics (update mode) and map points (append mode) over ``edits``.
-
-    Without ``checkpoints`` they go below the folder the cluster names. Editors and topics keep
-    the top rows of each micro-batch; ``None`` keeps all of them.
+    """Start wars, editors, topics (update mode) and map points (append mode) over ``edits``, a
+    landed table (``sources.feed.stream_landed``) or another source that does not repeat rows.
+
+    Category and talk pages are left out of all four. Without ``checkpoints`` they go below the
+    folder the cluster names. All rows of a micro-batch are stored; ``top_editors`` and
+    ``top_topics`` would store the top rows only, and a key that leaves them would keep an old
+    version. With ``geo_path`` and ``resolver`` the map looks addresses up in that table and
+    asks for those it lacks; otherwise the edits carry their coordinates.
     ``run_id`` names the series of batch numbers, so it changes with the checkpoint only. The
     caller waits with ``spark.streams.awaitAnyTermination()``, which raises a query's error.
     """
@@ -94,17 +101,23 @@ def start_results(
 
     root = checkpoints or f"{shared_dir(edits.sparkSession)}/results/{run_id}"
     common = {"size": size, "slide": slide, "watermark": watermark}
-    wars = windows.edit_wars(edits, **common)
-    editors = windows.super_editors(edits, **common)
-    topics = windows.topic_trends(edits, **common)
-    points = live_map.map_points(edits)
+    pages = edits.filter(text.is_content_title("title"))
+    wars = windows.edit_wars(pages, **common)
+    editors = windows.super_editors(pages, **common)
+    topics = windows.topic_trends(pages, **common)
     best_editors = top_editors and partial(windows.top_editors_of_batch, k=top_editors)
     best_topics = top_topics and partial(windows.top_topics_of_batch, k=top_topics)
+    if geo_path and resolver:
+        prepare_geo(edits.sparkSession, geo_path)
+        points = pages
+        place = geo_sink(geo_path, f"{output}/map_points", run_id, resolver, fmt, live_map.point_rows)
+    else:
+        points, place = live_map.point_rows(pages), sink("map_points")
     jobs = [
         ("edit_wars", wars, sink("edit_wars"), "update", aggregate_trigger),
         ("super_editors", editors, sink("super_editors", best_editors), "update", aggregate_trigger),
         ("topic_trends", topics, sink("topic_trends", best_topics), "update", aggregate_trigger),
-        ("map_points", points, sink("map_points"), "append", map_trigger),
+        ("map_points", points, place, "append", map_trigger),
     ]
     return [
         run_batches(stream, target, f"{root}/{name}", mode, trigger)
@@ -112,29 +125,73 @@ def start_results(
     ]
 
 
+def last_points(spark: SparkSession, output: str, n: int = 500) -> DataFrame:
+    """The newest points of the map that ``start_results`` keeps below ``output``."""
+    return live_map.rolling_points(spark.read.parquet(f"{output}/map_points"), n)
+
+
 # ---- addresses ---------------------------------------------------------------------------
 
+#: Folders of answers after which the address table is written anew as one.
+COMPACT_AFTER = 64
+ROWS_PER_FILE = 5_000_000
+
 
 def prepare_geo(spark: SparkSession, path: str) -> None:
-    """Make the partitioned, empty address table once, so that it can be read from the start."""
+    """Make the empty address table once, so that it can be read from the start."""
     empty = geo.empty_geo(spark).select(
-        "*", F.lit("").alias("run_id"), F.lit(0).cast("bigint").alias("batch_id")
+        "*", F.lit(None).cast("timestamp").alias("stored_at"), F.lit("").alias("run_id"), F.lit(0).cast("bigint").alias("batch_id")
     )
     empty.write.mode("ignore").partitionBy("run_id", "batch_id").parquet(path)
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{GEO}, stored_at timestamp, run_id string, batch_id bigint").parquet(path)
+
+
+def _newest(stored: DataFrame, *more: str) -> DataFrame:
+    """One row per ip, that stored last; run and batch only decide between equal times."""
+    order = F.struct("stored_at", "run_id", "batch_id")
+    columns = ("lat", "lon", *more)
+    best = stored.groupBy("ip").agg(F.max_by(F.struct(*columns), order).alias("g"))
+    return best.select("ip", *[f"g.{c}" for c in columns])
+
+
 def read_geo(
-    spark: SparkSession, path: str, run_id: str, before: int, ips: DataFrame | None = None
+    spark: SparkSession, path: str, run_id: str | None = None, before: int | None = None, ips: DataFrame | None = None
 ) -> DataFrame:
-    """The address table as it stood before batch ``before`` of this run, one row per ip, for
-    all addresses or for ``ips`` only. A repeated batch does not see what its first try stored,
-    so it gives the same answers."""
-    stored = spark.read.schema(f"{GEO}, run_id string, batch_id bigint").parquet(path)
-    rows = stored.filter((F.col("run_id") != run_id) | (F.col("batch_id") < before))
+    """The address table, one row per ip with the answer stored last, for all addresses or for
+    ``ips`` only. With ``run_id`` and ``before`` it is as it stood before that batch of the run:
+    a repeated batch does not see what its first try stored."""
+    rows = _stored(spark, path)
+    if run_id is not None and before is not None:
+        rows = rows.filter((F.col("run_id") != run_id) | (F.col("batch_id") < before))
     if ips is not None:
         rows = rows.join(ips, "ip", "left_semi")
-    newest = F.max_by(F.struct("lat", "lon"), F.struct("run_id", "batch_id")).alias("g")
-    return rows.groupBy("ip").agg(newest).select("ip", "g.lat", "g.lon")
+    return _newest(rows)
+
+
+def compact_geo(spark: SparkSession, path: str, run_id: str, batch_id: int, after: int = COMPACT_AFTER) -> bool:
+    """If the table has more than ``after`` folders of answers, put the newest answers into a
+    folder of their own, which every run and batch sees, and delete the others. Stopped half-way,
+    it leaves older rows beside newer ones, which the newest time settles."""
+    folders = [tuple(r) for r in _stored(spark, path).select("run_id", "batch_id").distinct().collect()]
+    if len(folders) <= after:
+        return False
+    put = (f"{run_id}-compact", batch_id)
+    rows = _newest(_stored(spark, path), "stored_at").persist()
+    try:
+        files = rows.count() // ROWS_PER_FILE + 1
+        rows.repartition(files).write.mode("overwrite").parquet(batch_folder(path, *put))
+    finally:
+        rows.unpersist()
+    # Spark has no call for deleting a folder; the file system of the table does it
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for run, batch in folders:
+        if (run, batch) != put:
+            folder = hadoop(batch_folder(path, run, batch))
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return True
 
 
 def geo_sink(
@@ -143,9 +200,12 @@ def geo_sink(
     run_id: str,
     resolver: Callable[[list[str]], list[tuple]],
     fmt: str = "parquet",
+    shape: Callable[[DataFrame], DataFrame] | None = None,
+    compact_after: int = COMPACT_AFTER,
 ) -> Sink:
     """Per micro-batch: find addresses not in the table, resolve them in chunks, store the
-    successes, and write the edits with coordinates. The trigger is the buffer."""
+    successes, and write the edits with coordinates, after ``shape``. The trigger is the buffer.
+    A batch without answers stores nothing, and the table's folders are put together in time."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -154,11 +214,19 @@ def geo_sink(
             known = read_geo(spark, geo_path, run_id, batch_id, geo.edit_ips(edits))
             missing = geo.geo_missing(edits, known)
             answers = geo.resolve(missing, resolver).filter(F.col("status") == geo.SUCCESS)
-            folder = batch_folder(geo_path, run_id, batch_id)
-            answers.select("ip", "lat", "lon").write.mode("overwrite").parquet(folder)
-            new = spark.read.schema(GEO).parquet(folder)
-            table = geo.geo_upsert(known, new.withColumn("status", F.lit(geo.SUCCESS)))
-            partition_sink(output, run_id, fmt)(geo.geo_enrich(edits, table), batch_id)
+            answers = answers.select("ip", "lat", "lon", F.current_timestamp().alias("stored_at")).persist()
+            try:
+                table = known
+                if not answers.isEmpty():
+                    folder = batch_folder(geo_path, run_id, batch_id)
+                    answers.write.mode("overwrite").parquet(folder)
+                    new = spark.read.schema(GEO).parquet(folder)
+                    table = geo.geo_upsert(known, new.withColumn("status", F.lit(geo.SUCCESS)))
+                partition_sink(output, run_id, fmt, shape)(geo.geo_enrich(edits, table), batch_id)
+                if batch_id % compact_after == compact_after - 1:
+                    compact_geo(spark, geo_path, run_id, batch_id, compact_after)
+            finally:
+                answers.unpersist()
         finally:
             edits.unpersist()
 
@@ -174,7 +242,8 @@ def start_resolving(
     resolver: Callable[[list[str]], list[tuple]],
     trigger: dict = RESOLVE_TRIGGER,
 ) -> StreamingQuery:
-    """Edits with coordinates, addresses asked once each as long as they are not found."""
+    """Edits with coordinates, addresses asked once each as long as they are not found. The
+    output is for static readers (see ``sinks``)."""
     prepare_geo(edits.sparkSession, geo_path)
     sink = geo_sink(geo_path, output, run_id, resolver)
     return run_batches(edits, sink, checkpoint, "append", trigger)

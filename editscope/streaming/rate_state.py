@@ -13,7 +13,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.times import MICROS, event_micros, floor_div
 
-FREE_GROUPS = 64
+#: How long (in time of arrival) a user's times are kept after the last edit.
+IDLE = "10 minutes"
 
 
 def suspicious_flag_stream(
@@ -26,52 +27,50 @@ def suspicious_flag_stream(
     id_col: str = "event_id",
     bot_col: str = "is_bot",
     out: str = "is_suspicious",
-    watermark: str = "5 minutes",
+    idle: str = IDLE,
     cells_per_bucket: int = 8,
 ) -> DataFrame:
-    """Streaming form of ``suspicious_flag`` with the same flags for edits that arrive in order.
+    """Streaming form of ``suspicious_flag``: every edit comes out once, and edits that arrive in
+    order get the same flags.
 
     As in the static form, a user's edits are split by time bucket, with the last ``seconds`` of
     a bucket copied into the next one, so a backlog of one busy user is worked off in parallel.
-    The state of a (user, bucket) is the times of the last ``n - 1`` edits and is dropped once
-    the watermark is ``seconds`` past the newest of them. Edits of one micro-batch are ordered
-    by (time, id); an edit arriving in a later batch than younger ones is judged against those.
+    The state of a (user, bucket) is the times of the last ``n - 1`` edits. Edits of one
+    micro-batch are ordered by (time, id); a late edit, however late, is judged against the state
+    and passed on. State goes once nothing has arrived for a bucket for ``idle``: the watermark is
+    on the time of arrival, so no edit is behind it. Bots, unknown users and rows without a time are never flagged and go past the
+    state; ``edits`` is read for them a second time.
 
     What one task holds is at most one bucket of one user out of one micro-batch, and the source
-    bounds the micro-batch (see ``sources.feed``).
+    bounds the bytes of a micro-batch (see ``sources.feed``).
     """
     columns = [c for c in edits.columns if c != out]
-    rows = (
-        edits.select(*columns)
-        .withWatermark(time_col, watermark)
-        .withColumn("_us", event_micros(edits, time_col))
-        .filter(F.col("_us").isNotNull())
-        .withColumn("_tracked", ~F.coalesce(F.col(bot_col), F.lit(False)) & F.col(user).isNotNull())
+    rows = edits.select(*columns).withColumn("_us", event_micros(edits, time_col))
+    tracked = (
+        ~F.coalesce(F.col(bot_col), F.lit(False)) & F.col(user).isNotNull() & F.col("_us").isNotNull()
     )
-    # Rows that are never tested need no state and share a few groups apart from any user.
-    free = F.concat(F.lit("-"), F.pmod(F.xxhash64(id_col, "_us"), F.lit(FREE_GROUPS)).cast("string"))
+    free = rows.filter(~tracked).select(*columns, F.lit(False).alias(out))
     span = seconds * MICROS
     cell = floor_div(F.col("_us"), span)
     home = floor_div(cell, cells_per_bucket)
     last_cell = F.pmod(cell, F.lit(cells_per_bucket)) == cells_per_bucket - 1
-    buckets = (
-        F.when(~F.col("_tracked"), F.array(F.lit(0).cast("bigint")))
-        .when(last_cell, F.array(home, home + 1))
-        .otherwise(F.array(home))
-    )
     keyed = (
-        rows.withColumn("_who", F.when(F.col("_tracked"), F.concat(F.lit("+"), user)).otherwise(free))
-        .withColumn("_bucket", F.explode(buckets))
-        .withColumn("_own", ~F.col("_tracked") | (F.col("_bucket") == home))
+        rows.filter(tracked)
+        .withColumn("_arrived", F.current_timestamp())
+        .withWatermark("_arrived", idle)
+        .withColumn("_arrived_ms", F.unix_millis("_arrived"))
+        .withColumn("_bucket", F.explode(F.when(last_cell, F.array(home, home + 1)).otherwise(F.array(home))))
+        .withColumn("_own", F.col("_bucket") == home)
     )
     schema = T.StructType([rows.schema[c] for c in columns] + [T.StructField(out, T.BooleanType())])
-    return keyed.groupBy("_who", "_bucket").applyInPandasWithState(
+    flagged = keyed.groupBy(user, "_bucket").applyInPandasWithState(
         _flagger(span, n, id_col, columns, out),
         schema,
         "times array<bigint>",
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )
+    return flagged.union(free)
 
 
 def _flagger(span: int, n: int, id_col: str, columns: list[str], out: str):
@@ -82,9 +81,6 @@ def _flagger(span: int, n: int, id_col: str, columns: list[str], out: str):
             state.remove()
             return
         rows = pd.concat(list(chunks), ignore_index=True)
-        if key[0].startswith("-"):
-            yield rows[columns].assign(**{out: False})
-            return
         rows = rows.sort_values(["_us", id_col], ignore_index=True)
         before = np.array(state.get[0] if state.exists else [], dtype="int64")
         times = np.concatenate([before, rows["_us"].to_numpy("int64")])
@@ -94,8 +90,7 @@ def _flagger(span: int, n: int, id_col: str, columns: list[str], out: str):
         kept = np.sort(times)[max(len(times) - (n - 1), 0) :]
         if n > 1:
             state.update((kept.tolist(),))
-            expiry = (int(kept[-1]) + span) // 1000 + 1
-            state.setTimeoutTimestamp(max(expiry, state.getCurrentWatermarkMs() + 1))
+            state.setTimeoutTimestamp(max(int(rows["_arrived_ms"].max()), state.getCurrentWatermarkMs()) + 1)
         rows[out] = flags[len(before) :]
         yield rows.loc[rows["_own"], [*columns, out]]
 

@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ..sources.history import CSV_WRITE
+from ..sources.history import CSV_WRITE, packed
 
 Sink = Callable[[DataFrame, int], None]
 
@@ -26,9 +27,12 @@ def partition_sink(
     fmt: str = "parquet",
     shape: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Sink:
-    """Write every non-empty micro-batch, after ``shape``, as partition (run_id, batch_id).
+    """Write every non-empty micro-batch, after ``shape``, as partition (run_id, batch_id) and,
+    for windowed rows, the ``day`` of their end, by which readers of recent results prune.
 
-    Files are written by the tasks in parallel; reading ``path`` gives both ids back as columns.
+    Files are written by the tasks in parallel; reading ``path`` gives the ids back as columns.
+    The folders are for static readers: a repeated batch replaces its files, which a stream that
+    reads them would take for new ones. Streams start from a landed table.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -57,7 +61,12 @@ def snapshot_sink(path: str, fmt: str = "parquet") -> Sink:
 
 
 def _write(rows: DataFrame, folder: str, fmt: str) -> None:
-    writer = rows.write.mode("overwrite").format(fmt)
+    dated = "end_time" in rows.columns and "day" not in rows.columns
+    if dated:
+        rows = rows.withColumn("day", F.to_date("end_time"))
+    writer = (packed(rows) if fmt == "csv" else rows).write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.options(header=True, **CSV_WRITE)
+    if dated:
+        writer = writer.partitionBy("day")
     writer.save(folder)

@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_point
 
+from editscope.plans import catalog, oracle
+
 from .compare import assert_same, connect
 
 # Five-minute windows hold little of the small tables' thirty days.
@@ -22,8 +24,14 @@ def test_same_as_duckdb(spark, sf_dir, db, name):
     assert rows > 0 or name in SPARSE
 
 
-def test_every_exact_query_has_an_oracle():
-    assert set(QUERIES) - set(ORACLE) == {"edit_wars_approx"}
+def test_every_query_has_an_oracle():
+    assert set(catalog.QUERIES) == set(oracle.ORACLE)
+
+
+@pytest.mark.parametrize("name", ["suspicious_flag_hot", "suspicious_flag_fast", "feed_to_wars", "hist_read_topics"])
+def test_queries_that_must_find_something(spark, sf_dir, name):
+    rows = QUERIES[name](spark, sf_dir)
+    assert (rows.filter("is_suspicious") if name.startswith("suspicious") else rows).count() > 0
 
 
 def test_entry(spark):

@@ -1,14 +1,18 @@
 """What the physical plans must and must not contain."""
 
+import datetime as dt
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from editscope import schemas
 from editscope.functions import text
-from editscope.operators import history, live_map, rate, windows
+from editscope.operators import geo, history, live_map, rate, windows
 from editscope.plans import catalog
+from editscope.streaming import sinks
 
-from .edits import random_edits, table
+from .edits import edit, random_edits, table
 
 
 def plan(df):
@@ -44,19 +48,86 @@ def test_map_filter_reaches_the_scan(silver):
 
 
 @pytest.mark.parametrize("operator", [windows.edit_wars, windows.topic_trends])
-def test_windows_combine_twice_and_shuffle_twice(silver, operator):
-    steps = plan(operator(silver()))
-    assert steps.count("Exchange hashpartitioning") == 2
+def test_lists_are_built_after_the_conditions(silver, operator):
+    found = operator(silver())
+    steps = plan(found)
     # The plan reads bottom-up: below the copying into windows there is already an aggregation.
     assert steps.rindex("partial_") > steps.index("Expand")
+    assert "collect_set" not in steps
+    # The list stands above the join with what met the conditions.
+    assert steps.index("collect_list") < steps.index("Join") < steps.index("Expand")
+
+
+@pytest.mark.parametrize("operator", [windows.edit_wars, windows.topic_trends])
+def test_estimates_merge_sketches_of_panes(silver, operator):
+    steps = plan(operator(silver(), exact=False))
+    assert steps.count("Exchange hashpartitioning") == 2 and "collect" not in steps
+    assert steps.rindex("hll_sketch_agg") > steps.index("Expand") > steps.index("hll_union_agg")
+
+
+@pytest.mark.parametrize("operator,key,member", [(windows.war_members, "title", "user"), (windows.topic_members, "topic", "title")])
+def test_a_page_with_half_of_the_edits_is_spread(spark, operator, key, member):
+    rows = [edit(i, i % 600, title="Big page" if i % 2 else f"P{i} x", user=f"u{i}") for i in range(4000)]
+    if key == "topic":
+        rows = [edit(i, i % 600, title=f"Big p{i}" if i % 2 else f"P{i} x") for i in range(4000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        panes = windows._per_member(
+            table(spark, rows).withColumn("topic", text.topic_key("title")), "5 minutes", "1 minute", "ts", key, member,
+            [F.count("*").alias("edits")], [F.sum("edits").alias("edits")],
+        )
+        sizes = [r["count"] for r in panes.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(sizes) < 1.3 * sum(sizes) / len(sizes)
+    options = {"min_reverts": 0} if key == "title" else {}
+    assert operator(table(spark, rows), **options).count() > 0
 
 
 def test_rate_flag_moves_the_edits_once(silver):
     steps = plan(rate.suspicious_flag(silver()))
     wide = [line for line in steps.splitlines() if "Exchange hashpartitioning(user" in line and "_bucket" in line]
     assert len(wide) == 1
-    # Broadcast: the bounded list of hot cells and their ends, nothing else.
-    assert steps.count("BroadcastExchange") == 2 and "TakeOrderedAndProject(limit=20000" in steps
+    # Broadcast: the list of hot cells and their ends, nothing else. A cell is hot from a share
+    # of all rows on, so no more than that many can be; nothing is cut off.
+    assert steps.count("BroadcastExchange") == 2 and "Limit" not in steps.replace("WindowGroupLimit", "")
+    assert "subquery" in steps.lower()
+
+
+def test_only_addresses_are_shuffled_for_coordinates(spark, silver):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        places = spark.createDataFrame([("1.1.1.1", 1.0, 2.0)], schemas.GEO)
+        steps = plan(geo.geo_enrich(silver(), places))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in steps and "Union" in steps
+    left = steps[steps.index("SortMergeJoin"):]
+    assert "RLIKE" in left or "Contains" in left or "rlike" in left.lower() or "Filter" in left
+
+
+def test_recent_results_read_recent_days(spark, tmp_path):
+    path = str(tmp_path / "wars")
+    sink = sinks.partition_sink(path, "r")
+    rows = spark.createDataFrame(
+        [(dt.datetime(2026, 5, d, 18), dt.datetime(2026, 5, d, 19), f"T{d}", 2) for d in range(1, 29)],
+        "start_time timestamp, end_time timestamp, title string, total_edits bigint",
+    )
+    sink(rows, 0)
+    stored = spark.read.parquet(path)
+    assert "day" in stored.columns
+    recent = history.last_range(stored, "end_time", "2 days")
+    assert sorted(r.title for r in recent.collect()) == ["T26", "T27", "T28"]
+    assert re.search(r"PartitionFilters: \[[^\]]*day", plan(recent))
+
+
+def test_figures_scan_the_history_once(spark, tmp_path):
+    path = str(tmp_path / "wars")
+    columns = "start_time timestamp, end_time timestamp, title string, total_edits bigint, reverts_count bigint, batch_id bigint"
+    spark.createDataFrame([(dt.datetime(2026, 5, 1), dt.datetime(2026, 5, 2), "T", 2, 1, 3)], columns).write.parquet(path)
+    steps = plan(history.war_kpis(spark.read.parquet(path)))
+    assert steps.count("FileScan") == 1
 
 
 def test_small_results_are_bounded_top_k(silver):

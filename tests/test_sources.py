@@ -5,7 +5,7 @@ import pytest
 from editscope import schemas, session
 from editscope.operators.history import data_status
 from editscope.sources import feed, history
-from editscope.streaming import pipeline
+from editscope.streaming import pipeline, sinks
 
 
 WAR = (
@@ -58,6 +58,34 @@ def test_a_history_that_has_not_begun_is_empty(spark, tmp_path):
     assert data_status({"wars": none, "more": rows(spark)}).filter("has_data").collect()[0].table_name == "more"
 
 
+def test_one_missing_path_leaves_the_others(spark, tmp_path):
+    rows(spark).write.options(header=True, **history.CSV_WRITE).csv(str(tmp_path / "a"))
+    paths = [f"{tmp_path}/missing", f"{tmp_path}/a", f"{tmp_path}/later"]
+    got = history.read_history(spark, paths, schemas.EDIT_WARS, "start_time", "end_time")
+    assert got.count() == len(ODD) + 1
+
+
+def test_unreadable_files_are_an_error_unless_skipped(spark, tmp_path):
+    rows(spark).write.options(header=True, **history.CSV_WRITE).csv(str(tmp_path / "a"))
+    (tmp_path / "a" / "broken.csv.gz").write_bytes(b"no gzip")
+    with pytest.raises(Exception, match="(?i)gzip|corrupt|read"):
+        history.read_history(spark, f"{tmp_path}/a", schemas.EDIT_WARS, "start_time").collect()
+    got = history.read_history(spark, f"{tmp_path}/a", schemas.EDIT_WARS, "start_time", skip_corrupt=True)
+    assert got.count() == len(ODD) + 1
+
+
+BREAKS = ["x\ny", "x\\ny", "\r\n", "\\\n", "c:\\new\\\\run\n\\", "plain", "", "tail\\"]
+
+
+def test_line_breaks_round_trip_through_a_sink(spark, tmp_path):
+    data = [(T, T, f"t{i}", 2, 2, "a, b", text, 7, 1, 0) for i, text in enumerate(BREAKS)]
+    frame = spark.createDataFrame(data, WAR)
+    sinks.partition_sink(f"{tmp_path}/w", "r", "csv")(frame.drop("batch_id"), 3)
+    got = history.read_history(spark, f"{tmp_path}/w", schemas.EDIT_WARS, "start_time", "end_time").collect()
+    assert sorted((r.title, r.latest_comment, r.latest_revision, r.reverts_count, r.batch_id) for r in got) == sorted(
+        (f"t{i}", text, 7, 1, 3) for i, text in enumerate(BREAKS))
+
+
 def test_kafka_options():
     class Reader:
         def __init__(self):

@@ -186,17 +186,125 @@ def test_rate_flag_stream_gives_the_batch_flags(spark, landing, tmp_path, second
     assert expected.filter("is_suspicious").count() > 0
 
 
-def test_rate_state_is_dropped_behind_the_watermark(spark, landing, tmp_path):
+def test_rate_state_goes_when_nothing_arrives(spark, landing, tmp_path):
     landing.add([edit(i, i) for i in range(5)])
-    landing.add([edit(10, 7200, user="v")])
-    landing.add([edit(11, 14400, user="w")])
-    landing.add([edit(12, 21600, user="x")])
-    flagged = rate_state.suspicious_flag_stream(landing.stream())
+    for k, user in enumerate("vwx"):
+        landing.add([edit(10 + k, 7200 * (k + 1), user=user)])
+    flagged = rate_state.suspicious_flag_stream(landing.stream(), idle="1 millisecond")
     query = run(flagged, sinks.partition_sink(f"{tmp_path}/out", "r"), tmp_path / "cp", "append")
     assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 2
     assert spark.read.parquet(f"{tmp_path}/out").count() == 8
 
 
+def test_rate_flag_stream_keeps_every_edit(spark, landing, tmp_path):
+    landing.add([edit(1, 0), edit(2, 1), edit(3, 90_000)])
+    landing.add([edit(4, 90_001)])
+    landing.add([edit(5, 2), edit(6, 3, is_bot=True), edit(7, 0, ts=None), edit(8, 4, user=None)])  # days late
+    flagged = rate_state.suspicious_flag_stream(landing.stream(), 60, 2)
+    run(flagged, sinks.partition_sink(f"{tmp_path}/out", "r"), tmp_path / "cp", "append")
+    got = {r.event_id: r.is_suspicious for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {1: False, 2: True, 3: False, 4: True, 5: True, 6: False, 7: False, 8: False}
+
+
+def events_of(seed):
+    """Feed events in order of time: wars, busy users, topics, a talk page and a category page."""
+    rows = sorted(random_edits(seed, 200), key=lambda r: r[1])
+    events = []
+    for i, r in enumerate(rows):
+        title = ["Talk:Hot page", "Category:A_1"][i % 2] if i % 9 == 0 else r[5]
+        events.append({
+            "type": "edit", "user": r[2] or "1.1.1.1", "title": title, "bot": r[3], "server_name": f"{r[6] or 'en'}.example.org",
+            "length": {"old": 0, "new": r[7] or 0}, "comment": r[8], "revision": {"new": i}, "timestamp": 1_700_000_000 + int((r[1] - at(0)).total_seconds()),
+        })
+    return events
+
+
+def test_feed_to_results_loses_and_doubles_nothing(spark, tmp_path):
+    """Feed lines, flag, landing and the four results, with a batch of each result repeated after a failure."""
+    feed_dir, silver = tmp_path / "feed", f"{tmp_path}/silver"
+    feed_dir.mkdir()
+    events = events_of(31)
+    odd = [
+        {"type": "edit", "user": "u1", "title": "A_1", "revision": {"new": 900}},  # without a time
+        {"type": "edit", "user": "u1", "title": "A_1", "revision": {"new": 901}, "timestamp": 1_600_000_000},  # years late
+        {"type": "edit", "user": "u2", "title": "A 3", "revision": {"new": 902}, "timestamp": 9_000_000_000_000_000_000,
+         "length": {"old": -9_223_372_036_854_775_807, "new": 9_223_372_036_854_775_807}},
+        {"type": "edit", "user": "u2", "title": "A 3", "revision": {"new": 903}, "timestamp": 1_700_000_900, "length": {"new": 3_000_000_000}},
+    ]
+    lines = lambda part: "".join(f"data: {json.dumps(e)}\n\n" for e in part)
+    for k, part in enumerate([events[:80], events[80:] + odd]):
+        (feed_dir / f"{k}.txt").write_text(lines(part))
+        os.utime(feed_dir / f"{k}.txt", (1_700_000_000 + k, 1_700_000_000 + k))
+        edits = normalize.parse_feed(feed.stream_text(spark, str(feed_dir)), F.lit(None).cast("timestamp"))
+        pipeline.land(rate_state.suspicious_flag_stream(edits), silver, f"{tmp_path}/cp-land", NOW).awaitTermination()
+    landed = spark.read.parquet(silver)
+    assert landed.count() == 204
+    assert {r.revision_id for r in landed.filter("ts is null").collect()} == {900, 902}
+    assert landed.filter("revision_id in (902, 903) and length_diff is null").count() == 2
+    def start(resolver):
+        return pipeline.start_results(
+            feed.stream_landed(spark, silver, landed.schema, 1024), f"{tmp_path}/out", f"{tmp_path}/cp", "r",
+            watermark="1 hour", geo_path=f"{tmp_path}/geo", resolver=resolver, aggregate_trigger=NOW, map_trigger=NOW,
+        )
+
+    def fail(names):
+        raise RuntimeError("no service")
+
+    first = start(fail)
+    for query in first[:3]:
+        query.awaitTermination()
+    with pytest.raises(Exception, match="no service"):
+        first[3].awaitTermination()
+    # the last batch of each result runs again: its commit is taken back
+    for name in ("edit_wars", "super_editors", "topic_trends"):
+        commits = tmp_path / "cp" / name / "commits"
+        last = max(int(p.name) for p in commits.iterdir() if p.name.isdigit())
+        (commits / str(last)).write_text("")
+        (commits / str(last)).unlink()
+        for crc in commits.glob(f".{last}.crc"):
+            crc.unlink()
+    for query in start(lambda names: [(n, "success", 1.5, 2.5) for n in names]):
+        query.awaitTermination()
+    # events more than the watermark behind are dropped by the aggregates, and only those
+    timed = landed.filter("ts >= timestamp'2023-01-01' and not startswith(title, 'Talk:') and not startswith(title, 'Category:')")
+    for operator, name, keys in (
+        (windows.edit_wars, "edit_wars", ["start_time", "title"]), (windows.super_editors, "super_editors", ["start_time", "user"]),
+        (windows.topic_trends, "topic_trends", ["start_time", "topic"]),
+    ):
+        expected = operator(timed)
+        got = latest(spark, f"{tmp_path}/out/{name}", keys).select(expected.columns)
+        assert plain(got) == plain(expected), name
+    points = pipeline.last_points(spark, f"{tmp_path}/out", 1000)
+    want = landed.filter("user = '1.1.1.1' and not startswith(title, 'Talk:') and not startswith(title, 'Category:')")
+    assert sorted(r.event_id for r in points.collect()) == sorted(r.event_id for r in want.collect())
+    assert {(r.lat, r.lon) for r in points.collect()} == {(1.5, 2.5)}
+
+
+def test_address_table_stays_small_and_newest_wins(spark, tmp_path):
+    path = f"{tmp_path}/geo"
+    pipeline.prepare_geo(spark, path)
+    places = {}
+
+    def resolver(names):
+        return [(n, "success", places["lat"], 0.0) for n in names if n != "9.9.9.9"]
+
+    for run_id, base in (("z", 0.0), ("a", 100.0)):
+        write = pipeline.geo_sink(path, f"{tmp_path}/out", run_id, resolver, compact_after=4)
+        for batch in range(12):
+            places["lat"] = base + batch
+            rows = [edit(1, user=f"1.1.{len(run_id)}.{batch}"), edit(2, user="9.9.9.9"), edit(3, user="Alice")]
+            write(table(spark, rows if batch % 3 else rows[1:]), batch)
+    folders = [p for p in (tmp_path / "geo").rglob("batch_id=*")]
+    assert len(folders) <= 8
+    got = {r.ip: r.lat for r in pipeline.read_geo(spark, path).collect()}
+    assert got == {f"1.1.1.{b}": float(b) for b in range(12) if b % 3}
+    # the run that sorts first by name stored last, and its answer counts
+    for run_id, lat in (("z", 1.0), ("a", 2.0)):
+        stored = spark.createDataFrame([("5.5.5.5", lat, 0.0)], schemas.GEO).withColumn("stored_at", F.current_timestamp())
+        stored.write.parquet(f"{path}/run_id={run_id}-x/batch_id=99")
+    assert pipeline.read_geo(spark, path, ips=spark.createDataFrame([("5.5.5.5",)], "ip string")).first().lat == 2.0
+
+
 def test_feed_files_to_landed_edits_and_messages(spark, tmp_path):
     (tmp_path / "feed").mkdir()
     events = [{"type": "edit", "user": f"u{i}", "title": "T", "timestamp": 1_700_000_000 + i} for i in range(5)]
