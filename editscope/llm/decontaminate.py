@@ -339,3 +339,33 @@ def op10_decontaminate(spark, sf_dir) -> DataFrame:
         F.sha2(F.array_join("hits.items", ",").cast("binary"), 256).alias("items_sha256"),
         (hit > 0).alias("contaminated"),
     )
+
+
+OP10_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, k, k + least(len(w), 10) - 1), ' ') AS s
+  FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) t(k) WHERE len(w) > 0
+), sizes AS (
+  SELECT DISTINCT n FROM windows
+), places AS (
+  SELECT doc_id, k, n, array_to_string(list_slice(w, k, k + n - 1), ' ') AS s FROM d, sizes, unnest(range(1, len(w) - n + 2)) t(k)
+), found AS (
+  SELECT doc_id, k, n, item_id FROM places JOIN windows USING (n, s)
+), words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(k, k + n)) t(p) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""

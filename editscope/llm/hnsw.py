@@ -366,3 +366,27 @@ def near_duplicates(
 def op9_hnsw(spark, sf_dir) -> DataFrame:
     """Near-duplicate links and components of all embeddings, whatever their labels."""
     return near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), usable AS (
+  SELECT vec_id, e FROM vectors
+  WHERE e IS NOT NULL AND len([x FOR x IN e IF x IS NULL OR isnan(x) OR isinf(x)]) = 0
+    AND len([x FOR x IN e IF x <> 0]) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), reached(id, other) AS (
+  SELECT vec_id, vec_id FROM vectors
+  UNION
+  SELECT links.a, reached.other FROM reached JOIN links ON reached.id = links.b
+), lowest AS (
+  SELECT id, min(other) AS component_id FROM reached GROUP BY id
+), counts AS (
+  SELECT a, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN lowest ON vec_id = id LEFT JOIN counts ON vec_id = a
+"""

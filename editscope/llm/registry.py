@@ -20,4 +20,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op2_chat": chat.OP2_SQL,
     "op5_warc": warc.OP5_SQL,
+    "op9_hnsw": hnsw.OP9_SQL,
+    "op10_decontaminate": decontaminate.OP10_SQL,
 }
