@@ -1,6 +1,7 @@
 """Visible text of web pages, laid out: a tree builder with implied tags, visibility rules, and a renderer.
 
 The builder closes what a new tag implies (paragraphs, list items, table parts) and ignores end tags that match nothing.
+Visibility is inherited and can be set back by a child; what has no display takes its children along.
 The renderer leaves out what a browser does not show and keeps all other text: blocks on lines of their own, blank lines
 around paragraphs, headings, lists and tables, list marks with indentation, table cells in aligned columns.
 """
@@ -48,14 +49,57 @@ PAD = 60  # a cell is padded up to this width; longer ones stand as they are
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_NOT_SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+#: A declaration ends at a semicolon outside of quotes and parentheses.
+_DECLARATION = re.compile(r"""(?:[^;"'(\\]|\\.?|"(?:[^"\\]|\\.)*"?|'(?:[^'\\]|\\.)*'?|\((?:[^()"']|"[^"]*"|'[^']*')*\)?)+""", re.S)
+_ANY_PROPERTY = frozenset("inherit initial unset revert revert-layer".split())
+#: Values that a browser takes; a declaration with another one does not count.
+_VALUES = {
+    "visibility": _ANY_PROPERTY | frozenset("visible hidden collapse".split()),
+    "display": _ANY_PROPERTY | frozenset(
+        "none contents block inline flow flow-root table flex grid ruby math list-item run-in inline-block inline-table "
+        "inline-flex inline-grid table-row-group table-header-group table-footer-group table-row table-cell "
+        "table-column-group table-column table-caption ruby-base ruby-text ruby-base-container ruby-text-container "
+        "-webkit-box -webkit-inline-box -webkit-flex -webkit-inline-flex".split()
+    ),
+}
+ROWS = frozenset("tr thead tbody tfoot".split())
+
+
+def declared(style: str) -> dict[str, str]:
+    """``display`` and ``visibility`` of a style attribute: the last valid declaration, important ones first."""
+    found: dict[str, tuple[bool, str]] = {}
+    for declaration in _DECLARATION.findall(_COMMENT.sub("", style.lower())):
+        name, _, value = declaration.partition(":")
+        name = name.strip()
+        if name not in _VALUES:
+            continue
+        value, mark, rest = value.partition("!")
+        words = ["unset"] if "var(" in value else value.split()
+        if mark and rest.strip() != "important" or not words or not _VALUES[name].issuperset(words):
+            continue
+        if len(words) > 1 and (name == "visibility" or "none" in words):
+            continue
+        if mark or not found.get(name, (False, ""))[0]:
+            found[name] = bool(mark), " ".join(words)
+    return {name: value for name, (_, value) in found.items()}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    """``sight`` is the visibility: visible, hidden or collapse; that of the parent unless the element has its own."""
 
-    def __init__(self, tag: str, attrs: str = ""):
-        self.tag, self.attrs, self.children = tag, attrs, []
+    __slots__ = ("tag", "attrs", "children", "sight", "display")
+
+    def __init__(self, tag: str, attrs: str = "", sight: str = "visible"):
+        self.tag, self.attrs, self.children, self.sight, self.display = tag, attrs, [], sight, ""
+        style = self.get("style") if attrs else None
+        if style:
+            own = declared(style)
+            self.display = own.get("display", "")
+            if own.get("visibility", "") in ("visible", "hidden", "collapse"):
+                self.sight = own["visibility"]
+            elif own.get("visibility") == "initial":
+                self.sight = "visible"
 
     def get(self, name: str) -> str | None:
         """An attribute's value; empty if it has none, None if it is not there."""
@@ -155,21 +199,22 @@ def parse(html: str) -> Node:
                 pop_to(frozenset(["p"]), SCOPE)
             if name in IMPLIED:
                 pop_to(*IMPLIED[name])
-            node = Node(name, attrs)
+            node = Node(name, attrs, stack[-1].sight)
             stack[-1].children.append(node)
             if name not in VOID and not (attrs.endswith("/") and name in ("svg", "path")) and len(stack) < DEPTH:
                 stack.append(node)
         elif name == "br":
-            stack[-1].children.append(Node("br"))
+            stack[-1].children.append(Node("br", "", stack[-1].sight))
         elif name in VOID or name == "html":
             continue
         elif not pop_to(frozenset([name]), _barrier(name)) and name == "p":
-            stack[-1].children.append(Node("p"))
+            stack[-1].children.append(Node("p", "", stack[-1].sight))
     return root
 
 
-def visible(node: Node) -> bool:
-    if node.tag in HIDDEN:
+def displayed(node: Node) -> bool:
+    """Whether an element has a place on the page. Its text may still be out of sight, that of its children in sight."""
+    if node.tag in HIDDEN or node.sight == "collapse" and node.tag in ROWS:
         return False
     if not node.attrs:
         return node.tag != "dialog"
@@ -177,7 +222,7 @@ def visible(node: Node) -> bool:
         return False
     if node.tag == "dialog" and node.get("open") is None:
         return False
-    return not _NOT_SHOWN.search(node.get("style") or "")
+    return node.display != "none"
 
 
 class Page:
@@ -236,6 +281,8 @@ class Page:
 def _render(node: Node, page: Page, preformatted: bool = False, number: list[int] | None = None) -> None:
     for child in node.children:
         if isinstance(child, str):
+            if node.sight != "visible":
+                continue
             if preformatted:
                 rows = unescape(child).replace("\r\n", "\n").split("\n")
                 for k, row in enumerate(rows):
@@ -252,7 +299,7 @@ def _render(node: Node, page: Page, preformatted: bool = False, number: list[int
                 page.text(child)
             continue
         tag = child.tag
-        if not visible(child):
+        if not displayed(child):
             continue
         if tag == "br":
             if page.now:
@@ -261,7 +308,8 @@ def _render(node: Node, page: Page, preformatted: bool = False, number: list[int
                 page.gap = 2
         elif tag == "hr":
             page.line(2)
-            page.whole("---")
+            if child.sight == "visible":
+                page.whole("---")
             page.line(2)
         elif tag == "table":
             page.line(2)
@@ -281,7 +329,8 @@ def _render(node: Node, page: Page, preformatted: bool = False, number: list[int
             else:
                 mark = "- "
             outer, page.indent = page.indent, page.indent + " " * len(mark)
-            page.mark = mark
+            if child.sight == "visible":
+                page.mark = mark
             _render(child, page, preformatted)
             if page.mark == mark:  # an empty item
                 page.mark = ""
@@ -319,9 +368,9 @@ def _rows(node: Node) -> Iterator[tuple[str, object]]:
     """Rows and captions of a table in order; text that stands loose in it comes before it, as in browsers."""
     for child in node.children:
         if isinstance(child, str):
-            if child.strip():
+            if node.sight == "visible" and child.strip():
                 yield "loose", child
-        elif not visible(child):
+        elif not displayed(child):
             continue
         elif child.tag == "tr":
             yield "row", child
@@ -363,9 +412,9 @@ def _table(table: Node) -> list[str]:
         if kind == "row":
             for child in node.children:
                 if isinstance(child, Node) and child.tag in ("td", "th"):
-                    if visible(child):
+                    if displayed(child):
                         cells.append(child)
-                elif isinstance(child, Node) or child.strip():
+                elif isinstance(child, Node) or node.sight == "visible" and child.strip():
                     loose.children.append(child)
         for cell in cells:
             place(row, cell)

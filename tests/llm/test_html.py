@@ -33,6 +33,34 @@ def test_layout(page, text):
     assert html_text.render(page) == text
 
 
+STYLES = [
+    ("<h1 style='backface-visibility: hidden'>card</h1>", "card"),
+    ("<p style='-x-display:none;--visibility:hidden'>kept", "kept"),
+    ("<p style='display:none;display:block'>a</p><p style='display:block;display:none'>b", "a"),
+    ("<p style='display:none!important;display:block'>a</p><p style='DISPLAY : None'>b</p><p style='display:none;display:bogus'>c", ""),
+    ("<p style='background:url(x;display:none)'>a<p style=\"content:';display:none'\">b<p style='/*;display:none;*/color:red'>c",
+     "a\n\nb\n\nc"),
+    ("<div style='visibility:hidden'>no<p style='visibility:visible'>yes<b style='visibility:hidden'>no</b></p>no</div>", "yes"),
+    ("<div style='display:none'>no<p style='display:block;visibility:visible'>no</p></div>yes", "yes"),
+    ("<ol><li>a<li style='visibility:hidden'>b<li>c</ol>", "1. a\n3. c"),
+    ("<ul style='visibility:hidden'><li>a<li style='visibility:visible'>b</ul>", "- b"),
+    ("<table><tr><td>aa<td style='visibility:hidden'>b<td>c<tr><td>d<td>ee<td>f</table>", "aa      c\nd   ee  f"),
+    ("<table><tr style='visibility:collapse'><td style='visibility:visible'>a<tr><td>b</table>", "b"),
+    ("<table style='visibility:hidden'>no<tr>no<td>no<td style='visibility:visible'>yes</table>", "yes"),
+    ("<pre style='visibility:hidden'>a\n<b style='visibility:visible'>b</b></pre>c", "b\n\nc"),
+]
+
+
+@pytest.mark.parametrize("page,text", STYLES)
+def test_styles_hide_only_what_a_browser_hides(page, text):
+    assert html_text.render(page) == text
+
+
+def test_long_styles():
+    assert html_text.render(f"<p style='{'(' * 50_000}display:none'>a") == "a"
+    assert html_text.render(f"<p style='{'a:b;' * 50_000}display:none'>a") == ""
+
+
 def test_deep_and_long_pages():
     assert html_text.render("<div>" * 100_000 + "deep") == "deep"
     assert html_text.render("<table><tr><td>" * 2000 + "x").strip() == "x"
