@@ -2,7 +2,9 @@
 
 The builder closes what a new tag implies (paragraphs, list items, table parts) and ignores end tags that match nothing.
 Visibility is inherited and can be set back by a child; what has no display takes its children along.
-The renderer leaves out what a browser does not show and keeps all other text: blocks on lines of their own, blank lines
+The renderer leaves out what a browser does not show and keeps all other text, also that of drawings, text areas, the
+chosen option of a list, and the values and placeholders of buttons and fields. Labels that a browser makes up itself
+(a submit button without a value) and copies by SVG's ``use`` are not made: blocks on lines of their own, blank lines
 around paragraphs, headings, lists and tables, list marks with indentation, table cells in aligned columns.
 """
 
@@ -22,11 +24,27 @@ from . import common
 # Element names of HTML and how they behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas svg select textarea".split())
+HIDDEN = frozenset("head script style template title noscript iframe noembed noframes datalist object audio video canvas".split())
+#: Input elements whose value is shown; those of the second group show their placeholder if the value is empty.
+BUTTONS = frozenset("submit button reset".split())
+FIELDS = frozenset("text search tel url email number".split())
+OTHER_INPUTS = frozenset(
+    "hidden password date month week time datetime-local range color checkbox radio file image".split()
+) | BUTTONS | FIELDS
+#: Parts of a drawing that are not drawn where they stand, or hold no text to draw.
+SVG_HIDDEN = frozenset(
+    "defs symbol clippath mask pattern marker lineargradient radialgradient filter desc metadata title style script".split()
+)
+SVG_TO_HTML = frozenset("foreignobject desc title".split())
+#: Start tags that end a drawing, since they do not belong in it.
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr".split())
 BLOCK = SPACED | frozenset(
     "html body div section article aside header footer nav main address form fieldset legend li dt dd figcaption "
-    "details summary dialog center menu caption tr td th thead tbody tfoot option".split()
+    "details summary dialog center menu caption tr td th thead tbody tfoot option optgroup textarea foreignobject".split()
 )
 CLOSES_P = SPACED | frozenset(
     "div section article aside header footer nav main address form fieldset center details dialog menu figcaption".split()
@@ -86,13 +104,19 @@ def declared(style: str) -> dict[str, str]:
 
 
 class Node:
-    """``sight`` is the visibility: visible, hidden or collapse; that of the parent unless the element has its own."""
+    """``sight`` is the visibility: visible, hidden or collapse; that of the parent unless the element has its own.
+    ``drawing``: the children are elements of SVG."""
 
-    __slots__ = ("tag", "attrs", "children", "sight", "display")
+    __slots__ = ("tag", "attrs", "children", "sight", "display", "drawing")
 
-    def __init__(self, tag: str, attrs: str = "", sight: str = "visible"):
+    def __init__(self, tag: str, attrs: str = "", sight: str = "visible", drawing: bool = False):
         self.tag, self.attrs, self.children, self.sight, self.display = tag, attrs, [], sight, ""
-        style = self.get("style") if attrs else None
+        self.drawing = tag == "svg" or drawing and tag not in SVG_TO_HTML
+        if not attrs:
+            return
+        style = self.get("style") or ""
+        if drawing or tag == "svg":  # there, attributes of these names count as a style, before the others
+            style = "".join(f"{name}:{self.get(name) or ''};" for name in _VALUES) + style
         if style:
             own = declared(style)
             self.display = own.get("display", "")
@@ -195,13 +219,21 @@ def parse(html: str) -> Node:
                 continue
             if stack[-1].tag == "head" and name not in HEAD_ONLY:
                 stack.pop()
+            if stack[-1].drawing and (name in BREAKOUT or name == "font" and re.search(r"(?i)\b(?:color|face|size)\s*=", attrs)):
+                while stack[-1].drawing:
+                    stack.pop()
+            if name in ("input", "textarea", "select"):
+                pop_to(frozenset(["select"]), SCOPE)
+            elif name == "optgroup":
+                pop_to(frozenset([name]), frozenset(["select"])) or pop_to(frozenset(["option"]), frozenset(["select"]))
             if name in CLOSES_P:
                 pop_to(frozenset(["p"]), SCOPE)
             if name in IMPLIED:
                 pop_to(*IMPLIED[name])
-            node = Node(name, attrs, stack[-1].sight)
+            drawing = stack[-1].drawing
+            node = Node(name, attrs, stack[-1].sight, drawing)
             stack[-1].children.append(node)
-            if name not in VOID and not (attrs.endswith("/") and name in ("svg", "path")) and len(stack) < DEPTH:
+            if name not in VOID and not (attrs.endswith("/") and (drawing or name in ("svg", "path"))) and len(stack) < DEPTH:
                 stack.append(node)
         elif name == "br":
             stack[-1].children.append(Node("br", "", stack[-1].sight))
@@ -225,6 +257,76 @@ def displayed(node: Node) -> bool:
     return node.display != "none"
 
 
+def shown_value(node: Node) -> str:
+    """The text that an input element shows by its attributes."""
+    kind = (node.get("type") or "").lower()
+    if kind not in OTHER_INPUTS:
+        kind = "text"
+    if kind in BUTTONS:
+        return node.get("value") or ""
+    return node.get("value") or node.get("placeholder") or "" if kind in FIELDS else ""
+
+
+def _words(node: Node) -> str:
+    """The text of an option."""
+    parts = (unescape(c) if isinstance(c, str) else _words(c) for c in node.children if isinstance(c, str) or c.tag != "script")
+    return " ".join("".join(parts).split())
+
+
+def _options(node: Node, off: bool = False, level: int = 0) -> Iterator[tuple[Node, bool, int]]:
+    """Groups and options of a select with whether they are disabled and how deep they are in groups."""
+    for child in node.children:
+        if isinstance(child, str):
+            continue
+        no = off or child.get("disabled") is not None
+        if child.tag in ("option", "optgroup"):
+            yield child, no, level
+        if child.tag != "option":
+            yield from _options(child, no if child.tag == "optgroup" else off, level + (child.tag == "optgroup"))
+
+
+def _select(node: Node, page: Page) -> None:
+    """A closed list shows the option selected last, or else the first that is not disabled; an open one shows all."""
+    size = node.get("size") or ""
+    rows = list(_options(node))
+    if node.get("multiple") is None and not (re.fullmatch("[0-9]{1,9}", size) and int(size) > 1):
+        options = [(child, off) for child, off, _ in rows if child.tag == "option"]
+        chosen = [child for child, _ in options if child.get("selected") is not None][-1:]
+        for child in chosen or [child for child, off in options if not off][:1]:
+            if node.sight == "visible":
+                page.apart(child.get("label") or _words(child))
+        return
+    page.line()
+    for child, _, level in rows:
+        label = child.get("label") or ("" if child.tag == "optgroup" else _words(child))
+        if label and displayed(child) and child.sight == "visible":
+            outer, page.indent = page.indent, page.indent + "  " * level
+            page.apart(label)
+            page.line()
+            page.indent = outer
+    page.line()
+
+
+def _drawing(node: Node, page: Page, inside: bool = False) -> None:
+    """The text elements of a drawing, apart from each other, and the pages in it."""
+    for child in node.children:
+        if isinstance(child, str):
+            if inside and node.sight == "visible":
+                page.text(child)
+        elif child.tag in SVG_HIDDEN or not displayed(child):
+            continue
+        elif child.tag == "foreignobject":
+            page.line()
+            _render(child, page)
+            page.line()
+        elif child.tag == "text":
+            page.blank = True
+            _drawing(child, page, True)
+            page.blank = True
+        else:
+            _drawing(child, page, inside)
+
+
 class Page:
     """Lines of text. Runs of white space are one blank; a block asks for a line break, a spaced block for a blank line."""
 
@@ -244,6 +346,14 @@ class Page:
             if part:
                 self.word(part)
 
+    def apart(self, value: str) -> None:
+        """Text with a blank on either side; it is a value, not source text."""
+        for part in _SPACE.split(value):
+            if part:
+                self.blank = True
+                self.word(part)
+                self.blank = True
+
     def word(self, part: str) -> None:
         if not self.now:
             self._begin()
@@ -311,6 +421,22 @@ def _render(node: Node, page: Page, preformatted: bool = False, number: list[int
             if child.sight == "visible":
                 page.whole("---")
             page.line(2)
+        elif tag == "svg":
+            _drawing(child, page)
+        elif tag == "select":
+            _select(child, page)
+        elif tag == "input":
+            if child.attrs and child.sight == "visible":
+                page.apart(shown_value(child))
+        elif tag == "textarea":
+            page.line()
+            if child.children and isinstance(child.children[0], str):
+                child.children[0] = re.sub(r"\A\r?\n", "", child.children[0])
+            if any(child.children):
+                _render(child, page, True)
+            elif child.sight == "visible":
+                page.apart(child.get("placeholder") or "")
+            page.line()
         elif tag == "table":
             page.line(2)
             for row in _table(child):

@@ -56,6 +56,32 @@ def test_styles_hide_only_what_a_browser_hides(page, text):
     assert html_text.render(page) == text
 
 
+FORMS = [
+    ("a<textarea rows=2>\nx &amp;\n  y</textarea>b<textarea placeholder='say'></textarea>", "a\nx &\n  y\nb\nsay"),
+    ("<svg><rect/><defs><text>no</text></defs><title>no</title><text x=1>a<tspan>b</tspan></text><circle r=1 /><text>c</text></svg>d",
+     "ab c d"),
+    ("<svg><text display=none>no</text><g visibility=hidden><text>no</text><text visibility=visible>yes</text></g></svg>", "yes"),
+    ("<svg><foreignObject><p>page</p></foreignObject><style>p{}</style><path d=1><p>out", "page\n\nout"),
+    ("x<select><option>a<option selected>b<option>c</select>y", "x b y"),
+    ("<select><option disabled>a<option label=L>b</select>", "L"),
+    ("<select><optgroup disabled label=g><option>a<optgroup label=h><option>b</select>", "b"),
+    ("<select multiple><option>a<optgroup label=g><option>b</select>z", "a\ng\n  b\nz"),
+    ("<select size=3><option>a<option style='display:none'>b<option hidden>c<option>d</select>", "a\nd"),
+    ("<select><option>a &amp;lt;</select><select size=2><option>b &amp;lt;</select>", "a &lt;\nb &lt;"),
+    ("<select><option>a<textarea>t</textarea>z", "a\nt\nz"),
+    ("<input type=submit value='Send it'><input type=RESET value=Clear><input type=button value=&lt;>x", "Send it Clear < x"),
+    ("<input type=checkbox value=no><input type=password value=no><input type=hidden value=no><input type=submit>x", "x"),
+    ("Name <input value=Ann> <input type=email placeholder='your mail'><input type=odd value=o>", "Name Ann your mail o"),
+    ("<input value=no style='visibility:hidden'><select hidden><option>no</select><textarea style='display:none'>no</textarea>x", "x"),
+    ("<object>no</object><audio>no</audio><video>no</video><canvas>no</canvas><iframe>no</iframe><noscript>no</noscript>x", "x"),
+]
+
+
+@pytest.mark.parametrize("page,text", FORMS)
+def test_forms_and_drawings_keep_what_a_browser_shows(page, text):
+    assert html_text.render(page) == text
+
+
 def test_long_styles():
     assert html_text.render(f"<p style='{'(' * 50_000}display:none'>a") == "a"
     assert html_text.render(f"<p style='{'a:b;' * 50_000}display:none'>a") == ""
