@@ -3,6 +3,9 @@
 Training counts n-grams in numpy, sums them per (language, bucket) in Spark and brings one matrix of languages by
 buckets to the driver; its size is fixed by ``BUCKETS`` and the number of languages, not by the texts. Prediction
 broadcasts the log-probabilities and scores a batch of texts at once: one gather and one sum per text.
+
+The posterior only compares the languages with each other, and is near 1 for any text of some length. Whether a text fits
+any of them is told by its mean log-probability per n-gram against a floor for each language (``Model.judge``).
 """
 
 from __future__ import annotations
@@ -25,6 +28,10 @@ SMOOTHING = 0.1
 FIT_ROWS = 100_000
 MAX_LANGS = 512
 UNKNOWN = "und"
+#: The floor of a language: so much (nats per n-gram) below what this share of its labelled rows stays under.
+FLOOR_SHARE, FLOOR_MARGIN = 0.05, 2.0
+#: Standard errors of the mean that a text may be below the floor, so that short texts are not judged by a few n-grams.
+ROOM = 3.0
 
 _LETTERS: list[np.ndarray] = []
 
@@ -76,19 +83,37 @@ def ngrams(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """``weights``: buckets by languages, float32 log-probabilities. ``priors``: log share of each language."""
+    """``weights``: buckets by languages, float32 log-probabilities. ``priors``: log share of each language.
+
+    ``floors``: lowest mean log-probability per n-gram of a long text that fits the language. ``spread``: standard
+    deviation of one n-gram's log-probability in it. Both are None unless the model was fitted with floors.
+    """
 
     langs: list[str]
     weights: np.ndarray
     priors: np.ndarray
+    floors: np.ndarray | None = None
+    spread: np.ndarray | None = None
 
     def predict(self, texts) -> tuple[list[str], np.ndarray]:
+        return self.judge(texts)[:2]
+
+    def judge(self, texts) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, posterior, and whether the text fits any of the languages (if there are no floors: has a letter).
+
+        The allowance for short texts shrinks with the root of their length. A language with few labelled rows has a
+        low floor, since little can be told from them.
+        """
         if not self.langs or not len(texts):
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         bucket, owner, letters = ngrams(texts)
         sums = np.empty((len(texts), len(self.langs)))
         for k in range(len(self.langs)):
             sums[:, k] = np.bincount(owner, weights=self.weights[k][bucket], minlength=len(texts))
+        fits = letters > 0
+        if self.floors is not None:
+            n = np.maximum(np.bincount(owner, minlength=len(texts)), 1)[:, None]
+            fits &= (sums / n + ROOM * self.spread / np.sqrt(n / len(ORDERS)) >= self.floors).any(axis=1)
         # the orders overlap, so their evidence counts once
         sums = sums / len(ORDERS) + self.priors
         sums -= sums.max(axis=1, keepdims=True)
@@ -96,14 +121,19 @@ class Model:
         share /= share.sum(axis=1, keepdims=True)
         best = share.argmax(axis=1)
         names = [self.langs[b] if n else UNKNOWN for b, n in zip(best.tolist(), letters.tolist())]
-        return names, np.where(letters > 0, share[np.arange(len(texts)), best], 0.0)
+        return names, np.where(letters > 0, share[np.arange(len(texts)), best], 0.0), fits
 
 
-def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> Model:
+def fit(
+    rows: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS, floors: bool = False
+) -> Model:
     """A model of the rows with a text and a language.
 
     If there are more than ``fit_rows`` of them, a share of them, chosen by a hash of the text, is used. Rows with a
     null text or language are left out; with none left, the model knows no language and predicts ``und``.
+
+    With ``floors``, a second pass scores each of the rows used by the counts of the others, and the model can tell
+    texts that fit no language.
     """
     spark = rows.sparkSession
     common.small_batches(spark)
@@ -133,11 +163,46 @@ def fit(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_row
     table = table.reshape(len(langs), BUCKETS)
     weights = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32) if langs else table
     priors = np.log(np.array([counts[lang] for lang in langs], float) / total) if langs else np.zeros(0)
-    return Model(langs, weights, priors)
+    model = Model(langs, weights, priors)
+    if floors and langs:
+        model.floors, model.spread = _floors(known, table, weights, place)
+    return model
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and its posterior probability, 0 to 1.
+def _floors(known: DataFrame, table: np.ndarray, weights: np.ndarray, place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Floor and spread of each language; a language without a labelled letter has no floor that a text could reach."""
+    sizes = table.sum(axis=1)
+    shared = known.sparkSession.sparkContext.broadcast(table.astype(np.float32))
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lang, fits = [], []
+            for text, name in zip(batch["text"].tolist(), batch["lang"].tolist()):
+                bucket, _, letters = ngrams([text])
+                if not letters[0]:
+                    continue
+                at, own = np.unique(bucket, return_counts=True)
+                left = np.maximum(shared.value[place[name]][at] - own, SMOOTHING)
+                lang.append(place[name])
+                fits.append(float((own * np.log(left)).sum() / len(bucket) - np.log(sizes[place[name]] - len(bucket))))
+            yield pd.DataFrame({"at": np.array(lang, np.int64), "fit": np.array(fits, np.float64)})
+
+    low = known.mapInPandas(score, "at long, fit double").groupBy("at").agg(F.percentile("fit", F.lit(FLOOR_SHARE)).alias("low"))
+    floors = np.full(len(place), np.inf)
+    for r in low.collect():
+        floors[r["at"]] = r["low"] - FLOOR_MARGIN
+    share = table / sizes[:, None]
+    logs = weights.astype(np.float64)
+    mean = (share * logs).sum(axis=1)
+    return floors, np.sqrt(np.maximum((share * logs**2).sum(axis=1) - mean**2, 0))
+
+
+def identify(
+    docs: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score",
+    fits_out: str | None = None,
+) -> DataFrame:
+    """``docs`` with the predicted language and its posterior probability, 0 to 1; in ``fits_out``, if given, whether the
+    text fits any language of a model that has floors.
 
     A text that is null or has no letter is ``und`` with score 0. Equal scores go to the first language in name order.
     One row out for each row in; columns with the names of the results are replaced.
@@ -145,17 +210,22 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_out: st
     spark = docs.sparkSession
     common.small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    kind = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
+    kind = T.StructType([
+        T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("fits", T.BooleanType()),
+    ])
 
     @F.pandas_udf(kind)
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in texts:
-            names, scores = shared.value.predict(batch.tolist())
-            yield pd.DataFrame({"lang": names, "score": scores})
+            names, scores, fits = shared.value.judge(batch.tolist())
+            yield pd.DataFrame({"lang": names, "score": scores, "fits": fits})
 
     out = "__language"
     rows = docs.withColumn(out, predict.asNondeterministic()(F.col(text_col).cast("string")))
-    return rows.withColumns({lang_out: F.col(f"{out}.lang"), score_out: F.col(f"{out}.score")}).drop(out)
+    results = {lang_out: F.col(f"{out}.lang"), score_out: F.col(f"{out}.score")}
+    if fits_out:
+        results[fits_out] = F.col(f"{out}.fits")
+    return rows.withColumns(results).drop(out)
 
 
 def fold(doc_id: str = "doc_id", parts: int = 5):

@@ -1,3 +1,4 @@
+import random
 import re
 
 import corpus_pipeline
@@ -32,6 +33,25 @@ def test_language_rejects_only_texts_without_one(spark, sf_dir):
     assert corpus_pipeline.language(spark, clean, sf_dir).count() == clean.count()
 
 
+def test_language_rejects_long_texts_that_fit_none(spark, sf_dir):
+    clean = odd.plain(spark, sf_dir)
+    pick = random.Random(1)
+    bad = [
+        "съешь же ещё этих мягких французских булок да выпей чаю " * 20,
+        "".join(chr(pick.randint(0x4E00, 0x9FFF)) for _ in range(2000)),
+        " ".join("".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=pick.randint(2, 9))) for _ in range(300)),
+        "Wszyscy ludzie rodzą się wolni i równi w swojej godności i prawach. Są oni obdarzeni rozumem i sumieniem i "
+        "powinni postępować wobec innych w duchu braterstwa. " * 3,
+    ]
+    good = ["the", "The", "Von.", "la", "de", "a", "les", "Hello"]
+    rows = [(10**9 + k, text, None, "s", len(text)) for k, text in enumerate(bad + good)]
+    docs = clean.union(spark.createDataFrame(rows, clean.schema))
+    got = {r.doc_id for r in corpus_pipeline.language(spark, docs, sf_dir).collect()}
+    assert [text[:20] for k, text in enumerate(bad) if 10**9 + k in got] == []
+    assert [text for k, text in enumerate(good, len(bad)) if 10**9 + k not in got] == []
+    assert len(got) == clean.count() + len(good)
+
+
 def without(text, hit):
     """The text without runs of hit words and what stands between them."""
     places = [m.span() for m in re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))]
