@@ -24,7 +24,7 @@ from . import common
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.1
-#: Bound of the sample of labelled rows that the classifier is fitted on.
+#: About so many labelled rows are used to fit the classifier.
 FIT_ROWS = 100_000
 MAX_LANGS = 512
 UNKNOWN = "und"
@@ -129,7 +129,9 @@ def fit(
 ) -> Model:
     """A model of the rows with a text and a language.
 
-    If there are more than ``fit_rows`` of them, a share of them, chosen by a hash of the text, is used. Rows with a
+    If there are more than ``fit_rows`` of them, the languages share that number evenly: those with fewer rows are used
+    whole, of the others a share, chosen by a hash of all simple columns. So copies of a text under other ids are
+    thinned like any rows; only rows equal in all of these columns stay together. Rows with a
     null text or language are left out; with none left, the model knows no language and predicts ``und``.
 
     With ``floors``, a second pass scores each of the rows used by the counts of the others, and the model can tell
@@ -137,14 +139,18 @@ def fit(
     """
     spark = rows.sparkSession
     common.small_batches(spark)
-    known = rows.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
+    simple = [f"`{c.name.replace('`', '``')}`" for c in rows.schema if isinstance(c.dataType, T.AtomicType)]
+    known = rows.select(
+        F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
+        F.xxhash64(F.col(text_col).cast("string"), *simple).alias("row"),
+    ).dropna(subset=["text", "lang"])
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()}
     if len(counts) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
     langs = sorted(counts)
     total = sum(counts.values())
     if total > fit_rows:
-        known = known.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(1_000_000 * fit_rows / total))
+        known = _sample(known, counts, fit_rows)
     place = {lang: k for k, lang in enumerate(langs)}
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,6 +175,19 @@ def fit(
     return model
 
 
+def _sample(known: DataFrame, counts: dict[str, int], fit_rows: int) -> DataFrame:
+    """About ``fit_rows`` of the rows, shared evenly among the languages; what small ones leave goes to the others."""
+    fine = 1_000_000_000
+    below, left = {}, float(fit_rows)
+    for k, (lang, n) in enumerate(sorted(counts.items(), key=lambda item: item[1])):
+        quota = left / (len(counts) - k)
+        if n > quota:
+            below[lang] = int(fine * quota / n)
+        left -= min(n, quota)
+    bound = F.create_map(*(F.lit(x) for item in below.items() for x in item))[F.col("lang")]
+    return known.filter(F.pmod("row", F.lit(fine)) < F.coalesce(bound, F.lit(fine)))
+
+
 def _floors(known: DataFrame, table: np.ndarray, weights: np.ndarray, place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
     """Floor and spread of each language; a language without a labelled letter has no floor that a text could reach."""
     sizes = table.sum(axis=1)

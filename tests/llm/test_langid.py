@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from editscope.llm import langid
 
@@ -68,3 +69,18 @@ def test_bounded_sample_still_learns(spark, sf_dir):
     model = langid.fit(docs, fit_rows=60)
     got = langid.identify(docs, model).collect()
     assert sum(r.lang == r.lang_pred for r in got) >= 0.9 * len(got)
+
+
+def test_sample_keeps_rare_languages_and_thins_copies(spark):
+    rare = [(k, f"редкий язык номер {'абвгд'[k]} и ещё слова", "ru") for k in range(5)]
+    common = [(100 + k, f"some common words and number {'x' * (k % 50)} of them", "en") for k in range(2000)]
+    hot = [(10_000 + k, "le texte chaud que tout le monde copie", "fr") for k in range(2000)]
+    docs = spark.createDataFrame(rare + common + hot, "doc_id long, text string, lang string")
+    model = langid.fit(docs, fit_rows=205)
+    # all that is left of a language without rows is the smoothing, equal in all buckets
+    assert model.langs == ["en", "fr", "ru"] and all(np.ptp(w) > 0 for w in model.weights)
+    names, _ = model.predict([r[1] for r in rare] + [hot[0][1], common[0][1]])
+    assert names == ["ru"] * 5 + ["fr", "en"]
+    known = docs.select("text", "lang", F.xxhash64("text", "doc_id").alias("row"))
+    kept = {r["lang"]: r["count"] for r in langid._sample(known, {"ru": 5, "en": 2000, "fr": 2000}, 205).groupBy("lang").count().collect()}
+    assert kept["ru"] == 5 and 60 <= kept["en"] <= 140 and 60 <= kept["fr"] <= 140
