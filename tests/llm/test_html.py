@@ -22,7 +22,7 @@ CASES = [
     ("<ol start=7><li>a<li></ol><hr>", "7. a\n\n---"),
     ("<ul><li><p>one</p><p>two</p><li>b</ul>", "- one\n\n  two\n\n- b"),
     ("</p>a</div></td>b", "ab"),
-    ("<svg><text>no</text></svg><select><option>no</select>yes", "yes"),
+    ("<svg><text>a</text></svg><select><option>b</select>c", "a b c"),
     ("tail <a href=", "tail"),
     ("", ""), (None, ""), ("   ", ""), ("&nbsp;&#x41;&bogus;", "\xa0A&bogus;"),
 ]
