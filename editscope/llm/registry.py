@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, hnsw, html_text, langid, lattice_lm, packing, pii, simhash, warc
+from . import chat, decontaminate, hnsw, html_text, langid, lattice_lm, merkle, packing, pii, simhash, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_lattice": lattice_lm.op8_lattice,
     "op9_hnsw": hnsw.op9_hnsw,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_merkle": merkle.op11_merkle,
 }
 
 ORACLE: dict[str, str] = {
@@ -22,4 +23,5 @@ ORACLE: dict[str, str] = {
     "op5_warc": warc.OP5_SQL,
     "op9_hnsw": hnsw.OP9_SQL,
     "op10_decontaminate": decontaminate.OP10_SQL,
+    "op11_merkle": merkle.OP11_SQL,
 }
