@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, hnsw, html_text, langid, lattice_lm, merkle, packing, pii, simhash, warc
+from . import chat, decontaminate, hnsw, html_text, langid, lattice_lm, lexical, merkle, packing, pii, quality, simhash, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_hnsw": hnsw.op9_hnsw,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op11_merkle": merkle.op11_merkle,
+    "op12_quality": quality.op12_quality,
+    "op13_lexical": lexical.op13_lexical,
 }
 
 ORACLE: dict[str, str] = {
@@ -24,4 +26,6 @@ ORACLE: dict[str, str] = {
     "op9_hnsw": hnsw.OP9_SQL,
     "op10_decontaminate": decontaminate.OP10_SQL,
     "op11_merkle": merkle.OP11_SQL,
+    "op12_quality": quality.OP12_SQL,
+    "op13_lexical": lexical.OP13_SQL,
 }
