@@ -139,6 +139,6 @@ def test_bounds_leave_out_whole_batches():
     least = np.array([min(score for score, _ in best) for best in search.best])
     again = lexical.Search(items, weights, 10, least)
     again.run(weak, np.arange(2000))
-    assert again.pairs == 1  # the two roots
+    assert again.pairs < 50  # a few nodes below the two roots
     again.run(strong, np.arange(2000, 2400))
     assert [sorted(best) for best in again.best] == [sorted(best) for best in search.best]
