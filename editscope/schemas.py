@@ -38,6 +38,13 @@ TOPIC_TRENDS = (
     "`total_edits` bigint, `sample_titles` string, `batch_id` bigint"
 )
 
+# The same results as rows of result tables, with real times; run and batch are added by the table.
+WAR_ROWS = EDIT_WARS.replace("_time` string", "_time` timestamp").removesuffix(", `batch_id` bigint")
+EDITOR_ROWS = SUPER_EDITORS.replace("_time` string", "_time` timestamp").removesuffix(", `batch_id` bigint")
+TOPIC_ROWS = TOPIC_TRENDS.replace("_time` string", "_time` timestamp").removesuffix(", `batch_id` bigint")
+POINT_ROWS = "`event_id` bigint, `ts` timestamp, `lat` double, `lon` double, `wiki_lang` string"
+GEO_ROWS = "`ip` string, `lat` double, `lon` double, `stored_at` timestamp"
+
 MAP_POINT = "`lat` double, `lon` double, `wiki_lang` string"
 GEO = "`ip` string, `lat` double, `lon` double"
 GEO_ANSWER = "`ip` string, `status` string, `lat` double, `lon` double"

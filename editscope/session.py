@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from .streaming.state import PROVIDER, STATE_STORE
+
 #: Fixed value: where checkpoints are below a database.
 CHECKPOINT_SUFFIX = "/tmp/checkpoint/"
 
 
 def build_session(app: str = "editscope", **conf: str) -> SparkSession:
-    """A session with the settings the results depend on: UTC and adaptive execution.
+    """A session with the settings the results depend on: UTC, adaptive execution, and the state
+    store that stateful processors need.
 
     Master, memory and shuffle width belong to the deployment and are left to ``conf`` or
     spark-submit.
@@ -19,6 +22,7 @@ def build_session(app: str = "editscope", **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(PROVIDER, STATE_STORE)
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

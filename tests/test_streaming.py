@@ -374,3 +374,41 @@ def test_static_watermark_is_ignored(spark):
 
 def test_at_helper():
     assert at(60) - at(0) == dt.timedelta(minutes=1)
+
+
+def test_rate_flag_stream_reads_its_source_once(spark, landing):
+    landing.add([edit(1)])
+    flagged = rate_state.suspicious_flag_stream(landing.stream())
+    assert flagged._jdf.queryExecution().analyzed().toString().count("StreamingRelation") == 1
+
+
+def test_rate_flag_keeps_large_ids_and_exact_values(spark, landing, tmp_path):
+    rows = [edit(2**62 + k, k * 0.001, user=None if k % 2 else "u", length_diff=None if k % 3 else 5, revision_id=None) for k in range(40)]
+    landing.add(rows)
+    run(rate_state.suspicious_flag_stream(landing.stream()), sinks.partition_sink(f"{tmp_path}/out", "r"), tmp_path / "cp", "append")
+    expected = rate.suspicious_flag(table(spark, rows))
+    got = spark.read.parquet(f"{tmp_path}/out").select(expected.columns)
+    assert plain(got) == plain(expected)
+
+
+def test_results_are_tables_of_commits(spark, landing, tmp_path):
+    rows = in_order(51)
+    for i in range(0, 240, 60):
+        landing.add(rows[i : i + 60])
+    for query in pipeline.start_results(landing.stream(), f"{tmp_path}/out", f"{tmp_path}/cp", "r", aggregate_trigger=NOW, map_trigger=NOW):
+        query.awaitTermination()
+    tables = pipeline.result_tables(f"{tmp_path}/out")
+    whole = tables["edit_wars"].read(spark)
+    versions = results.latest_versions(whole, ["start_time", "title"], ["run_id", "batch_id"])
+    expected = windows.edit_wars(table(spark, rows))
+    assert plain(tables["edit_wars_latest"].read(spark).select(expected.columns)) == plain(expected) == plain(
+        versions.select(expected.columns))
+    peaks = results.peaks(whole, ["title"], [*results.WAR_ORDER, "run_id"])
+    assert plain(tables["edit_wars_peaks"].read(spark).select(expected.columns)) == plain(peaks.select(expected.columns))
+    assert plain(tables["topic_trends_latest"].read(spark).select(windows.topic_trends(table(spark, rows)).columns)) == plain(
+        windows.topic_trends(table(spark, rows)))
+    recent = tables["edit_wars"].since(spark, "end_time", "5 minutes")
+    assert plain(recent) == plain(results.last_range(whole, "end_time", "5 minutes"))
+    points = [r for r in rows if r[10] is not None and r[11] is not None]
+    newest = sorted(points, key=lambda r: (r[1], r[0]))[-7:]
+    assert [r.event_id for r in pipeline.last_points(spark, f"{tmp_path}/out", 7).collect()] == [r[0] for r in newest[::-1]]
