@@ -2,9 +2,10 @@
 
 Only the histogram of piece lengths reaches the driver; it has at most ``CAPACITY`` rows whatever the input. The
 covering program over configurations (which lengths share a sequence, and how often) is solved by multiplicative
-weights: each round prices a configuration by knapsack dynamic programming, uses it as far as the scarcest length
-allows, and lowers the weights of what it covers. Copies are rounded down; what is left is packed by best fit in falling
-order of length, on counts. The plan is a table of runs (length,
+weights until it covers every piece: each round prices configurations by knapsack dynamic programming within what is
+left, uses those of nearly the best weight by a step that the scarcest length sets, rounded to whole sequences, and
+lowers the weights of what they cover. Best fit in falling order of length, on counts, is kept as the measure: should it
+need fewer sequences, it is taken. The plan is a table of runs (length,
 ranks, sequence, offset), bounded by configurations and not by pieces. Each piece gets a rank among those of its length
 and looks its place up.
 """
@@ -16,6 +17,7 @@ import struct
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -28,8 +30,9 @@ from . import common
 
 CAPACITY = 1024
 END_ID = 2
-ROUNDS = 400
-STEP = 0.25
+#: A step covers this part of the pieces of its scarcest length; weights fall at this rate; configurations down to this
+#: part of a round's best weight are used in it; weights start as the shares of the capacity to this power.
+STEP, RATE, NEAR, POWER = 0.1, 1.0, 0.97, 3.0
 CACHE = 400_000
 SPECIAL = "<|endoftext|>"
 
@@ -133,51 +136,95 @@ def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
     return rows.mapInArrow(cut, f"id {id_type}, piece int, start long, length long, ids_crc32 long")
 
 
-def price(weights: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capacity: int) -> np.ndarray:
-    """The configuration of the largest total weight: how often each length, by dynamic programming over the filled
-    capacity, each length as often as fits, cut back to ``limits``."""
-    value = np.zeros(capacity + 1)
-    last = np.full(capacity + 1, -1)
-    for filled in range(1, capacity + 1):
-        fits = lengths <= filled
-        gains = weights[fits] + value[filled - lengths[fits]]
-        if len(gains):
-            best = int(gains.argmax())
-            if gains[best] > value[filled - 1]:
-                value[filled], last[filled] = gains[best], np.flatnonzero(fits)[best]
+class Knapsack:
+    """The configurations of largest total weight for every capacity up to ``capacity``: each length up to its limit, by
+    dynamic programming over the filled capacity. Copies of a length go in as groups of 1, 2, 4 and so on."""
+
+    def __init__(self, weights: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capacity: int):
+        self.lengths = lengths
+        self.groups: list[tuple[int, int]] = []  # length, copies
+        for k in np.flatnonzero((limits > 0) & (lengths <= capacity))[::-1].tolist():
+            left, size = min(capacity // int(lengths[k]), int(limits[k])), 1
+            while left:
+                self.groups.append((k, min(size, left)))
+                left -= min(size, left)
+                size *= 2
+        self.value = np.zeros(capacity + 1)
+        self.taken = np.zeros((capacity + 1, len(self.groups)), bool)
+        for g, (k, copies) in enumerate(self.groups):
+            room = int(lengths[k]) * copies
+            if room > capacity:
                 continue
-        value[filled] = value[filled - 1]
+            gains = self.value[: capacity + 1 - room] + weights[k] * copies
+            better = gains > self.value[room:] * (1 + 1e-12)
+            self.taken[room:, g] = better
+            self.value[room:][better] = gains[better]
+
+    def config(self, capacity: int) -> dict[int, int]:
+        """How often each length (by its place) is in the best configuration for ``capacity``."""
+        out: dict[int, int] = {}
+        upto = len(self.groups)
+        while True:
+            used = np.flatnonzero(self.taken[capacity, :upto])
+            if not len(used):
+                return out
+            upto = int(used[-1])
+            k, copies = self.groups[upto]
+            out[k] = out.get(k, 0) + copies
+            capacity -= int(self.lengths[k]) * copies
+
+
+def price(weights: np.ndarray, lengths: np.ndarray, limits: np.ndarray, capacity: int) -> np.ndarray:
+    """The configuration of the largest total weight: how often each length, none above its limit."""
     out = np.zeros(len(lengths), np.int64)
-    filled = capacity
-    while filled > 0:
-        if last[filled] < 0:
-            filled -= 1
-            continue
-        out[last[filled]] += 1
-        filled -= int(lengths[last[filled]])
-    return np.minimum(out, limits)
-
-
-def _fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int) -> list[tuple[np.ndarray, float]]:
-    """Configurations and how often to use them, by multiplicative weights for the covering program."""
-    weights = lengths / capacity
-    covered = np.zeros(len(lengths))
-    used: dict[bytes, tuple[np.ndarray, float]] = {}
-    for _ in range(rounds):
-        config = price(weights, lengths, counts, capacity)
-        inside = config > 0
-        if not inside.any():
-            break
-        amount = STEP * (counts[inside] / config[inside]).min()
-        old = used.get(config.tobytes(), (config, 0.0))[1]
-        used[config.tobytes()] = (config, old + amount)
-        share = amount * config / counts
-        covered += share
-        weights = weights * np.exp(-share)
-        if covered.min() >= 1:
-            break
-    scale = max(covered.max(), 1.0)  # no length is covered beyond what there is
-    return [(config, amount / scale) for config, amount in used.values()]
+    for k, copies in Knapsack(weights, lengths, limits, capacity).config(capacity).items():
+        out[k] = copies
+    return out
+
+
+def program(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Configurations and how often to use each, so that together they hold every piece: the covering program over
+    configurations by multiplicative weights.
+
+    A length's weight starts as a power of its share of the capacity, since one long piece is harder to place than short
+    ones of the same sum, and falls with the part of its pieces that is covered, so that next those count that are left.
+    A round prices once and takes the best
+    configuration around every open length, as long as its weight is near the best of the round. A configuration is
+    used until ``STEP`` of the scarcest of its lengths is covered, but at least once: the amount is rounded to whole
+    sequences there and then, and what is cut off stays in the program and is priced again. Limits are inside the
+    pricing, so no length is covered beyond what there is, and the number of steps is in proportion to the lengths.
+    """
+    weights = (lengths / capacity) ** POWER
+    left = counts.copy()
+    used: dict[tuple, int] = {}
+
+    def use(config: dict[int, int]) -> None:
+        amount = max(1, int(STEP * min(counts[k] / n for k, n in config.items())))
+        amount = min(amount, min(int(left[k]) // n for k, n in config.items()))
+        for k, n in config.items():
+            left[k] -= amount * n
+            weights[k] *= np.exp(-RATE * amount * n / counts[k])
+        shape = tuple(sorted(config.items()))
+        used[shape] = used.get(shape, 0) + amount
+
+    while left.any():
+        knapsack = Knapsack(weights, lengths, left, capacity)
+        enough = NEAR * knapsack.value[capacity]
+        moved = False
+        for seed in np.flatnonzero(left)[::-1].tolist():
+            if not left[seed]:
+                continue
+            config = knapsack.config(capacity - int(lengths[seed]))
+            config[seed] = config.get(seed, 0) + 1
+            if any(n > left[k] for k, n in config.items()):
+                continue
+            if sum(weights[k] * n for k, n in config.items()) < enough:
+                continue
+            use(config)
+            moved = True
+        if not moved:
+            use(knapsack.config(capacity))
+    return [(dict(shape), amount) for shape, amount in used.items()]
 
 
 def _best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
@@ -216,35 +263,32 @@ def _best_fit(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[tupl
     return [(list(shape), times) for group in open_.values() for shape, times in group.items()]
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS) -> list[tuple[list[int], int]]:
-    """Configurations (lengths in falling order) and how often each is used; together they hold every piece."""
+@dataclass
+class Plan:
+    """Configurations (lengths in falling order) and how often each is used; together they hold every piece. ``solved`` says
+    whether those of pieces shorter than the capacity come from the program; if not, best fit needs fewer."""
+
+    configs: list[tuple[list[int], int]]
+    solved: bool = True
+
+    @property
+    def sequences(self) -> int:
+        return sum(times for _, times in self.configs)
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
+    """The program's sequences, or those of best fit should they be fewer."""
     lengths = np.array(sorted(histogram), np.int64)
-    left = np.array([histogram[int(n)] for n in lengths], np.int64)
-    out: list[tuple[list[int], int]] = []
-
-    def use(config: np.ndarray, times: int) -> None:
-        nonlocal left
-        left = left - config * times
-        shape = [int(lengths[k]) for k in np.flatnonzero(config)[::-1].tolist() for _ in range(int(config[k]))]
-        out.append((shape, times))
-
-    if len(lengths) and lengths[-1] == capacity and left[-1]:
-        full = np.zeros(len(lengths), np.int64)
-        full[-1] = 1
-        use(full, int(left[-1]))
-    open_ = left > 0
-    if open_.any():
-        small, counts = lengths[open_], left[open_]
-        for config, amount in _fractional(small, counts, capacity, rounds):
-            if int((config * small).sum()) < capacity:
-                continue  # the rest is better packed by what is left
-            wide = np.zeros(len(lengths), np.int64)
-            wide[open_] = config
-            inside = wide > 0
-            times = int(min(np.floor(amount + 1e-9), (left[inside] // wide[inside]).min()))
-            if times > 0:
-                use(wide, times)
-    return out + _best_fit(lengths, left, capacity)
+    counts = np.array([histogram[int(n)] for n in lengths], np.int64)
+    whole = [([capacity], int(n)) for k, n in zip(lengths, counts) if k == capacity and n]
+    short = (lengths < capacity) & (counts > 0)
+    lengths, counts = lengths[short], counts[short]
+    solved = [
+        ([int(lengths[k]) for k in sorted(config, reverse=True) for _ in range(config[k])], times)
+        for config, times in program(lengths, counts, capacity)
+    ]
+    ways = [Plan(whole + solved), Plan(whole + _best_fit(lengths, counts, capacity), False)]
+    return min(ways, key=lambda way: way.sequences)
 
 
 def _runs(configs: list[tuple[list[int], int]]) -> dict[str, np.ndarray]:
@@ -267,7 +311,7 @@ def _runs(configs: list[tuple[list[int], int]]) -> dict[str, np.ndarray]:
     }
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``. They need ``id``, ``piece`` and ``length`` (1 to ``capacity``).
 
     Every piece has a place of its own, also repeated rows; sequences are filled from 0 without gaps.
@@ -279,7 +323,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> D
         return pieces.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
     if min(histogram) < 1 or max(histogram) > capacity:
         raise ValueError("a length is not between 1 and the capacity")
-    shared = spark.sparkContext.broadcast(_runs(plan(histogram, capacity, rounds)))
+    shared = spark.sparkContext.broadcast(_runs(plan(histogram, capacity).configs))
     # ranks within a length, in slices, since one length can have most of the pieces
     slices = common.width(spark)
     sliced = pieces.withColumn("slice", F.pmod(F.xxhash64("id", "piece"), F.lit(slices)).cast("int"))

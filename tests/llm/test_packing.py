@@ -74,33 +74,68 @@ def test_odd_documents(tokenizer, spark):
     assert packing.pack_documents(odd.empty(spark)).count() == 0
 
 
+def held_by(configs):
+    held = Counter()
+    for shape, times in configs:
+        assert 0 < sum(shape) <= 1024 and times > 0
+        for length in shape:
+            held[length] += times
+    return held
+
+
+def best_fit(histogram):
+    lengths = np.array(sorted(histogram))
+    return sum(t for _, t in packing._best_fit(lengths, np.array([histogram[k] for k in lengths.tolist()]), 1024))
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plan_holds_every_piece(seed):
     rng = random.Random(seed)
     shapes = [lambda: rng.randint(1, 1024), lambda: rng.choice([1024, 513, 512, 511, 1]), lambda: 600, lambda: rng.choice([342, 341, 340])]
     histogram = Counter(shapes[seed]() for _ in range(3000))
-    plan = packing.plan(dict(histogram), rounds=40)
-    held = Counter()
-    for shape, times in plan:
-        assert sum(shape) <= 1024 and times > 0
-        for length in shape:
-            held[length] += times
-    assert held == histogram
-    used = sum(times for _, times in plan)
-    best_fit = sum(t for _, t in packing._best_fit(*_arrays(histogram), 1024))
-    assert used <= best_fit * 1.002 + 1
+    plan = packing.plan(dict(histogram))
+    assert held_by(plan.configs) == histogram
+    assert plan.sequences <= best_fit(histogram)
+
+
+SPREADS = {
+    "one of each": lambda rng: {k: 1 for k in rng.sample(range(1, 1024), 900)},
+    "all lengths": lambda rng: {k: rng.randint(1, 1999) for k in range(1, 1024)},
+    "long": lambda rng: {k: rng.randint(1, 200_000) for k in range(300, 1024)},
+    "short": lambda rng: {k: rng.randint(1, 2000) for k in range(60, 400, 3)},
+    "documents": lambda rng: Counter(min(1023, max(1, int(rng.lognormvariate(5.5, 0.9)))) for _ in range(50_000)),
+}
 
 
-def _arrays(histogram):
+@pytest.mark.parametrize("name", SPREADS)
+def test_the_program_covers_every_piece_and_is_no_worse_than_best_fit(name):
+    histogram = dict(SPREADS[name](random.Random(3)))
     lengths = np.array(sorted(histogram))
-    return lengths, np.array([histogram[k] for k in lengths.tolist()])
+    counts = np.array([histogram[k] for k in lengths.tolist()])
+    solved = packing.program(lengths, counts, 1024)
+    covered = np.zeros(len(lengths), np.int64)
+    for config, times in solved:
+        for k, n in config.items():
+            covered[k] += n * times
+    assert (covered == counts).all()
+    used, other = sum(times for _, times in solved), best_fit(histogram)
+    assert used <= other * 1.001 + 1
+    plan = packing.plan(histogram)
+    assert plan.sequences <= other and held_by(plan.configs) == Counter(histogram)
+    assert plan.solved == (used <= other)
+
+
+@pytest.mark.parametrize("name", ["all lengths", "short", "documents"])
+def test_large_counts_are_packed_by_the_program(name):
+    histogram = {k: n * 1000 for k, n in SPREADS[name](random.Random(3)).items()}
+    assert packing.plan(histogram).solved
 
 
 def test_plan_grows_with_lengths_not_pieces():
     histogram = {k: 10**9 for k in range(1, 1025, 7)}
-    plan = packing.plan(histogram, rounds=30)
-    assert len(plan) < 3000
-    assert sum(t for _, t in plan) <= sum(k * n for k, n in histogram.items()) / 1024 * 1.01
+    plan = packing.plan(histogram)
+    assert len(plan.configs) < 3000
+    assert plan.sequences <= sum(k * n for k, n in histogram.items()) / 1024 * 1.01
 
 
 @pytest.mark.parametrize("seed", range(3))
@@ -108,14 +143,16 @@ def test_pricing_is_exact(seed):
     rng = np.random.default_rng(seed)
     lengths = np.sort(rng.choice(np.arange(1, 20), 4, replace=False))
     weights = rng.random(4)
-    config = packing.price(weights, lengths, np.full(4, 99), 20)
-    assert (config * lengths).sum() <= 20
-    best = max((np.dot(c, weights) for c in product(*[range(20 // n + 1) for n in lengths]) if np.dot(c, lengths) <= 20))
-    assert np.dot(config, weights) == pytest.approx(best)
+    for limits in (np.full(4, 99), rng.integers(0, 3, 4)):
+        config = packing.price(weights, lengths, limits, 20)
+        assert (config * lengths).sum() <= 20 and (config <= limits).all()
+        choices = product(*[range(min(20 // n, m) + 1) for n, m in zip(lengths, limits)])
+        best = max(np.dot(c, weights) for c in choices if np.dot(c, lengths) <= 20)
+        assert np.dot(config, weights) == pytest.approx(best)
 
 
 def test_no_pieces_and_wrong_lengths(spark):
-    assert packing.plan({}) == []
+    assert packing.plan({}).configs == []
     rows = spark.createDataFrame([(1, 0, 1025)], "id long, piece int, length long")
     with pytest.raises(ValueError):
         packing.pack(rows)
