@@ -6,12 +6,14 @@ The renderer leaves out what a browser does not show and keeps all other text, a
 chosen option of a list, and the values and placeholders of buttons and fields. Labels that a browser makes up itself
 (a submit button without a value) and copies by SVG's ``use`` are not made: blocks on lines of their own, blank lines
 around paragraphs, headings, lists and tables, list marks with indentation, table cells in aligned columns.
+Elements may be nested to any depth: the builder finds open elements by name, and the renderer keeps its own stack.
+Style sheets are not applied: what only they would hide is text like any other.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from html import unescape
 
 import pandas as pd
@@ -61,8 +63,7 @@ IMPLIED = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in IMPL
 SCOPE = frozenset("table td th caption html button".split())
 TABLE_PARTS = frozenset("tr td th thead tbody tfoot caption".split())
 HEAD_ONLY = frozenset("title meta link base style script noscript template".split())
-DEPTH = 200  # deeper elements become siblings, as browsers do
-PAD = 60  # a cell is padded up to this width; longer ones stand as they are
+WIDTH = 200  # lines of a cell that has others beside it are broken, at blanks if there are any, to this length
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -199,29 +200,39 @@ def parse(html: str) -> Node:
     """The tree of a page. Missing html, head, body, tbody and tr are not made up; text stands where it is."""
     root = Node("html")
     stack = [root]
+    places: dict[str, list[int]] = {}  # open elements by name, as places in the stack
+
+    def push(node: Node) -> None:
+        places.setdefault(node.tag, []).append(len(stack))
+        stack.append(node)
+
+    def pop() -> None:
+        places[stack.pop().tag].pop()
+
+    def top(names: frozenset) -> int:
+        return max((places[name][-1] for name in names if places.get(name)), default=0)
 
     def pop_to(names: frozenset, barrier: frozenset) -> bool:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in names:
-                del stack[k:]
-                return True
-            if stack[k].tag in barrier:
-                return False
-        return False
+        place = top(names)
+        if not place or place < top(barrier):
+            return False
+        while len(stack) > place:
+            pop()
+        return True
 
     for kind, name, attrs in tokens(html):
         if kind == "text":
             if len(stack) > 1 and stack[-1].tag == "head" and not name.isspace():
-                stack.pop()
+                pop()
             stack[-1].children.append(name)
         elif kind == "open":
             if name == "html":
                 continue
             if stack[-1].tag == "head" and name not in HEAD_ONLY:
-                stack.pop()
+                pop()
             if stack[-1].drawing and (name in BREAKOUT or name == "font" and re.search(r"(?i)\b(?:color|face|size)\s*=", attrs)):
                 while stack[-1].drawing:
-                    stack.pop()
+                    pop()
             if name in ("input", "textarea", "select"):
                 pop_to(frozenset(["select"]), SCOPE)
             elif name == "optgroup":
@@ -233,8 +244,8 @@ def parse(html: str) -> Node:
             drawing = stack[-1].drawing
             node = Node(name, attrs, stack[-1].sight, drawing)
             stack[-1].children.append(node)
-            if name not in VOID and not (attrs.endswith("/") and (drawing or name in ("svg", "path"))) and len(stack) < DEPTH:
-                stack.append(node)
+            if name not in VOID and not (attrs.endswith("/") and (drawing or name in ("svg", "path"))):
+                push(node)
         elif name == "br":
             stack[-1].children.append(Node("br", "", stack[-1].sight))
         elif name in VOID or name == "html":
@@ -269,20 +280,46 @@ def shown_value(node: Node) -> str:
 
 def _words(node: Node) -> str:
     """The text of an option."""
-    parts = (unescape(c) if isinstance(c, str) else _words(c) for c in node.children if isinstance(c, str) or c.tag != "script")
+    parts, todo = [], [node]
+    while todo:
+        one = todo.pop()
+        if isinstance(one, str):
+            parts.append(unescape(one))
+        elif one.tag != "script":
+            todo += reversed(one.children)
     return " ".join("".join(parts).split())
 
 
-def _options(node: Node, off: bool = False, level: int = 0) -> Iterator[tuple[Node, bool, int]]:
+def _options(node: Node) -> Iterator[tuple[Node, bool, int]]:
     """Groups and options of a select with whether they are disabled and how deep they are in groups."""
-    for child in node.children:
+    todo = [(child, False, 0) for child in reversed(node.children)]
+    while todo:
+        child, off, level = todo.pop()
         if isinstance(child, str):
             continue
         no = off or child.get("disabled") is not None
         if child.tag in ("option", "optgroup"):
             yield child, no, level
         if child.tag != "option":
-            yield from _options(child, no if child.tag == "optgroup" else off, level + (child.tag == "optgroup"))
+            group = child.tag == "optgroup"
+            todo += [(c, no if group else off, level + group) for c in reversed(child.children)]
+
+
+Step = Generator["Step", object, object]
+
+
+def _run(step: Step) -> object:
+    """Run a step and those that it yields, each before the one that yielded it goes on, on a stack of its own: pages may be
+    nested deeper than functions may call."""
+    stack, value = [step], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+    return value
 
 
 def _select(node: Node, page: Page) -> None:
@@ -307,7 +344,7 @@ def _select(node: Node, page: Page) -> None:
     page.line()
 
 
-def _drawing(node: Node, page: Page, inside: bool = False) -> None:
+def _drawing(node: Node, page: Page, inside: bool = False) -> Step:
     """The text elements of a drawing, apart from each other, and the pages in it."""
     for child in node.children:
         if isinstance(child, str):
@@ -317,14 +354,14 @@ def _drawing(node: Node, page: Page, inside: bool = False) -> None:
             continue
         elif child.tag == "foreignobject":
             page.line()
-            _render(child, page)
+            yield _render(child, page)
             page.line()
         elif child.tag == "text":
             page.blank = True
-            _drawing(child, page, True)
+            yield _drawing(child, page, True)
             page.blank = True
         else:
-            _drawing(child, page, inside)
+            yield _drawing(child, page, inside)
 
 
 class Page:
@@ -388,7 +425,7 @@ class Page:
         self.lines.append("")
 
 
-def _render(node: Node, page: Page, preformatted: bool = False, number: list[int] | None = None) -> None:
+def _render(node: Node, page: Page, preformatted: bool = False, number: list[int] | None = None) -> Step:
     for child in node.children:
         if isinstance(child, str):
             if node.sight != "visible":
@@ -422,7 +459,7 @@ def _render(node: Node, page: Page, preformatted: bool = False, number: list[int
                 page.whole("---")
             page.line(2)
         elif tag == "svg":
-            _drawing(child, page)
+            yield _drawing(child, page)
         elif tag == "select":
             _select(child, page)
         elif tag == "input":
@@ -433,20 +470,20 @@ def _render(node: Node, page: Page, preformatted: bool = False, number: list[int
             if child.children and isinstance(child.children[0], str):
                 child.children[0] = re.sub(r"\A\r?\n", "", child.children[0])
             if any(child.children):
-                _render(child, page, True)
+                yield _render(child, page, True)
             elif child.sight == "visible":
                 page.apart(child.get("placeholder") or "")
             page.line()
         elif tag == "table":
             page.line(2)
-            for row in _table(child):
+            for row in (yield _table(child)):
                 page.whole(row) if row else page.empty()
             page.line(2)
         elif tag in ("ul", "ol", "menu"):
             page.line(1 if page.indent else 2)
             start = child.get("start") if tag == "ol" else None
             count = int(start) if start and re.fullmatch(r"-?[0-9]{1,9}", start) else 1
-            _render(child, page, preformatted, [count] if tag == "ol" else None)
+            yield _render(child, page, preformatted, [count] if tag == "ol" else None)
             page.line(1 if page.indent else 2)
         elif tag == "li":
             page.line()
@@ -457,7 +494,7 @@ def _render(node: Node, page: Page, preformatted: bool = False, number: list[int
             outer, page.indent = page.indent, page.indent + " " * len(mark)
             if child.sight == "visible":
                 page.mark = mark
-            _render(child, page, preformatted)
+            yield _render(child, page, preformatted)
             if page.mark == mark:  # an empty item
                 page.mark = ""
             page.line()
@@ -465,63 +502,78 @@ def _render(node: Node, page: Page, preformatted: bool = False, number: list[int
         elif tag in ("dd", "blockquote"):
             page.line(2 if tag == "blockquote" else 1)
             outer, page.indent = page.indent, page.indent + "  "
-            _render(child, page, preformatted)
+            yield _render(child, page, preformatted)
             page.line(2 if tag == "blockquote" else 1)
             page.indent = outer
         elif tag == "details" and child.get("open") is None:
             shown = Node("div")
             shown.children = [c for c in child.children if isinstance(c, Node) and c.tag == "summary"][:1]
             page.line()
-            _render(shown, page, preformatted)
+            yield _render(shown, page, preformatted)
             page.line()
         elif tag in BLOCK:
             gap = 2 if tag in SPACED else 1
             page.line(gap)
-            _render(child, page, preformatted or tag == "pre")
+            yield _render(child, page, preformatted or tag == "pre")
             page.line(gap)
         else:
-            _render(child, page, preformatted)
+            yield _render(child, page, preformatted)
 
 
-def _cell(node: Node) -> list[str]:
+def _cell(node: Node) -> Step:
     page = Page()
-    _render(node, page)
+    yield _render(node, page)
     page.line()
     return page.lines
 
 
-def _rows(node: Node) -> Iterator[tuple[str, object]]:
+def _broken(lines: list[str]) -> list[str]:
+    """Lines of at most ``WIDTH`` characters, broken at the last blank that fits, or else within the word."""
+    out = []
+    for line in lines:
+        while len(line) > WIDTH:
+            inside = len(line) - len(line.lstrip(" "))
+            at = line.rfind(" ", inside, WIDTH + 1)
+            out.append((line[:at] if at > 0 else line[:WIDTH]).rstrip(" "))
+            line = line[at + 1 :].lstrip(" ") if at > 0 else line[WIDTH:]
+        out.append(line)
+    return out
+
+
+def _rows(table: Node) -> Iterator[tuple[str, object]]:
     """Rows and captions of a table in order; text that stands loose in it comes before it, as in browsers."""
-    for child in node.children:
+    todo = [(child, table.sight) for child in reversed(table.children)]
+    while todo:
+        child, sight = todo.pop()
         if isinstance(child, str):
-            if node.sight == "visible" and child.strip():
+            if sight == "visible" and child.strip():
                 yield "loose", child
         elif not displayed(child):
             continue
         elif child.tag == "tr":
             yield "row", child
         elif child.tag in ("thead", "tbody", "tfoot"):
-            yield from _rows(child)
+            todo += [(c, child.sight) for c in reversed(child.children)]
         elif child.tag in ("td", "th"):
             yield "cell", child
         elif child.tag not in ("col", "colgroup"):
             yield "loose", child
 
 
-def _table(table: Node) -> list[str]:
+def _table(table: Node) -> Step:
     """Lines of a table: cells of a column start at the same place; a cell of several lines takes several lines."""
     loose = Node("div")
     grid: list[list[tuple[int, int, list[str]]]] = []  # rows of (column, span, lines)
     held: dict[int, int] = {}  # column -> rows for which a cell from above still holds it
     open_row: list | None = None
 
-    def place(row: list, cell: Node) -> None:
+    def place(row: list, cell: Node) -> Step:
         column = row[-1][0] + row[-1][1] if row else 0
         while held.get(column, 0) > 0:
             column += 1
         spans = [cell.get("colspan"), cell.get("rowspan")] if cell.attrs else [None, None]
         wide, high = (min(int(s), 1000) if s and re.fullmatch("[0-9]{1,6}", s) and int(s) else 1 for s in spans)
-        row.append((column, wide, _cell(cell)))
+        row.append((column, wide, (yield _cell(cell))))
         if high > 1:
             fresh.update({column + k: high for k in range(wide)})
 
@@ -530,7 +582,7 @@ def _table(table: Node) -> list[str]:
             loose.children.append(node)
             continue
         if kind == "cell" and open_row is not None:
-            place(open_row, node)
+            yield place(open_row, node)
             continue
         fresh: dict[int, int] = {}
         row: list = []
@@ -543,17 +595,19 @@ def _table(table: Node) -> list[str]:
                 elif isinstance(child, Node) or node.sight == "visible" and child.strip():
                     loose.children.append(child)
         for cell in cells:
-            place(row, cell)
+            yield place(row, cell)
         grid.append(row)
         open_row = row if kind == "cell" else None
         held = {c: n - 1 for c, n in held.items() if n > 1}
         held.update({c: n - 1 for c, n in fresh.items()})
+    if max((column for row in grid for column, _, _ in row), default=0):  # a table of one column has nothing to align
+        grid = [[(column, span, _broken(lines)) for column, span, lines in row] for row in grid]
     widths: dict[int, int] = {}
     for row in grid:
         for column, span, lines in row:
             if span == 1:
-                widths[column] = max(widths.get(column, 0), min(PAD, max(map(len, lines), default=0)))
-    out = _cell(loose) if loose.children else []
+                widths[column] = max(widths.get(column, 0), max(map(len, lines), default=0))
+    out = (yield _cell(loose)) if loose.children else []
     used = sorted(widths)
     starts, at = {}, 0
     for column in range((used[-1] if used else 0) + 1):
@@ -577,7 +631,7 @@ def render(html: str | None) -> str:
     if not html:
         return ""
     page = Page()
-    _render(parse(html), page)
+    _run(_render(parse(html), page))
     page.line()
     return "\n".join(page.lines).strip("\n")
 

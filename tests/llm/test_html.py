@@ -1,3 +1,7 @@
+import re
+import time
+from html.parser import HTMLParser
+
 import pytest
 
 from editscope.llm import html_text
@@ -95,9 +99,88 @@ def test_deep_and_long_pages():
     assert html_text.render(f"<p>{long}</p>") == long.strip()
 
 
-def test_wide_cells_are_not_padded_to():
+@pytest.mark.parametrize("depth", [150, 300, 5000])
+@pytest.mark.parametrize("wrap", ["div", "span", "b", "blockquote", "ul", "svg", "table><tr><td"])
+def test_depth_changes_nothing(depth, wrap):
+    if wrap in ("blockquote", "ul") or wrap.startswith("table"):
+        depth = min(depth, 1500)  # each level indents or lays out anew
+    around = f"<{wrap}>" * depth
+    inner = "<foreignObject>" if wrap == "svg" else ""
+    page = (
+        around + inner + "<p>seen<span style='display:none'>no</span><script>var no = '</p>';</script><style>no{}</style>"
+        "<i hidden>no</i><i style='visibility:hidden'>no<b style='visibility:visible'>back</b></i><template>no</template>"
+        "<ol><li>one<li>two</ol><table><tr><td>a<td>bb<tr><td>ccc<td>d</table><pre>x\n  y</pre><select><option>no<option selected>s</select>"
+    )
+    text = html_text.render(page)
+    assert text.split() == ["seenback", "1.", "one", "2.", "two", "a", "bb", "ccc", "d", "x", "y", "s"] or wrap == "ul"
+    assert "no" not in text.split() and "seenback" in text and "var" not in text
+    assert {len(line) - len(line.lstrip()) for line in text.split("\n") if line.strip().startswith(("a  ", "ccc"))} != set()
+
+
+def test_long_and_deep_pages_take_time_in_proportion():
+    page = "<b><table>" + "<span>" * 60_000 + "</b>" * 60_000 + "x"
+    began = time.time()
+    assert html_text.render(page) == "x"
+    assert html_text.render("<p>" + "<span>" * 60_000 + "<div>a" * 2000).count("a") == 2000
+    assert html_text.render("<select>" + "<b>" * 20_000 + "<option>" + "<i>" * 20_000 + "in</select>") == "in"
+    assert time.time() - began < 20
+
+
+def test_columns_stay_aligned_beside_long_cells():
+    long = " ".join(["word"] * 100)
+    text = html_text.render(f"<table><tr><td>{long}<td>right<tr><td>a<td>b<tr><td>{'y' * 450}<td>c</table>")
+    lines = text.split("\n")
+    places = [line.index(mark) for mark in ("right", "b", "c") for line in lines if line.endswith(mark)]
+    assert len(places) == 3 and len(set(places)) == 1
+    assert max(map(len, lines)) < html_text.WIDTH + 10
+    assert "".join(text.split()).replace("right", "").replace("a", "").replace("b", "").replace("c", "") == "word" * 100 + "y" * 450
+    assert html_text.render(f"<table><tr><td>{long}</table>") == long  # nothing beside it
+
+
+def test_wide_cells_do_not_multiply():
     rows = "".join(f"<tr><td>{'x' * 5000}<td>y" for _ in range(50))
-    assert len(html_text.render(f"<table>{rows}</table>")) < 51 * 5010
+    assert len(html_text.render(f"<table>{rows}</table>")) < 51 * 5100
+
+
+class Plain(HTMLParser):
+    """Another way to the text of simple pages: no tree, line breaks where a block starts or ends."""
+
+    GAPS = {"p": 2, "h1": 2, "ul": 2, "div": 1, "nav": 1, "article": 1, "footer": 1, "li": 1, "body": 1, "br": 1}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.lines, self.now, self.gap, self.off, self.inside = [], "", 0, None, False
+
+    def block(self, gap, tag=""):
+        if self.inside and tag != "br":  # a block that starts or ends closes a paragraph
+            gap, self.inside = 2, False
+        words = re.sub("[ \\t\\n\\r\\f]+", " ", self.now).strip(" ")
+        if words and words != "-":
+            self.lines += [""] * (self.gap > 1 and bool(self.lines)) + [words]
+            self.gap = 0
+        self.now, self.gap = "", max(self.gap, gap)
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("head", "script", "style") and self.off is None:
+            self.off = tag
+        self.block(self.GAPS[tag], tag) if tag in self.GAPS else None
+        self.inside = self.inside or tag == "p"
+        self.now += "- " if tag == "li" else ""
+
+    def handle_endtag(self, tag):
+        self.off = None if tag == self.off else self.off
+        self.block(self.GAPS[tag], tag) if tag in self.GAPS else None
+
+    def handle_data(self, data):
+        self.now += data if self.off is None else ""
+
+
+def plain_text(page):
+    reader = Plain()
+    reader.feed(page or "")
+    reader.close()
+    reader.block(1)
+    return "\n".join(reader.lines)
 
 
 def test_operator_keeps_rows_and_columns(spark):
@@ -114,5 +197,6 @@ def test_query_covers_all_pages(spark, sf_dir):
     got = html_text.op3_html(spark, sf_dir).collect()
     assert len(got) == len(pages)
     for r in got:
-        assert r.text == html_text.render(pages[r.page_id]) and r.n_chars == len(r.text)
+        assert r.text == plain_text(pages[r.page_id])
+        assert (r.n_chars, r.n_lines) == (len(r.text), r.text.count("\n") + 1)
         assert "track(" not in r.text and "margin:0" not in r.text
