@@ -1,11 +1,13 @@
 """Personal data in texts: patterns propose spans, checksums confirm them, nearby words adjust the score.
 
 Only DataFrame functions: each pattern marks its matches in the text with a character that no pattern can match, the
-text is split at the marks, and positions follow from the lengths of the parts. Positions are code points.
+text is split at the marks, and positions follow from the lengths of the parts. Positions are code points. Running sums
+are taken chunk by chunk, so the work is in proportion to the text, however many matches it has.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -52,36 +54,77 @@ BASE = ("email", "ip", "card", "phone")
 CONTEXT_CHARS, CONTEXT_GAIN, MIN_SCORE = 40, 0.2, 0.5
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once; inside a lambda a plain expression is worked out at every use."""
+    return F.transform(F.array(value), then)[0]
+
+
+#: Rows of a chunk of a running sum, and characters of a block of text.
+CHUNK, BLOCK = 64, 4096
+
+
+def _running(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """What ``merge`` (of longs, with 0 as its start) makes of the elements before each one, for an array with elements.
+
+    Appending to an array copies it, so that is done within chunks only, and for the chunks' own sums in the same way.
+    """
+    none = F.array().cast("array<bigint>")
+    zero = F.lit(0).cast("bigint")
+
+    def plain(part: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), none.alias("out"))
+        return F.aggregate(
+            part, start,
+            lambda acc, v: F.struct(merge(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"],
+        )
+
+    def chunked(part: Column, above: Callable[[Column], Column]) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(part) - 1) / CHUNK).cast("int"))
+        cut = F.transform(numbers, lambda i: F.slice(part, i * CHUNK + 1, F.lit(CHUNK)))
+        return _let(cut, lambda chunks: F.flatten(
+            F.zip_with(chunks, above(F.transform(chunks, lambda c: F.aggregate(c, zero, merge))), plain)
+        ))
+
+    return _let(values, lambda v: chunked(v, lambda sums: _let(sums, lambda t: chunked(t, lambda top: plain(top, zero)))))
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
 def luhn(text: Column) -> Column:
     """Whether the digits of ``text`` pass the Luhn checksum."""
-    digits = F.reverse(_digits(text))
-    places = F.sequence(F.lit(1), F.greatest(F.length(digits), F.lit(1)))
 
-    def add(total, place):
-        digit = F.substring(digits, place, F.lit(1)).cast("int")
-        twice = digit * 2
-        worth = F.when(place % 2 == 1, digit).otherwise(twice - F.when(twice > 9, 9).otherwise(0))
-        return total + F.coalesce(worth, F.lit(0))
+    def total(digits: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(digits), F.lit(1)))
 
-    return F.aggregate(places, F.lit(0), add) % 10 == 0
+        def add(total, place):
+            digit = F.substring(digits, place, F.lit(1)).cast("int")
+            twice = digit * 2
+            worth = F.when(place % 2 == 1, digit).otherwise(twice - F.when(twice > 9, 9).otherwise(0))
+            return total + F.coalesce(worth, F.lit(0))
+
+        return F.aggregate(places, F.lit(0), add)
+
+    return _let(F.reverse(_digits(text)), total) % 10 == 0
 
 
 def mod97(text: Column) -> Column:
     """Whether an account number passes mod 97: first four characters to the end, letters as 10 to 35, remainder 1."""
     plain = F.replace(text, F.lit(" "), F.lit(""))
-    turned = F.concat(F.substring(plain, 5, 64), F.substring(plain, 1, 4))
-    places = F.sequence(F.lit(1), F.greatest(F.length(turned), F.lit(1)))
 
-    def add(rest, place):
-        code = F.ascii(F.substring(turned, place, F.lit(1)))
-        letter = code >= 65
-        return (F.when(letter, rest * 100 + code - 55).otherwise(rest * 10 + code - 48)) % 97
+    def rest(turned: Column) -> Column:
+        places = F.sequence(F.lit(1), F.greatest(F.length(turned), F.lit(1)))
+
+        def add(rest, place):
+            code = F.ascii(F.substring(turned, place, F.lit(1)))
+            letter = code >= 65
+            return (F.when(letter, rest * 100 + code - 55).otherwise(rest * 10 + code - 48)) % 97
 
-    return F.aggregate(places, F.lit(0), add) == 1
+        return F.aggregate(places, F.lit(0), add)
+
+    return _let(F.concat(F.substring(plain, 5, 64), F.substring(plain, 1, 4)), rest) == 1
 
 
 def _valid(kind: str, match: Column) -> Column:
@@ -99,13 +142,18 @@ def _valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _score(kind: Kind, before: Column) -> Column:
-    """The score of a confirmed span: more if one of the kind's words stands shortly before it."""
-    near = F.lower(F.right(before, F.lit(CONTEXT_CHARS)))
-    hit = F.lit(False)
-    for word in kind.words:
-        hit = hit | F.contains(near, F.lit(word))
-    return F.lit(kind.score) + F.when(hit, CONTEXT_GAIN).otherwise(0.0)
+def _score(kind: Kind, before: Column, after: Column) -> Column:
+    """The score of a confirmed span: more if one of the kind's words stands shortly before or after it. Context does not
+    reach beyond the next match of the kind."""
+    near = F.lower(F.concat(F.right(before, F.lit(CONTEXT_CHARS)), F.lit("\n"), F.left(after, F.lit(CONTEXT_CHARS))))
+
+    def gain(near: Column) -> Column:
+        hit = F.lit(False)
+        for word in kind.words:
+            hit = hit | F.contains(near, F.lit(word))
+        return F.when(hit, CONTEXT_GAIN).otherwise(0.0)
+
+    return F.lit(kind.score) + _let(near, gain)
 
 
 SPAN = "struct<kind:string,start:bigint,stop:bigint,score:double>"
@@ -116,31 +164,25 @@ def _spans(kind: Kind, text: Column) -> Column:
     marked = F.regexp_replace(
         F.translate(text, _MARK, _STAND_IN), f"(?:{kind.pattern})", f"{_MARK}$0{_MARK}"
     )
-    parts = F.split(marked, _MARK, -1)
-    start = F.struct(
-        F.lit(0).cast("long").alias("at"),
-        F.lit(False).alias("inside"),
-        F.lit("").alias("before"),
-        F.array().cast(f"array<{SPAN}>").alias("found"),
-    )
 
-    def step(acc, part):
-        stop = acc["at"] + F.length(part)
-        score = _score(kind, acc["before"])
-        enough = F.lit(True) if kind.name in BASE else score >= MIN_SCORE
-        span = F.struct(
-            F.lit(kind.name).alias("kind"), acc["at"].alias("start"), stop.alias("stop"), score.alias("score")
+    def placed(parts: Column, sizes: Column, starts: Column) -> Column:
+        def span(i: Column) -> Column:
+            start = starts[i]
+            return F.struct(
+                F.lit(kind.name).alias("kind"), start.alias("start"), (start + sizes[i]).alias("stop"),
+                _score(kind, parts[i - 1], parts[i + 1]).alias("score"),
+            )
+
+        valid = F.filter(F.sequence(F.lit(1), F.size(parts) - 2, F.lit(2)), lambda i: _valid(kind.name, parts[i]))
+        found = F.transform(valid, span)
+        return found if kind.name in BASE else F.filter(found, lambda s: s["score"] >= MIN_SCORE)
+
+    found = _let(F.split(marked, _MARK, -1), lambda parts: _let(
+        F.transform(parts, lambda p: F.length(p).cast("bigint")), lambda sizes: _let(
+            _running(sizes, lambda a, b: a + b), lambda starts: placed(parts, sizes, starts)
         )
-        keep = acc["inside"] & _valid(kind.name, part) & enough
-        return F.struct(
-            stop.alias("at"),
-            (~acc["inside"]).alias("inside"),
-            part.alias("before"),
-            F.when(keep, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"),
-        )
-
+    ))
     none = F.array().cast(f"array<{SPAN}>")
-    found = F.aggregate(parts, start, step, lambda acc: acc["found"])
     possible = F.contains(text, F.lit(kind.hint)) if kind.hint else F.lit(True)
     return F.when(possible & text.rlike(kind.pattern), found).otherwise(none)
 
@@ -171,27 +213,34 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with each span of personal data replaced by its kind in angle brackets; overlapping spans become one,
     named after the first. Other texts stay as they are, nulls included. Columns are kept."""
     out = "__pii"
-    columns = docs.columns
+    columns = [f"`{c.replace('`', '``')}`" for c in docs.columns]
     text = F.col(text_col)
-    empty = F.struct(F.lit(1).cast("long").alias("at"), F.lit("").alias("text"))
-
-    def step(acc, s):
-        gap = F.substring(text, acc["at"], s["start"] + 1 - acc["at"])
-        done = s["stop"] + 1 <= acc["at"]
-        fresh = s["start"] + 1 >= acc["at"]
-        return F.struct(
-            F.greatest(acc["at"], s["stop"] + 1).alias("at"),
-            F.when(fresh & ~done, F.concat(acc["text"], gap, F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-            .otherwise(acc["text"]).alias("text"),
-        )
 
-    last = F.substring
-    cut = F.aggregate(
-        F.col(out), empty, step,
-        lambda acc: F.concat(acc["text"], last(text, acc["at"], F.length(text).cast("long") + 1)),
-    )
+    def cut(blocks: Column, first: Column, stop: Column) -> Column:
+        """The text from one place to another, out of blocks: finding a place in a long text would scan it anew."""
+
+        def part(q: Column) -> Column:
+            start = F.greatest(first - q * BLOCK, F.lit(0)).cast("int")
+            return F.substring(blocks[q], start + 1, F.least(stop - q * BLOCK, F.lit(BLOCK)).cast("int") - start)
+
+        last = F.floor((stop - 1) / BLOCK).cast("int")
+        inside = F.transform(F.sequence(F.floor(first / BLOCK).cast("int"), last), part)
+        return F.when(stop > first, F.array_join(inside, "")).otherwise(F.lit(""))
+
+    def pieces(blocks: Column, spans: Column, ends: Column) -> Column:
+        def piece(i: Column) -> Column:
+            s = spans[i]
+            fresh = s["start"] >= ends[i]  # the first of those that overlap
+            return F.when(fresh, F.concat(cut(blocks, ends[i], s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(F.lit(""))
+
+        tail = cut(blocks, F.array_max(F.transform(spans, lambda s: s["stop"])), F.length(text).cast("bigint"))
+        return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.size(spans) - 1), piece), ""), tail)
+
+    ends = _running(F.transform(out, lambda s: s["stop"]), lambda a, b: F.greatest(a, b))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    new = _let(blocks, lambda b: _let(ends, lambda e: pieces(b, F.col(out), e)))
     rows = find(docs, text_col, out)
-    return rows.withColumn(text_col, F.when(F.size(out) > 0, cut).otherwise(text)).select(*columns)
+    return rows.withColumn(text_col, F.when(F.size(out) > 0, new).otherwise(text)).select(*columns)
 
 
 def _joined(spans: Column) -> Column:

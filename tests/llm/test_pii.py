@@ -98,3 +98,43 @@ def test_redaction_of_odd_documents(spark):
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = pii.op6_pii(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    """Tens of thousands of matches in one text, also beyond the basic plane: same spans, no quadratic copying."""
+    import time
+
+    texts = {
+        n: " ".join(f"\U0001f600 10.0.{k % 300}.7 a{k}@b.example +1 555 000 {k % 9000 + 1000}" for k in range(n // 3)) for n in (3000, 30_000, 100_000)
+    }
+    took = {}
+    for n, text in texts.items():
+        began = time.time()
+        row = found(spark, [text])[0]
+        took[n] = time.time() - began
+        assert row.b == base(text)
+    assert took[100_000] < 40
+    text = texts[30_000]
+    began = time.time()
+    got = pii.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().text
+    assert time.time() - began < 20
+    assert got == plain_redact(text)
+
+
+def plain_redact(text):
+    at, out = 0, []
+    for span in sorted((int(s.split(":")[1]), int(s.split(":")[2]), s.split(":")[0]) for s in base(text).split(",") if s):
+        if span[0] >= at:
+            out += [text[at : span[0]], f"<{span[2].upper()}>"]
+        at = max(at, span[1])
+    return "".join(out) + text[at:]
+
+
+def test_context_on_either_side(spark):
+    rows = found(spark, ["078-05-1120", "my ssn is 078-05-1120", "078-05-1120 is my SSN", "078-05-1120 " + "x " * 40 + "ssn"])
+    assert [r.a for r in rows] == ["", "ssn:10:21", "ssn:0:11", ""]
+
+
+def test_redact_keeps_odd_column_names(spark):
+    docs = spark.createDataFrame([(1, "mail a.b@c.example", 2)], "doc_id long, text string, `a.b` int")
+    assert pii.redact(docs).collect()[0].asDict() == {"doc_id": 1, "text": "mail <EMAIL>", "a.b": 2}
