@@ -36,6 +36,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def columns_of(df: DataFrame) -> list[str]:
+    """The names of the columns, quoted, so that one with a dot is a column and not a field."""
+    return [f"`{c.replace('`', '``')}`" for c in df.columns]
+
+
 def small_batches(spark: SparkSession) -> None:
     """Few rows to an Arrow batch, so that a batch of very long texts fits a worker's memory."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -316,7 +316,7 @@ def decontaminate(
     """``docs`` without benchmark passages: marked spans are cut from the text, and texts of which more than
     ``max_coverage`` of the words are marked go as a whole. Texts without a mark stay as they are. Columns are kept.
     """
-    columns = docs.columns
+    columns = common.columns_of(docs)
     hits = "__contamination"
     rows = mark(docs, benchmark, window, text_col, hits, **options)
     hit = marked_words(hits)

@@ -1,7 +1,8 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
 Training counts n-grams in numpy, sums them per (language, bucket) in Spark and brings one matrix of languages by
-buckets to the driver; its size is fixed by ``BUCKETS`` and the number of languages, not by the texts. Prediction
+buckets to the driver. The matrix has at most ``CELLS`` numbers: with more than 512 languages an n-gram is hashed to fewer
+bits. Prediction
 broadcasts the log-probabilities and scores a batch of texts at once: one gather and one sum per text.
 
 The posterior only compares the languages with each other, and is near 1 for any text of some length. Whether a text fits
@@ -21,12 +22,12 @@ from pyspark.sql import types as T
 
 from . import common
 
-BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.1
 #: About so many labelled rows are used to fit the classifier.
 FIT_ROWS = 100_000
-MAX_LANGS = 512
+#: Numbers of the matrix, and labels that are learned: the most frequent ones, should there be more.
+CELLS, MAX_LANGS = 1 << 25, 1 << 15
 UNKNOWN = "und"
 #: The floor of a language: so much (nats per n-gram) below what this share of its labelled rows stays under.
 FLOOR_SHARE, FLOOR_MARGIN = 0.05, 2.0
@@ -81,6 +82,11 @@ def ngrams(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners), n_letters
 
 
+def bits_for(langs: int) -> int:
+    """Bits of an n-gram's bucket: 16 up to 512 languages, one less each time their number doubles."""
+    return min(16, (CELLS // max(langs, 1)).bit_length() - 1)
+
+
 @dataclass
 class Model:
     """``weights``: buckets by languages, float32 log-probabilities. ``priors``: log share of each language.
@@ -99,14 +105,18 @@ class Model:
         return self.judge(texts)[:2]
 
     def judge(self, texts) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, posterior, and whether the text fits any of the languages (if there are no floors: has a letter).
+        """Language, posterior, and whether the text fits any of the languages (has a letter, if there are no floors or no
+        language was learned).
 
         The allowance for short texts shrinks with the root of their length. A language with few labelled rows has a
         low floor, since little can be told from them.
         """
-        if not self.langs or not len(texts):
-            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
+        if not len(texts):
+            return [], np.zeros(0), np.zeros(0, bool)
         bucket, owner, letters = ngrams(texts)
+        if not self.langs:  # nothing is known that a text could fail to fit
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), letters > 0
+        bucket = bucket >> (16 - bits_for(len(self.langs)))
         sums = np.empty((len(texts), len(self.langs)))
         for k in range(len(self.langs)):
             sums[:, k] = np.bincount(owner, weights=self.weights[k][bucket], minlength=len(texts))
@@ -133,6 +143,7 @@ def fit(
     whole, of the others a share, chosen by a hash of all simple columns. So copies of a text under other ids are
     thinned like any rows; only rows equal in all of these columns stay together. Rows with a
     null text or language are left out; with none left, the model knows no language and predicts ``und``.
+    Any number of labels will do: the ``MAX_LANGS`` most frequent are learned.
 
     With ``floors``, a second pass scores each of the rows used by the counts of the others, and the model can tell
     texts that fit no language.
@@ -144,29 +155,39 @@ def fit(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
         F.xxhash64(F.col(text_col).cast("string"), *simple).alias("row"),
     ).dropna(subset=["text", "lang"])
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()}
-    if len(counts) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    labels = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    counts = {r["lang"]: r["n"] for r in labels.collect()}
+    if len(counts) == MAX_LANGS:
+        known = known.join(F.broadcast(labels.select("lang")), "lang", "left_semi").select("text", "lang", "row")
     langs = sorted(counts)
     total = sum(counts.values())
     if total > fit_rows:
         known = _sample(known, counts, fit_rows)
     place = {lang: k for k, lang in enumerate(langs)}
 
+    size = 1 << bits_for(len(langs))
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(len(langs) * BUCKETS, np.int64)
+        held, waiting = (np.zeros(0, np.int64), np.zeros(0, np.int64)), []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            at, place_ = np.unique(np.concatenate([held[0], *(w[0] for w in waiting)]), return_inverse=True)
+            return at, np.bincount(place_, weights=np.concatenate([held[1], *(w[1] for w in waiting)]), minlength=len(at)).astype(np.int64)
+
         for batch in batches:
             bucket, owner, _ = ngrams(batch["text"].tolist())
             lang = batch["lang"].map(place).to_numpy(np.int64)
-            seen += np.bincount(lang[owner] * BUCKETS + bucket, minlength=len(seen))
-        at = np.flatnonzero(seen)
-        yield pd.DataFrame({"at": at, "n": seen[at]})
+            waiting.append(np.unique(lang[owner] * size + (bucket >> (16 - bits_for(len(langs)))), return_counts=True))
+            if sum(len(w[0]) for w in waiting) > max(len(held[0]), 1 << 20):
+                held, waiting = merged(), []
+        at, n = merged()
+        yield pd.DataFrame({"at": at, "n": n})
 
-    table = np.full(len(langs) * BUCKETS, SMOOTHING)
+    table = np.full(len(langs) * size, SMOOTHING)
     if langs:
         summed = known.mapInPandas(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
         table[summed["at"].to_numpy(np.int64)] += summed["n"].to_numpy(np.float64)
-    table = table.reshape(len(langs), BUCKETS)
+    table = table.reshape(len(langs), size)
     weights = np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32) if langs else table
     priors = np.log(np.array([counts[lang] for lang in langs], float) / total) if langs else np.zeros(0)
     model = Model(langs, weights, priors)
@@ -200,7 +221,7 @@ def _floors(known: DataFrame, table: np.ndarray, weights: np.ndarray, place: dic
                 bucket, _, letters = ngrams([text])
                 if not letters[0]:
                     continue
-                at, own = np.unique(bucket, return_counts=True)
+                at, own = np.unique(bucket >> (16 - bits_for(len(place))), return_counts=True)
                 left = np.maximum(shared.value[place[name]][at] - own, SMOOTHING)
                 lang.append(place[name])
                 fits.append(float((own * np.log(left)).sum() / len(bucket) - np.log(sizes[place[name]] - len(bucket))))

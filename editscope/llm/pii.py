@@ -213,7 +213,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with each span of personal data replaced by its kind in angle brackets; overlapping spans become one,
     named after the first. Other texts stay as they are, nulls included. Columns are kept."""
     out = "__pii"
-    columns = [f"`{c.replace('`', '``')}`" for c in docs.columns]
+    columns = common.columns_of(docs)
     text = F.col(text_col)
 
     def cut(blocks: Column, first: Column, stop: Column) -> Column:

@@ -267,9 +267,9 @@ def judge(
 
 def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that no rule rejects, with their columns."""
-    columns = docs.columns
+    columns = common.columns_of(docs)
     rows = judge(docs, estimate(docs, rules, text_col, sample_rows), text_col, "__quality")
-    return rows.filter("__quality.kept").select(*[F.col(f"`{c}`") for c in columns])
+    return rows.filter("__quality.kept").select(*columns)
 
 
 def op12_quality(spark, sf_dir) -> DataFrame:

@@ -267,7 +267,7 @@ def deduplicate(
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that with the smallest id, rows without an id last, the
     first read of several. Columns are kept."""
-    columns = docs.columns
+    columns = common.columns_of(docs)
     rows = with_fingerprint(docs, text_col, "__fp", shingle).withColumn("__row", F.monotonically_increasing_id())
     rows = common.staged(rows, "simhash-docs")
     small = rows.select(F.col("__fp").alias("fp"), F.col(id_col).alias("id"), "__row")

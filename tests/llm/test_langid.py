@@ -1,6 +1,10 @@
+import math
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from editscope.llm import langid
@@ -84,3 +88,63 @@ def test_sample_keeps_rare_languages_and_thins_copies(spark):
     known = docs.select("text", "lang", F.xxhash64("text", "doc_id").alias("row"))
     kept = {r["lang"]: r["count"] for r in langid._sample(known, {"ru": 5, "en": 2000, "fr": 2000}, 205).groupBy("lang").count().collect()}
     assert kept["ru"] == 5 and 60 <= kept["en"] <= 140 and 60 <= kept["fr"] <= 140
+
+
+def plain_bayes(rows, text):
+    """Posterior of each language for a text, with dictionaries."""
+    counts, priors = {}, {}
+    for known, lang in rows:
+        counts.setdefault(lang, Counter()).update(langid.ngrams([known])[0].tolist())
+        priors[lang] = priors.get(lang, 0) + 1
+    logs = {}
+    found = langid.ngrams([text])[0].tolist()
+    for lang, seen in counts.items():
+        total = sum(seen.values()) + langid.SMOOTHING * 65536
+        fit = sum(math.log((seen[b] + langid.SMOOTHING) / total) for b in found)
+        logs[lang] = fit / len(langid.ORDERS) + math.log(priors[lang] / len(rows))
+    top = max(logs.values())
+    share = {lang: math.exp(v - top) for lang, v in logs.items()}
+    return {lang: v / sum(share.values()) for lang, v in share.items()}
+
+
+def test_query_equals_a_plain_naive_bayes(spark, sf_dir):
+    docs = odd.plain(spark, sf_dir).collect()
+    known = [(d.text, d.lang) for d in docs if d.text is not None and d.lang is not None and zlib.crc32(str(d.doc_id).encode()) % 5]
+    got = {r.doc_id: r for r in langid.op4_language(spark, sf_dir).collect()}
+    counted = {}
+    for text, lang in known:
+        counted.setdefault(lang, []).append((text, lang))
+    for d in docs[:60]:
+        if not any(c.isalpha() for c in d.text or ""):
+            assert (got[d.doc_id].lang_pred, got[d.doc_id].score) == ("und", 0.0)
+            continue
+        share = plain_bayes(known, d.text)
+        best = max(share, key=share.get)
+        assert got[d.doc_id].lang_pred == best
+        assert abs(got[d.doc_id].score - share[best]) < 1e-3
+
+
+def test_texts_between_languages_have_the_plain_posterior(spark):
+    rows = [("the cat and the dog", "en"), ("le chat et le chien", "fr"), ("the end", "en"), ("der hund", "de")]
+    docs = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    texts = ["a", "le", "the le", "hund et dog", "xyz", "chat and"]
+    names, scores = model.predict(texts)
+    for text, name, score in zip(texts, names, scores):
+        share = plain_bayes(rows, text)
+        assert abs(share[name] - score) < 1e-4 and share[name] >= max(share.values()) - 1e-4
+
+
+@pytest.mark.parametrize("labels", [0, 1, 600])
+def test_any_number_of_labels(spark, labels):
+    rng = random.Random(labels)
+    word = {k: "".join(rng.choices("abcdefghijklmnopqrstuvwxyzäöüéèñçабвгд", k=12)) for k in range(max(labels, 1))}
+    rows = [(k * 3 + n, f"{word[k]} {word[k][::-1]} {word[k][2:9]}", f"l{k}" if labels else None) for k in range(max(labels, 1)) for n in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, floors=True)
+    assert len(model.langs) == labels and sum(w.size for w in model.weights) <= langid.CELLS
+    got = langid.identify(docs, model, fits_out="fits").collect()
+    assert len(got) == len(rows) and all(r.fits for r in got)
+    right = sum(r.lang_pred == (r.lang or "und") for r in got)
+    assert right >= 0.98 * len(rows)
+    assert langid.bits_for(1) == langid.bits_for(512) == 16 and langid.bits_for(600) == 15
