@@ -235,11 +235,15 @@ def mark(
     spark = docs.sparkSession
     common.small_batches(spark)
     small = "__hits"
-    marked = docs.drop(out)
+    kept = docs.drop(out)
+    names = kept.columns
+    # rows go through Python, which takes no column name with a dot
+    marked = kept.toDF(*[f"c{k}" for k in range(len(names))])
+    text_col = f"c{names.index(text_col)}"
     for turn, automaton in enumerate(_automata(benchmark, window, shard_words)):
         shared = spark.sparkContext.broadcast(automaton)
         marked = _scan(marked, shared, text_col, small, first=turn == 0)
-    return marked.withColumnRenamed(small, out)
+    return marked.toDF(*names, out)
 
 
 def _scan(docs: DataFrame, shared, text_col: str, out: str, first: bool) -> DataFrame:
