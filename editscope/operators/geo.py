@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ip
@@ -91,6 +91,25 @@ def _network_key() -> list:
 SHORT_PREFIX = 12
 
 
+def _by_prefix(numbered: DataFrame, nets: DataFrame, best: Column) -> DataFrame:
+    """``best`` of the networks (family, prefix_len, net_high, net_low and more) that hold each address, by equality on
+    every prefix length that occurs."""
+    keys = ["family", "prefix_len", "net_high", "net_low"]
+    short = F.col("prefix_len") <= SHORT_PREFIX
+
+    def cut(wanted):
+        v4, v6 = (
+            nets.filter(wanted & (F.col("family") == family)).agg(F.collect_set("prefix_len")).scalar()
+            for family in (4, 6)
+        )
+        each = F.explode(F.when(F.col("family") == 4, v4).otherwise(v6))
+        return numbered.withColumn("prefix_len", each).select("ip", *_network_key())
+
+    few = F.broadcast(nets.filter(short))  # bounded by the lengths
+    found = cut(short).join(few, keys).unionByName(cut(~short).join(nets.filter(~short), keys))
+    return found.groupBy("ip").agg(best.alias("best"))
+
+
 def network_lookup(ips: DataFrame, networks: DataFrame) -> DataFrame:
     """The most specific network holding each address: ``ip, prefix_len, lat, lon``.
 
@@ -105,17 +124,73 @@ def network_lookup(ips: DataFrame, networks: DataFrame) -> DataFrame:
     place = F.max(F.struct("lat", "lon")).alias("place")
     nets = spans.select(*_network_key(), "lat", "lon").groupBy(*keys).agg(place)
     numbered = ip.with_ip_number(ips.select("ip").distinct(), "ip").filter(F.col("family").isNotNull())
-    short = F.col("prefix_len") <= SHORT_PREFIX
+    best = F.max(F.struct("prefix_len", "place.lat", "place.lon"))
+    return _by_prefix(numbered, nets, best).select("ip", "best.prefix_len", "best.lat", "best.lon")
 
-    def cut(wanted):
-        v4, v6 = (
-            spans.filter(wanted & (F.col("family") == family)).agg(F.collect_set("prefix_len")).scalar()
-            for family in (4, 6)
-        )
-        each = F.explode(F.when(F.col("family") == 4, v4).otherwise(v6))
-        return numbered.withColumn("prefix_len", each).select("ip", *_network_key())
 
-    few = F.broadcast(nets.filter(short))  # bounded by the lengths
-    found = cut(short).join(few, keys).unionByName(cut(~short).join(nets.filter(~short), keys))
-    best = F.max(F.struct("prefix_len", "place.lat", "place.lon")).alias("best")
-    return found.groupBy("ip").agg(best).select("ip", "best.prefix_len", "best.lat", "best.lon")
+def _pieces(first: Column, last: Column) -> Column:
+    """The prefixes, as texts of bits, that make up the range between two addresses given as texts of bits of one length.
+
+    Both have a common prefix; there the first goes on with 0 and the last with 1. Left of the middle are the block of the
+    first address (its trailing zeros are free) and, for every 0 of it, the block to the right of that; right of the
+    middle it is the same with 1 and 0 exchanged. A range of one address is that address.
+    """
+    size = F.length(first)
+    places = F.sequence(F.lit(1), size)
+    common = F.coalesce(
+        F.try_element_at(F.filter(places, lambda k: F.substring(first, k, F.lit(1)) != F.substring(last, k, F.lit(1))), F.lit(1)) - 1, size
+    )
+
+    def side(bits: Column, stay: str, turn: str) -> Column:
+        kept = F.greatest(F.length(F.regexp_replace(bits, f"{stay}+$", "")), common + 1)
+        inner = F.filter(places, lambda k: (k > common + 1) & (k <= kept) & (F.substring(bits, k, F.lit(1)) == stay))
+        blocks = F.transform(inner, lambda k: F.concat(F.substring(bits, F.lit(1), k - 1), F.lit(turn)))
+        return F.concat(blocks, F.array(F.substring(bits, F.lit(1), kept)))
+
+    return F.when(common == size, F.array(first)).otherwise(F.concat(side(first, "0", "1"), side(last, "1", "0")))
+
+
+def interval_lookup(ips: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The smallest range holding each address: ``ip, net_start, net_end, lat, lon``.
+
+    ``ranges`` has ``net_start`` and ``net_end`` (texts, both belong to the range), ``lat``, ``lon``; ranges may be nested or
+    overlap and need not be prefixes. A range is cut into the at most 254 prefixes that make it up, of equal prefixes the
+    one of the smallest range stays, and addresses are looked up as in ``network_lookup``: no group of addresses is paired
+    with a group of ranges. Of ranges of one size the greatest (lat, lon, net_start) counts. Ranges that end before they
+    start, mix families or are no addresses hold nothing.
+    """
+    numbers = ["family", "high", "low"]
+    begin = ip.with_ip_number(ranges.select("net_start", "net_end", "lat", "lon"), "net_start").withColumnsRenamed({c: f"s_{c}" for c in numbers})
+    both = ip.with_ip_number(begin, "net_end").filter(F.col("family") == F.col("s_family"))
+
+    def bits(high: str, low: str) -> Column:
+        whole = F.concat(F.lpad(F.bin(high), 64, "0"), F.lpad(F.bin(low), 64, "0"))
+        return F.substring(whole, F.lit(1), F.when(F.col("family") == 4, 32).otherwise(128))
+
+    def unsigned(name: str) -> Column:
+        value = F.col(name).cast("decimal(21,0)")
+        return F.when(value < 0, value + F.lit(str(1 << 64)).cast("decimal(21,0)")).otherwise(value)
+
+    high, low = unsigned("high") - unsigned("s_high"), unsigned("low") - unsigned("s_low")
+    borrow = low < 0
+    extent = F.struct(
+        (high - F.when(borrow, 1).otherwise(0)).alias("high"),
+        (low + F.when(borrow, F.lit(str(1 << 64)).cast("decimal(21,0)")).otherwise(F.lit(0).cast("decimal(21,0)"))).alias("low"),
+    )
+    sized = both.select(
+        "family", "net_start", "net_end", "lat", "lon", extent.alias("extent"), bits("s_high", "s_low").alias("first"), bits("high", "low").alias("last")
+    ).filter(F.col("first") <= F.col("last"))
+    piece = sized.select("*", F.explode(_pieces(F.col("first"), F.col("last"))).alias("bits"))
+
+    def half(start: int) -> Column:
+        return F.conv(F.substring(F.rpad("bits", 128, "0"), start, 64), 2, -10).cast("bigint")
+
+    keys = ["family", "prefix_len", "net_high", "net_low"]
+    order = F.struct(
+        (-F.col("extent.high")).alias("high"), (-F.col("extent.low")).alias("low"), "lat", "lon", "net_start", "net_end"
+    )
+    nets = piece.select(
+        "family", F.length("bits").alias("prefix_len"), half(1).alias("net_high"), half(65).alias("net_low"), order.alias("place")
+    ).groupBy(*keys).agg(F.max("place").alias("place"))
+    numbered = ip.with_ip_number(ips.select("ip").distinct(), "ip").filter(F.col("family").isNotNull())
+    return _by_prefix(numbered, nets, F.max("place")).select("ip", "best.net_start", "best.net_end", "best.lat", "best.lon")

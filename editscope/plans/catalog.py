@@ -238,6 +238,11 @@ def geo_range_enrich(spark, sf_dir):
     return geo.geo_enrich(rows, places).select("event_id", "user", "lat", "lon")
 
 
+def geo_interval(spark, sf_dir):
+    """The smallest of the ranges, nested and overlapping, that hold each address."""
+    return geo.interval_lookup(geo.edit_ips(t.edits(spark, sf_dir)), t.ranges(spark, sf_dir))
+
+
 def map_points(spark, sf_dir):
     return t.points(spark, sf_dir).select("event_id", "lat", "lon", "wiki_lang")
 
@@ -455,7 +460,7 @@ QUERIES: dict[str, Query] = {
         feed_parse, feed_parse_odd, feed_to_wars, feed_to_editors, feed_to_topics, edit_to_json, json_decode, wiki_lang, editor_type, editor_type_v1,
         title_filter, revert_flag, revert_flag_documents, topic_key, is_ip, raw_edits,
         suspicious_flag, suspicious_flag_60s, suspicious_flag_hot, suspicious_flag_fast, feed_to_edits,
-        geo_enrich, geo_missing, geo_upsert, geo_range, geo_range_v6, geo_range_enrich,
+        geo_enrich, geo_missing, geo_upsert, geo_range, geo_range_v6, geo_range_enrich, geo_interval,
         map_points, map_last_n, map_lang_top10, map_summary,
         hist_read, hist_read_editors, hist_read_topics, latest_versions, hist_war_peaks, hist_editor_peaks, hist_topic_peaks,
         hist_last_15m, hist_last_1h, hist_war_kpis, hist_war_kpis_all,

@@ -77,6 +77,19 @@ nets AS (
 )"""
 
 
+RANGES = """
+blocks AS (
+  SELECT DISTINCT user_id // 256 AS b FROM events
+), ranges AS (
+  SELECT b * 256 + 5 AS first, b * 256 + 200 AS last, '10.0.' || b || '.5' AS net_start, '10.0.' || b || '.200' AS net_end,
+    b::DOUBLE AS lat, (b * 2)::DOUBLE AS lon FROM blocks
+  UNION ALL
+  SELECT b * 256 + 17, b * 256 + 99, '10.0.' || b || '.17', '10.0.' || b || '.99', (b + 1)::DOUBLE, b::DOUBLE FROM blocks WHERE b % 2 = 0
+  UNION ALL
+  SELECT b * 256 + 250, b * 256 + 286, '10.0.' || b || '.250', '10.0.' || (b + 1) || '.30', b::DOUBLE, (b + 2)::DOUBLE FROM blocks
+)"""
+
+
 def windowed(table: str, size: str, slide: str, n: int) -> str:
     """Every edit in each of its ``n`` windows."""
     return f"""
@@ -349,6 +362,11 @@ WHERE {IS_IP} AND "user" NOT IN (SELECT ip FROM geo)""",
 SELECT ip, CASE WHEN status = 'success' THEN lat ELSE 0.0::DOUBLE END AS lat,
   CASE WHEN status = 'success' THEN lon ELSE 0.0::DOUBLE END AS lon FROM answers""",
     "geo_range": with_(EDITS, NETWORKS) + " SELECT * FROM located",
+    "geo_interval": with_(EDITS, RANGES) + """
+SELECT ip, arg_min(net_start, last - first) AS net_start, arg_min(net_end, last - first) AS net_end,
+  arg_min(lat, last - first) AS lat, arg_min(lon, last - first) AS lon
+FROM (SELECT DISTINCT "user" AS ip, user_id FROM edits WHERE """ + IS_IP + """) a
+JOIN ranges ON user_id BETWEEN first AND last GROUP BY ip""",
     "geo_range_enrich": with_(EDITS, NETWORKS) + """
 SELECT event_id, "user", lat, lon FROM edits LEFT JOIN located ON "user" = ip""",
     "map_points": GEO + " SELECT event_id, lat, lon, wiki_lang FROM points",

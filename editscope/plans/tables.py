@@ -105,6 +105,23 @@ def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo_answers(spark, sf_dir).filter(F.col("status") == geo_ops.SUCCESS).drop("status")
 
 
+def ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges that are no prefixes, nested and overlapping: in every third octet one from .5 to .200, in even ones another
+    from .17 to .99, and one from .250 on into the next octet."""
+    block, number = F.expr("user_id div 256"), F.col("b")
+    some = [
+        (_address(number, F.lit(5)), _address(number, F.lit(200)), number, number * 2, F.lit(True)),
+        (_address(number, F.lit(17)), _address(number, F.lit(99)), number + 1, number, number % 2 == 0),
+        (_address(number, F.lit(250)), _address(number + 1, F.lit(30)), number, number + 2, F.lit(True)),
+    ]
+    each = F.array(*[
+        F.struct(a.alias("net_start"), b.alias("net_end"), c.cast("double").alias("lat"), d.cast("double").alias("lon"), e.alias("there"))
+        for a, b, c, d, e in some
+    ])
+    blocks = read(spark, sf_dir, "events").select(block.alias("b")).distinct()
+    return blocks.select(F.inline(each)).filter("there").drop("there")
+
+
 def networks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested networks around the addresses of all users: the lower /25 of every third octet
     and, except in each third group of sixteen addresses, a /28. Some addresses have none."""

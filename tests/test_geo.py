@@ -1,6 +1,7 @@
 import ipaddress
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from editscope.operators import geo
@@ -110,3 +111,47 @@ def test_network_lookup_without_networks(spark):
     ips = spark.createDataFrame([("1.2.3.4",)], "ip string")
     none = spark.createDataFrame([], "net_start string, prefix_len int, lat double, lon double")
     assert geo.network_lookup(ips, none).count() == 0
+
+
+def addresses(spark, names):
+    return spark.createDataFrame([(n,) for n in names], "ip string")
+
+
+@pytest.mark.parametrize("family", [4, 6])
+def test_intervals_against_all_pairs(spark, family):
+    rng = random.Random(family)
+    kind = ipaddress.IPv4Address if family == 4 else ipaddress.IPv6Address
+    top = 2 ** (32 if family == 4 else 128) - 1
+    base = int(kind("10.0.0.0" if family == 4 else "2001:db8::ffff:ffff:ffff:ff00"))
+
+    def place():
+        return rng.choice([base + rng.randint(0, 3000), base + rng.randint(0, 40), rng.randint(0, top), 0, top, base])
+
+    ranges = [(str(kind(a)), str(kind(b)), float(k), 1.0) for k in range(150) for a, b in [sorted((place(), place()))]]
+    ranges += [("10.0.0.9", "10.0.0.3", 0.0, 0.0), ("1.1.1.1", "::9", 0.0, 0.0), ("x", "10.0.0.1", 0.0, 0.0), (None, "10.0.0.1", 0.0, 0.0)]
+    ranges += [ranges[3], (ranges[3][0], ranges[3][1], 999.0, 5.0)]
+    names = sorted({str(kind(place())) for _ in range(300)} | {r[k] for r in ranges[:60] for k in (0, 1)})
+    table = spark.createDataFrame(ranges, "net_start string, net_end string, lat double, lon double")
+    got = geo.interval_lookup(addresses(spark, [*names, "no address", None]), table).collect()
+    want = {}
+    for name in names:
+        value = int(kind(name))
+        held = []
+        for start, end, lat, lon in ranges:
+            try:
+                a, b = kind(start), kind(end)
+            except ValueError:
+                continue
+            if a <= b and int(a) <= value <= int(b):
+                held.append((int(a) - int(b), lat, lon, start, end))
+        if held:
+            _, lat, lon, start, end = max(held)
+            want[name] = (start, end, lat, lon)
+    assert {r.ip: (r.net_start, r.net_end, r.lat, r.lon) for r in got} == want and len(got) == len(want) > 100
+
+
+def test_intervals_pair_nothing(spark):
+    table = spark.createDataFrame([("10.0.0.1", "10.0.9.9", 1.0, 2.0)], "net_start string, net_end string, lat double, lon double")
+    plan = geo.interval_lookup(addresses(spark, ["10.0.0.5"]), table)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert geo.interval_lookup(addresses(spark, []), table).count() == geo.interval_lookup(addresses(spark, ["10.0.0.5"]), table.limit(0)).count() == 0
