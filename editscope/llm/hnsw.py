@@ -1,10 +1,13 @@
 """Embedding near-duplicates: a navigable small-world graph for each shard, every shard searched for every vector.
 
 Exact copies are one class. Classes are dealt to shards; a task builds the graph of its shard and then streams all
-classes through it in batches, all searches of a batch side by side in numpy. A search starts with a narrow beam. Some
-searches of a batch are audited against all vectors of the shard; a missed link widens the beam and the batch runs
-again. A beam that ends full of links is widened for its search until something else is in it, at last to the whole
-shard. Links count after their cosine holds in double precision. Tasks return sums and joining edges, not pairs.
+classes through it in batches, all searches of a batch side by side in numpy. Vectors of a shard that lie close together
+are one group: the graph has its head, and a group that lies wholly within the links' angle of a vector counts as a
+whole, one that lies across it is checked member by member. The beam of a search is set before any link is returned:
+it is widened until the shard's own sample, searched in the graph, misses nothing that a look at all vectors finds. Later
+audits of a few searches can widen it further, for their batch and those that follow. A beam that ends full of links is
+widened for its search until something else is in it. Links count after their cosine holds in double precision. Tasks
+return sums and joining edges, not pairs.
 """
 
 from __future__ import annotations
@@ -21,8 +24,11 @@ from . import common
 THRESHOLD = 0.95
 SHARDS, SHARD_ROWS = 12, 200_000
 DEGREE, BUILD_BEAM, BEAM = 14, 40, 24
-AUDITED, TARGET = 12, 0.995
+#: Own vectors that set the beam; searches of an audit, one in so many batches; share of the links that must be found.
+CALIBRATED, AUDITED, AUDIT_EVERY, TARGET = 256, 12, 16, 0.995
 BATCH = 512
+#: Bits of the cells in which groups are looked for, and heads tried in a cell.
+CELL_BITS, CELL_HEADS = 20, 16
 #: Float32 sums may be off by this much; the double check decides.
 SLACK = 1e-4
 
@@ -123,7 +129,8 @@ class Graph:
             here = queries[active]
             score = np.matmul(self.vectors[more], here[:, :, None])[:, :, 0]
             score[~fresh] = -2.0
-            seen[active[:, None], more] |= fresh
+            query, column = np.nonzero(fresh)  # entries that are not fresh stand at node 0 and must not unmark it
+            seen[active[query], more[query, column]] = True
             all_ids = np.concatenate((ids[active], np.where(fresh, more, -1)), axis=1)
             all_sims = np.concatenate((sims[active], score), axis=1)
             all_open = np.concatenate((open_[active], fresh), axis=1)
@@ -158,25 +165,72 @@ def units(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
 
 
+def tight_groups(vectors: np.ndarray, tight: float, seed: int = 0) -> np.ndarray:
+    """For each unit vector the place of its head, whose cosine with it is at least ``tight``; heads are their own.
+
+    Groups are looked for in cells, the signs of some random projections, a few heads a cell; vectors that no head takes
+    are groups of one. Missing a group costs time only.
+    """
+    head = np.arange(len(vectors))
+    if len(vectors) < 2:
+        return head
+    planes = np.random.default_rng(seed).normal(size=(vectors.shape[1], CELL_BITS))
+    cell = ((vectors @ planes > 0) << np.arange(CELL_BITS)).sum(axis=1)
+    order = np.argsort(cell, kind="stable")
+    edges = np.flatnonzero(np.concatenate(([True], np.diff(cell[order]) != 0, [True])))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        left = order[a:b]
+        for _ in range(CELL_HEADS):
+            if len(left) < 2:
+                break
+            near = vectors[left] @ vectors[left[0]] >= tight
+            near[0] = True
+            head[left[near]] = left[0]
+            left = left[~near]
+    return head
+
+
 class Shard:
-    """One shard's graph, and the links of batches of other vectors to it."""
+    """One shard: its groups, the graph of their heads, and the links of batches of vectors to it."""
 
     def __init__(self, vectors: np.ndarray, threshold: float = THRESHOLD):
-        self.exact = vectors
-        self.small = vectors.astype(np.float32)
+        self.exact, self.threshold = vectors, threshold
+        self.angle = float(np.arccos(threshold))
+        self.head = tight_groups(vectors, np.cos(self.angle / 3))
+        self.heads, self.group = np.unique(self.head, return_inverse=True)  # a vector's group, as a place among heads
+        self.members = np.argsort(self.group, kind="stable")
+        self.at = np.concatenate(([0], np.cumsum(np.bincount(self.group, minlength=len(self.heads)))))
+        spread = np.arccos(np.clip(np.einsum("ij,ij->i", vectors, vectors[self.head]), -1, 1))
+        spread[self.head == np.arange(len(vectors))] = 0
+        self.radius = np.zeros(len(self.heads))
+        np.maximum.at(self.radius, self.group, spread)
+        self.small = vectors[self.heads].astype(np.float32)
         self.graph = Graph(self.small)
-        self.threshold, self.beam = threshold, BEAM
-        self.audited = self.missed = 0
+        self.floor = float(np.cos(self.angle + self.radius.max(initial=0.0))) - SLACK
+        self.beam, self.waiting = BEAM, np.zeros((0, vectors.shape[1] if vectors.ndim > 1 else 0), np.float32)
+        step = max(1, len(self.small) // CALIBRATED)
+        sample = self.small[::step]
+        truth = self._pairs(*self._all(sample))
+        while self.beam < len(self.small) and not self._finds(truth, sample):
+            self.beam *= 2
 
     def _all(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.nonzero(queries @ self.small.T >= self.threshold - SLACK)
+        return np.nonzero(queries @ self.small.T >= self.floor)
+
+    @staticmethod
+    def _pairs(query: np.ndarray, node: np.ndarray) -> set:
+        return set(zip(query.tolist(), node.tolist()))
+
+    def _finds(self, truth: set, queries: np.ndarray) -> bool:
+        missed = len(truth - self._pairs(*self._search(queries, self.beam)))
+        return missed <= (1 - TARGET) * len(truth)
 
     def _search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Candidate links (query, node) of a batch; beams full of them are widened."""
-        if beam * 4 >= len(self.small):
+        """Candidates (query, place among heads) of a batch; beams full of them are widened."""
+        if beam >= len(self.small):
             return self._all(queries)
         found, sims = self.graph.search(queries, beam)
-        near = (sims >= self.threshold - SLACK) & (found >= 0)
+        near = (sims >= self.floor) & (found >= 0)
         full = near.all(axis=1)
         near[full] = False
         query, place = np.nonzero(near)
@@ -187,26 +241,41 @@ class Shard:
             query, node = np.concatenate((query, which[again])), np.concatenate((node, more))
         return query, node
 
-    def links(self, vectors: np.ndarray, turn: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """(row of ``vectors``, node) of all links found. Rows are unit vectors in double precision."""
-        queries = vectors.astype(np.float32)
+    def _audit(self, queries: np.ndarray, turn: int) -> None:
+        """Every so many batches a few searches are held against all heads. Those without a link test nothing and wait for
+        the next audit, a bounded number of them."""
+        if turn % AUDIT_EVERY or self.beam >= len(self.small) or not len(queries):
+            return
         step = max(1, len(queries) // AUDITED)
-        audit = np.arange(turn % step, len(queries), step)
-        truth = set(zip(*(x.tolist() for x in self._all(queries[audit])))) if len(audit) else set()
-        while True:
-            query, node = self._search(queries, self.beam)
-            if self.beam * 4 >= len(self.small):
-                break
-            back = np.full(len(queries), -1)
-            back[audit] = np.arange(len(audit))
-            mine = back[query] >= 0
-            missed = len(truth - set(zip(back[query][mine].tolist(), node[mine].tolist())))
-            if missed <= (1 - TARGET) * len(truth):
-                break
-            self.beam *= 2  # for this batch and those that follow
-        cosine = np.einsum("ij,ij->i", vectors[query], self.exact[node])
-        holds = cosine >= self.threshold
-        return query[holds], node[holds]
+        sample = np.concatenate((self.waiting, queries[(turn // AUDIT_EVERY) % step :: step]))[-8 * AUDITED :]
+        truth = self._pairs(*self._all(sample))
+        self.waiting = sample if not truth else sample[:0]
+        while truth and self.beam < len(self.small) and not self._finds(truth, sample):
+            self.beam *= 2
+
+    def found(self, vectors: np.ndarray, turn: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Links of unit vectors: (query, group) of groups that link as a whole, and (query, node) of single links."""
+        queries = vectors.astype(np.float32)
+        self._audit(queries, turn)
+        query, group = self._search(queries, self.beam)
+        cosine = np.einsum("ij,ij->i", vectors[query], self.exact[self.heads[group]])
+        angle = np.arccos(np.clip(cosine, -1, 1))
+        whole = (angle + self.radius[group] <= self.angle - 1e-6) & (self.radius[group] > 0)
+        near = ~whole & (angle - self.radius[group] <= self.angle + 1e-6)
+        sizes = (self.at[1:] - self.at[:-1])[group[near]]
+        starts = np.cumsum(sizes) - sizes
+        single = np.repeat(query[near], sizes)
+        node = self.members[np.repeat(self.at[group[near]] - starts, sizes) + np.arange(int(sizes.sum()))]
+        holds = np.einsum("ij,ij->i", vectors[single], self.exact[node]) >= self.threshold
+        return query[whole], group[whole], single[holds], node[holds]
+
+    def links(self, vectors: np.ndarray, turn: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """(row of ``vectors``, node) of all links found."""
+        query, group, single, node = self.found(vectors, turn)
+        sizes = (self.at[1:] - self.at[:-1])[group]
+        starts = np.cumsum(sizes) - sizes
+        each = self.members[np.repeat(self.at[group] - starts, sizes) + np.arange(int(sizes.sum()))]
+        return np.concatenate((np.repeat(query, sizes), single)), np.concatenate((each, node))
 
 
 def usable(vector: Column) -> Column:
@@ -280,30 +349,41 @@ def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
 def _shard_links(parts: Iterator[pa.RecordBatch], threshold: float, rows) -> Iterator[pa.RecordBatch]:
     """The shard's own rows come first and make the graph; they and all that follow are searched."""
     own: list[tuple[np.ndarray, ...]] = []
-    shard, ids, weights, joined, turn = None, None, None, None, 0
+    shard, ids, weights, joined, whole, turn = None, None, None, None, None, 0
 
-    def search(cls, vectors):
+    def search(cls, vectors, own=False):
         nonlocal turn
         for a in range(0, len(cls), BATCH):
             turn += 1
-            query, node = shard.links(vectors[a : a + BATCH], turn)
-            other = ids[node] != cls[a : a + BATCH][query]
-            query, node = query[other], node[other]
+            here = vectors[a : a + BATCH]
+            query, group, single, node = shard.found(here, turn)
+            worth = whole[group]
+            if own:  # a vector is no link of its own
+                mine = shard.group[a + query] == group
+                worth = worth - np.where(mine, weights[a + query], 0)
+                query, group, worth = query[worth > 0], group[worth > 0], worth[worth > 0]
+                other = node != a + single
+                single, node = single[other], node[other]
+            query = np.concatenate((query, single))
+            node, worth = np.concatenate((shard.heads[group], node)), np.concatenate((worth, weights[node]))
             if not len(query):
                 continue
             order = np.argsort(query, kind="stable")
-            query, node = query[order], node[order]
+            query, node, worth = query[order], node[order], worth[order]
             start = np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1])))
             first = np.repeat(node[start], np.diff(np.append(start, len(query))))
             for x, y in set(zip(first.tolist(), node.tolist())):
                 joined.union(x, y)
-            yield rows(cls[a : a + BATCH][query[start]], ids[node[start]], np.add.reduceat(weights[node], start))
+            yield rows(cls[a : a + BATCH][query[start]], ids[node[start]], np.add.reduceat(worth, start))
 
     def build():
-        nonlocal shard, ids, weights, joined
+        nonlocal shard, ids, weights, joined, whole
         ids, weights = (np.concatenate([x[k] for x in own]) for k in (0, 1))
         shard = Shard(np.concatenate([x[2] for x in own]), threshold)
+        whole = np.bincount(shard.group, weights=weights, minlength=len(shard.heads)).astype(np.int64)
         joined = common.UnionFind(len(ids))
+        for x, y in zip(shard.head.tolist(), range(len(ids))):  # members link to their head, and to each other
+            joined.union(x, y)
 
     for batch in parts:
         away, cls, weight, vectors = _arrays(batch)
@@ -312,11 +392,11 @@ def _shard_links(parts: Iterator[pa.RecordBatch], threshold: float, rows) -> Ite
         if away.any() and own:
             if shard is None:
                 build()
-                yield from search(ids, shard.exact)
+                yield from search(ids, shard.exact, True)
             yield from search(cls[away], vectors[away])
     if own and shard is None:
         build()
-        yield from search(ids, shard.exact)
+        yield from search(ids, shard.exact, True)
     if joined is not None:
         roots = np.array([joined.find(k) for k in range(len(ids))])
         moved = np.flatnonzero(roots != np.arange(len(ids)))

@@ -75,20 +75,97 @@ def test_recall_of_the_graph(seed):
     assert have <= want and len(have) >= 0.98 * len(want) and len(want) >= 500
 
 
-def test_full_beams_widen():
-    vectors = hnsw.units(np.concatenate([clustered(1, 1500, 32, 1) * 0 + 1 + 0.02 * np.random.default_rng(0).normal(size=(1500, 32)),
-                                         np.random.default_rng(1).normal(size=(2500, 32))]))
+def crowd(count=1500, dim=32, others=2500):
+    rng = np.random.default_rng(0)
+    return hnsw.units(np.concatenate([1 + 0.02 * rng.normal(size=(count, dim)), rng.normal(size=(others, dim))]))
+
+
+def test_crowded_groups_are_found_whole():
+    vectors = crowd()
     shard = hnsw.Shard(vectors)
+    assert len(shard.heads) < 3000 and shard.radius.max() <= shard.angle / 3 + 1e-9
     query, node = shard.links(vectors[:4])
     assert (np.bincount(query) == (vectors[:4] @ vectors.T >= 0.95).sum(axis=1)).all() and len(query) >= 4 * 1500
 
 
-def test_an_audit_widens_the_beam():
+@pytest.mark.parametrize("noise", [0.005, 0.03, 0.08, 0.12])
+def test_groups_across_the_threshold_are_checked_by_member(noise):
+    rng = np.random.default_rng(6)
+    centres = np.repeat(rng.normal(size=(12, 24)), 100, axis=0)
+    vectors = hnsw.units(centres + noise * np.sqrt(24) * rng.normal(size=centres.shape) * rng.random((len(centres), 1)))
+    shard = hnsw.Shard(vectors)
+    query, node = shard.links(vectors)
+    want = vectors @ vectors.T >= 0.95
+    have = np.zeros_like(want)
+    have[query, node] = True
+    assert len(set(zip(query.tolist(), node.tolist()))) == len(query)
+    assert not (have & ~want).any() and have.sum() >= 0.999 * want.sum()
+
+
+def test_full_beams_widen(monkeypatch):
+    monkeypatch.setattr(hnsw, "tight_groups", lambda vectors, tight: np.arange(len(vectors)))
+    vectors = crowd(600, 32, 1200)
+    shard = hnsw.Shard(vectors)
+    assert len(shard.heads) == len(vectors)
+    query, node = shard.links(vectors[:4])
+    assert (np.bincount(query) == (vectors[:4] @ vectors.T >= 0.95).sum(axis=1)).all() and len(query) >= 4 * 600
+
+
+def blind(shard, narrow):
+    """A graph that finds nothing until the beam is wide."""
+    plain = hnsw.Graph._beam
+
+    def beam(self, k, queries, entry, beam, ready):
+        if beam >= narrow or k:
+            return plain(self, k, queries, entry, beam, ready)
+        return np.full((len(queries), beam), -1), np.full((len(queries), beam), -2.0, np.float32)
+
+    return beam
+
+
+def test_the_beam_is_set_before_any_link(monkeypatch):
+    monkeypatch.setattr(hnsw.Graph, "_beam", blind(None, 90))
     vectors = hnsw.units(np.random.default_rng(4).normal(size=(2000, 48)))
     shard = hnsw.Shard(vectors)
-    shard.beam = 2
-    shard.graph._beam = lambda k, queries, entry, beam, ready: (  # finds nothing until the beam is wide
-        hnsw.Graph._beam(shard.graph, k, queries, entry, beam, ready) if beam >= 16 else
-        (np.full((len(queries), beam), -1), np.full((len(queries), beam), -2.0, np.float32)))
+    assert shard.beam >= 90
     query, node = shard.links(vectors[:200])
-    assert shard.beam >= 16 and len(query) >= 196
+    assert len(query) >= 196
+
+
+def test_an_audit_widens_the_beam_and_waits_for_links():
+    vectors = hnsw.units(np.random.default_rng(4).normal(size=(2000, 48)))
+    shard = hnsw.Shard(vectors)
+    far = hnsw.units(np.random.default_rng(5).normal(size=(512, 48)))
+    shard.links(far, hnsw.AUDIT_EVERY)
+    assert len(shard.waiting) > 0 and shard.beam == hnsw.BEAM
+    for turn in range(2, 40):
+        shard.links(far, turn * hnsw.AUDIT_EVERY)
+    assert len(shard.waiting) <= 8 * hnsw.AUDITED  # bounded
+    shard.graph.search = lambda queries, beam: (  # misses everything until the beam is wide
+        hnsw.Graph.search(shard.graph, queries, beam) if beam >= 90 else (np.full((len(queries), beam), -1), np.full((len(queries), beam), -2.0, np.float32)))
+    query, _ = shard.links(vectors[:200], 100 * hnsw.AUDIT_EVERY)
+    assert shard.beam >= 90 and len(query) >= 196 and len(shard.waiting) == 0
+
+
+def test_small_shards_use_the_graph():
+    vectors = hnsw.units(np.random.default_rng(7).normal(size=(60, 16)))
+    shard = hnsw.Shard(vectors)
+    calls = []
+    shard.graph.search = lambda queries, beam: calls.append(beam) or hnsw.Graph.search(shard.graph, queries, beam)
+    query, node = shard.links(vectors)
+    assert calls and set(range(60)) <= set(query[query == node].tolist())
+
+
+def test_shards_of_more_than_a_thousand_equal_the_sql(spark, tmp_path):
+    """Clusters of all tightnesses, copies and loners in two shards, against the registered SQL."""
+    import duckdb
+
+    vectors = np.concatenate([clustered(9, 2200, 24, 40), crowd(200, 24, 200)])
+    vectors[:50] = vectors[50:100]
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    frame.coalesce(1).write.parquet(f"{tmp_path}/e")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/e/*.parquet')")
+    want = sorted(db.execute(hnsw.OP9_SQL).fetchall())
+    got = sorted(tuple(r) for r in hnsw.near_duplicates(frame, shards=2).collect())
+    assert got == want and max(r[1] for r in want) > 100
