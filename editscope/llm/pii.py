@@ -196,17 +196,22 @@ def find(docs: DataFrame, text_col: str = "text", out: str = "pii") -> DataFrame
     each row in; a column named ``out`` is replaced.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    each = [_spans(kind, text) for kind in KINDS]
     order = F.array(*[F.lit(k.name) for k in KINDS])
-    rows = docs.withColumn(out, F.concat(*each))
-    ranked = F.transform(
-        F.array_sort(F.transform(out, lambda s: F.struct(
+
+    def ranked(spans: Column) -> Column:
+        placed = F.array_sort(F.transform(spans, lambda s: F.struct(
             s["start"].alias("start"), F.array_position(order, s["kind"]).alias("rank"),
             s["stop"].alias("stop"), s["kind"].alias("kind"), s["score"].alias("score"),
-        ))),
-        lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["score"].alias("score")),
-    )
-    return rows.withColumn(out, F.when(F.size(out) > 0, ranked).otherwise(F.col(out)))
+        )))
+        back = F.transform(
+            placed,
+            lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["score"].alias("score")),
+        )
+        return F.when(F.size(spans) > 0, back).otherwise(spans)
+
+    # text and spans are named once: a filter on the result would be pushed down with a copy of them for every use
+    every = _let(text, lambda t: F.concat(*[_spans(kind, t) for kind in KINDS]))
+    return docs.withColumn(out, _let(every, ranked))
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -236,9 +241,12 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         tail = cut(blocks, F.array_max(F.transform(spans, lambda s: s["stop"])), F.length(text).cast("bigint"))
         return F.concat(F.array_join(F.transform(F.sequence(F.lit(0), F.size(spans) - 1), piece), ""), tail)
 
-    ends = _running(F.transform(out, lambda s: s["stop"]), lambda a, b: F.greatest(a, b))
     blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
-    new = _let(blocks, lambda b: _let(ends, lambda e: pieces(b, F.col(out), e)))
+
+    def ends(spans: Column) -> Column:
+        return _running(F.transform(spans, lambda s: s["stop"]), lambda a, b: F.greatest(a, b))
+
+    new = _let(F.col(out), lambda spans: _let(blocks, lambda b: _let(ends(spans), lambda e: pieces(b, spans, e))))
     rows = find(docs, text_col, out)
     return rows.withColumn(text_col, F.when(F.size(out) > 0, new).otherwise(text)).select(*columns)
 
