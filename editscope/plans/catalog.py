@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ip, text
 from ..functions.times import MICROS, event_micros, floor_div
-from ..operators import geo, history, live_map, normalize, rate, windows
+from ..operators import geo, history, leaders, live_map, normalize, rate, windows
 from ..schemas import EDIT_WARS, SUPER_EDITORS, TOPIC_TRENDS
 from ..sources.history import CSV_WRITE, packed, parse_csv_lines, read_history, to_csv_line
 from . import tables as t
@@ -331,6 +331,21 @@ def super_editors_top_per_window(spark, sf_dir):
     return windows.top_editors_per_window(super_editors(spark, sf_dir), k=5)
 
 
+def _leaders_audited(spark, sf_dir, key, window, k):
+    """Lists by ``k`` counters against exact counts."""
+    rows = _content(spark, sf_dir)
+    found = leaders.leaders(rows, key, *window, k=k, tracked=k)
+    return leaders.audit(rows, key, found, *window, k=k)
+
+
+def editor_leaders(spark, sf_dir):
+    return _leaders_audited(spark, sf_dir, "user", t.EDITOR_WINDOW, 48)
+
+
+def topic_leaders(spark, sf_dir):
+    return _leaders_audited(spark, sf_dir, text.topic_key("title"), t.WAR_WINDOW, 48)
+
+
 def topic_trends(spark, sf_dir):
     return windows.topic_trends(_content(spark, sf_dir), *t.WAR_WINDOW)
 
@@ -455,7 +470,7 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         edit_wars, edit_wars_approx, edit_wars_min_users, edit_wars_members, edit_wars_by_edits,
-        super_editors, super_editors_top50, super_editors_top_per_window,
+        super_editors, super_editors_top50, super_editors_top_per_window, editor_leaders, topic_leaders,
         topic_trends, topic_trends_top20, topic_trends_members, topic_trends_approx, edit_wars_5m, super_editors_5m, topic_trends_5m,
         feed_parse, feed_parse_odd, feed_to_wars, feed_to_editors, feed_to_topics, edit_to_json, json_decode, wiki_lang, editor_type, editor_type_v1,
         title_filter, revert_flag, revert_flag_documents, topic_key, is_ip, raw_edits,

@@ -100,6 +100,18 @@ windowed AS (
 )"""
 
 
+def leaders(key: str, tracked: int) -> str:
+    """Keys of a window that a list by counters cannot miss, and the faults that it may not have."""
+    places = 1 << (tracked * 4 // 3 - 1).bit_length()
+    return f"""
+SELECT start_time, end_time, max(n)::BIGINT AS total_edits, count(*) FILTER (edits > 2 * (n * 7 // {2 * places})) AS certain,
+  0::BIGINT AS missed, 0::BIGINT AS wrong
+FROM (
+  SELECT start_time, end_time, count(*) AS edits, sum(count(*)) OVER (PARTITION BY start_time, end_time)::BIGINT AS n
+  FROM windowed GROUP BY start_time, end_time, {key}
+) GROUP BY start_time, end_time"""
+
+
 def replayed(table: str, size: str, slide: str, n: int) -> str:
     """Every edit in each (window, batch) that has seen it; a batch brings one slide."""
     return f"""
@@ -238,6 +250,8 @@ SELECT w.start_time, w.end_time, w.topic, e.title, count(*) AS title_edits,
 FROM topics w JOIN windowed e
   ON w.start_time = e.start_time AND w.topic = regexp_split_to_array(e.title, '[ _]')[1]
 GROUP BY w.start_time, w.end_time, w.topic, e.title""",
+    "editor_leaders": with_(EDITS, CONTENT, windowed("content", "6 hours", "1 hour", 6)) + leaders('"user"', 48),
+    "topic_leaders": with_(EDITS, CONTENT, WAR_WINDOWS) + leaders("regexp_split_to_array(title, '[ _]')[1]", 48),
     "feed_to_wars": with_(
         EDITS, SENT, WAR_WINDOWS, totals("wars", WAR_AGGREGATES, "title", WAR_HAVING)
     ) + " SELECT * FROM wars",

@@ -42,6 +42,10 @@ TOPIC_TRENDS = (
 WAR_ROWS = EDIT_WARS.replace("_time` string", "_time` timestamp").removesuffix(", `batch_id` bigint")
 EDITOR_ROWS = SUPER_EDITORS.replace("_time` string", "_time` timestamp").removesuffix(", `batch_id` bigint")
 TOPIC_ROWS = TOPIC_TRENDS.replace("_time` string", "_time` timestamp").removesuffix(", `batch_id` bigint")
+LEADER_ROWS = (
+    "`start_time` timestamp, `end_time` timestamp, `total_edits` bigint, `max_error` bigint, "
+    "`leaders` array<struct<`item`: string, `edits`: bigint>>"
+)
 POINT_ROWS = "`event_id` bigint, `ts` timestamp, `lat` double, `lon` double, `wiki_lang` string"
 GEO_ROWS = "`ip` string, `lat` double, `lon` double, `stored_at` timestamp"
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..functions import text
-from ..operators import geo, history, live_map, windows
+from ..operators import geo, history, leaders, live_map, windows
 from ..schemas import GEO
 from ..session import shared_dir
 from . import members, resolving
@@ -163,6 +163,41 @@ def start_results(
     ]
 
 
+#: What the running top lists count edits of.
+LEADERS = {"editor_leaders": lambda: F.col("user"), "topic_leaders": lambda: text.topic_key("title")}
+
+
+def leader_tables(output: str) -> dict[str, Table]:
+    """The last list of each window, one row a window."""
+    version = partial(history.latest_versions, keys=["start_time"], version=["run_id", "batch_id"])
+    return {name: Table(f"{output}/{name}", schemas.LEADER_ROWS, BOUNDS, version) for name in LEADERS}
+
+
+def start_leaders(
+    edits: DataFrame,
+    output: str,
+    checkpoints: str | None,
+    run_id: str,
+    *,
+    size: str = windows.SIZE,
+    slide: str = windows.SLIDE,
+    watermark: str = windows.WATERMARK,
+    k: int = 50,
+    tracked: int = leaders.TRACKED,
+    trigger: dict = AGGREGATE_TRIGGER,
+) -> list[StreamingQuery]:
+    """Keep the ``k`` most active editors and topics of each window without a row for every one of them, as
+    ``leader_tables`` below ``output``. Counts are off by at most the ``max_error`` of their row; ``run_id`` as in
+    ``start_results``."""
+    root = checkpoints or f"{shared_dir(edits.sparkSession)}/leaders/{run_id}"
+    pages = edits.filter(text.is_content_title("title"))
+    bounds = {"size": size, "slide": slide, "watermark": watermark, "k": k, "tracked": tracked}
+    return [
+        run_batches(leaders.leaders(pages, LEADERS[name](), **bounds), table_sink([(table, None)], run_id), f"{root}/{name}", "update", trigger)
+        for name, table in leader_tables(output).items()
+    ]
+
+
 def last_points(spark: SparkSession, output: str, n: int = 500) -> DataFrame:
     """The newest points of the map that ``start_results`` keeps below ``output``, from the files that
     can hold them."""

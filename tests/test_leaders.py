@@ -1,0 +1,79 @@
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from editscope.operators import leaders
+from editscope.streaming import pipeline
+
+from .edits import edit, table
+from .test_streaming import NOW, landing  # noqa: F401
+
+
+def skewed(seed, count=6000, span=600):
+    """A few editors make most edits, thousands make one or two."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(count):
+        user = f"u{int(3000 * rng.random() ** 6)}" if i % 50 else rng.choice([None, "", "ü"])
+        rows.append(edit(i, rng.uniform(0, span), user=user, title=f"t{rng.randrange(5)} x"))
+    return rows
+
+
+def test_bound_holds_under_skew(spark):
+    rows = table(spark, skewed(1)).repartition(7)
+    found = leaders.leaders(rows, "user", k=256, tracked=256).cache()
+    audited = leaders.audit(rows, "user", found, "5 minutes", "1 minute", 256).collect()
+    assert len(audited) > 10 and all(r.missed == 0 and r.wrong == 0 for r in audited)
+    assert max(r.certain for r in audited) >= 2
+    assert all(r.max_error == r.total_edits * 7 // 1024 for r in found.collect())
+
+
+def test_few_keys_are_counted_exactly(spark):
+    rows = table(spark, skewed(2, 500, 50))
+    got = leaders.leader_rows(leaders.leaders(rows, "title", "1 hour", "1 hour", k=10, tracked=2048)).collect()
+    want = Counter(r[5] for r in skewed(2, 500, 50))
+    assert [(r.item, r.at_most) for r in got] == sorted(want.items(), key=lambda e: (-e[1], e[0]))
+    assert [r.place for r in got] == [1, 2, 3, 4, 5]
+    assert all(r.at_least <= want[r.item] <= r.at_most for r in got)
+
+
+def test_keys_that_are_null_or_empty(spark):
+    rows = [edit(1, user=None), edit(2, user=""), edit(3, user=""), edit(4, user="a")]
+    late = [(*edit(5, user="a")[:1], None, *edit(5, user="a")[2:])]  # no time
+    got = leaders.leaders(table(spark, rows + late), "user", "1 hour", "1 hour", k=5, tracked=8).collect()
+    assert [(r.total_edits, [(e.item, e.edits) for e in r.leaders]) for r in got] == [(3, [("", 2), ("a", 1)])]
+    assert leaders.leaders(table(spark, [edit(1, user=None)]), "user").count() == 0
+    assert leaders.leaders(table(spark, []), "user").count() == 0
+
+
+def test_the_list_is_as_long_as_asked(spark):
+    rows = table(spark, skewed(3, 800, 30))
+    assert [len(r.leaders) for r in leaders.leaders(rows, "user", "1 hour", "1 hour", k=7).collect()] == [7]
+    with pytest.raises(ValueError):
+        leaders.leaders(rows, "user", k=9, tracked=8)
+
+
+def test_no_row_for_each_key_is_shuffled(spark):
+    plan = leaders.leaders(table(spark, skewed(4, 50)), "user")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("item" in line.split("ENSURE")[0] for line in exchanges)
+
+
+def test_running_lists(spark, landing, tmp_path):  # noqa: F811
+    rows = sorted(skewed(5, 1500, 500), key=lambda r: r[1])
+    out, checkpoint = f"{tmp_path}/out", f"{tmp_path}/cp"
+    for part in (rows[:500], rows[500:1100], rows[1100:]):  # a restart after each
+        landing.add(part)
+        for query in pipeline.start_leaders(landing.stream(), out, checkpoint, "r1", k=32, tracked=32, trigger=NOW):
+            query.awaitTermination()
+    for name, key in pipeline.LEADERS.items():
+        kept = pipeline.leader_tables(out)[name].read(spark)
+        held = table(spark, rows)
+        audited = leaders.audit(held, key(), kept, "5 minutes", "1 minute", 32).collect()
+        exact = leaders.leaders(held, key(), k=32, tracked=32).select("start_time", "total_edits").collect()
+        assert sorted((r.start_time, r.total_edits) for r in audited) == sorted(map(tuple, exact))
+        assert all(r.missed == 0 and r.wrong == 0 for r in audited)
+    tracked = leaders.leader_rows(pipeline.leader_tables(out)["topic_leaders"].read(spark))
+    assert tracked.filter(F.col("place") == 1).count() > 5
