@@ -7,8 +7,9 @@ are taken again from the bytes read.
 
 Equal payloads of at least ``SMALLEST`` bytes are stored once, the others as revisits of it.
 
-The index: each archive file gives a run of captures sorted by URL key, time and page; runs are cut into ranges of that
-order, and a range merges its parts of all runs with a loser tree.
+The index: each archive file gives a run of captures sorted by URL key, time and page, kept in files; runs are cut into
+ranges of that order by a shuffle, and a range merges its parts of all runs with a loser tree. Nothing is sorted twice:
+parts arrive one after the other, and a new one begins where the order falls back.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ from . import common
 SMALLEST = 1000
 FILE_BYTES = 8 << 20
 RANGE_ROWS = 50_000
-#: Pages have no time of capture; theirs counts seconds from here by page_id.
+#: Pages have no time of capture; theirs counts seconds from here by page_id, within the years 1 to 9999.
 EPOCH = 1_704_067_200
+FIRST_ID, LAST_ID = -62_135_596_800 - EPOCH, 253_402_300_799 - EPOCH
 CRLF = "\r\n"
 
 
@@ -54,6 +56,7 @@ def records(pages: DataFrame, smallest: int = SMALLEST) -> DataFrame:
 
     Of equal payloads of at least ``smallest`` bytes, the rows of the largest page_id are responses and the others
     revisits that name it; smaller payloads and rows without a page_id are responses. A null html is an empty payload.
+    Ids whose time would lie before year 1 or after 9999 have the first or last second of those years.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("digest"),
@@ -67,9 +70,8 @@ def records(pages: DataFrame, smallest: int = SMALLEST) -> DataFrame:
     first = common.staged(first, "warc-first")
     marked = rows.join(first, "digest", "left")
     revisit = F.coalesce((F.col("size") >= smallest) & (F.col("page_id") != F.col("kept")), F.lit(False))
-    stamp = F.date_format(
-        F.timestamp_seconds(F.lit(EPOCH) + F.coalesce("page_id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'"
-    )
+    near = F.least(F.greatest(F.coalesce("page_id", F.lit(0)).cast("long"), F.lit(FIRST_ID)), F.lit(LAST_ID))
+    stamp = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + near), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     none = F.lit(None).cast("string")
     head = F.concat_ws(
         CRLF,
@@ -91,7 +93,7 @@ def records(pages: DataFrame, smallest: int = SMALLEST) -> DataFrame:
 
 def write_archives(pages: DataFrame, path: str, smallest: int = SMALLEST, file_bytes: int = FILE_BYTES) -> None:
     """Records of all pages as gzip files of about ``file_bytes`` bytes of records under ``path``."""
-    total = pages.agg(F.sum(F.octet_length("html") + 400)).first()[0] or 0
+    total = pages.agg(F.sum(F.coalesce(F.octet_length("html"), F.lit(0)).cast("long") + 400)).first()[0] or 0
     files = max(1, -(-int(total) // file_bytes))
     out = records(pages, smallest).select(F.col("record").alias("value")).repartition(files)
     out.write.option("lineSep", CRLF * 2).option("compression", "gzip").text(path)
@@ -218,7 +220,8 @@ def capture_index(captures: DataFrame, range_rows: int = RANGE_ROWS) -> DataFram
     ``position`` (in the part).
 
     Runs, one for each ``file``, are sorted where they are and written. A range of the order then merges its parts of
-    the runs. Ranges follow the whole sort key, which no two captures share, so captures of one URL can lie in several.
+    the runs, in whatever order these come in; rows of one part that came apart would be several parts and change nothing.
+    Ranges follow the whole sort key, which no two captures share, so captures of one URL can lie in several.
     """
     spark = captures.sparkSession
     common.small_batches(spark)
@@ -230,8 +233,7 @@ def capture_index(captures: DataFrame, range_rows: int = RANGE_ROWS) -> DataFram
     runs = common.staged(keyed.sortWithinPartitions("file", *[F.col(k).asc_nulls_first() for k in KEY[:3]], "offset"), "warc-runs")
     ranges = max(common.width(spark), -(-runs.count() // range_rows))
     order = [F.col(k).asc_nulls_first() for k in KEY]
-    dealt = runs.repartitionByRange(ranges, *order).sortWithinPartitions("file", *order[:3], "offset")
-    dealt = dealt.withColumn("part", F.spark_partition_id())
+    dealt = runs.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id())
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]  # one range: about range_rows rows
@@ -241,7 +243,7 @@ def capture_index(captures: DataFrame, range_rows: int = RANGE_ROWS) -> DataFram
         columns = [rows.column(name).to_pylist() for name in KEY]
         columns[2] = [(p is not None, p or 0) for p in columns[2]]
         keys = list(zip(*columns, range(rows.num_rows)))
-        edges = [0, *[k for k in range(1, len(keys)) if keys[k][3] != keys[k - 1][3]], len(keys)]
+        edges = [0, *[k for k in range(1, len(keys)) if keys[k] < keys[k - 1]], len(keys)]
         merged = [key[-1] for key in LoserTree([iter(keys[a:b]) for a, b in zip(edges, edges[1:])])]
         out = rows.take(pa.array(merged, pa.int64()))
         out = out.append_column("position", pa.array(range(len(merged)), pa.int64()))

@@ -54,6 +54,40 @@ def test_many_files_and_histories(spark):
         assert r.capture_no == seen[r.url_key]
 
 
+def test_ranges_get_sorted_parts_and_merge_them(spark):
+    rows = [(k, f"http://h{k * 7919 % 31}.org/{k % 11}", "short", "d", "r", 0) for k in range(3000)]
+    captures = archive(spark, rows, file_bytes=100_000)
+    files = captures.select("file").distinct().count()
+    index = warc.capture_index(captures.drop("payload"), range_rows=500)
+    assert index.select("url_key").distinct().count() == 31 * 11
+    got = [(r.url_key, r.captured, r.page_id) for r in index.orderBy("part", "position").collect()]
+    assert got == sorted(got) and len(got) == 3000 and files > 10
+    scattered = warc.capture_index(captures.drop("payload").repartition(5), range_rows=500)  # runs torn over tasks
+    assert [tuple(r)[:3] for r in scattered.orderBy("part", "position").select("url_key", "captured", "page_id").collect()] == got
+
+
+def test_null_pages_fill_many_files(spark):
+    pages = spark.range(60_000).select(F.col("id").alias("page_id"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
+    path = common.scratch_path(spark, "test-nulls")
+    warc.write_archives(pages, path, file_bytes=1_000_000)
+    captures = warc.read_archives(spark, path, payloads=False)
+    assert captures.select("file").distinct().count() == 24
+    assert captures.filter("payload_bytes = 0 AND record_type = 'response' AND refers_to IS NULL").count() == 60_000
+
+
+def test_ids_at_the_ends_of_long(spark):
+    ids = [2**63 - 1, -(2**63), 0, warc.LAST_ID, warc.LAST_ID + 1, warc.FIRST_ID]
+    captures = archive(spark, [(k, "http://a/", "x" * 1200, "d", "r", 0) for k in ids])
+    got = {r.page_id: (r.captured, r.record_type, r.refers_to) for r in captures.collect()}
+    top = 2**63 - 1
+    assert got[top] == ("9999-12-31T23:59:59Z", "response", None)
+    assert got[-(2**63)] == got[warc.FIRST_ID] == ("0001-01-01T00:00:00Z", "revisit", top)
+    assert got[warc.LAST_ID] == got[warc.LAST_ID + 1] == ("9999-12-31T23:59:59Z", "revisit", top)
+    assert got[0] == ("2024-01-01T00:00:00Z", "revisit", top)
+    index = [r.page_id for r in warc.capture_index(captures.drop("payload")).orderBy("part", "position").collect()]
+    assert index == [-(2**63), warc.FIRST_ID, 0, warc.LAST_ID, warc.LAST_ID + 1, top]
+
+
 def test_empty_table(spark):
     captures = archive(spark, [])
     assert captures.count() == 0 and warc.histories(warc.capture_index(captures)).count() == 0
