@@ -7,11 +7,13 @@ so the sum over all segmentations of a text is the product of the sums of its wo
 for each distinct word of the corpus, in log space, and texts gather the results by a join.
 
 Words so frequent that they would make hot join keys are looked up in a broadcast table instead. Its size is bounded by
-``COMMON_WORDS``: a count threshold is taken from a histogram so that no more words pass it.
+``COMMON_WORDS`` and ``LONG_WORD``: a count threshold is taken from a histogram so that no more words pass it, and words
+of more bytes stand there as their SHA-256. So it has at most 150,000 keys of 64 bytes, also where texts have no blanks.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -25,7 +27,9 @@ from pyspark.sql import functions as F
 from . import common
 
 COMMON_WORDS = 150_000
+LONG_WORD = 64
 FLUSH = 200_000
+FLUSH_BYTES = 64 << 20
 PRIOR_WEIGHT = 1000.0
 PRIOR_END = 1e-3
 MARK = "▁"
@@ -114,7 +118,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     """(word, c, total): occurrences in training texts and in all texts, of every distinct word."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trained, other = Counter(), Counter()
+        trained, other, read = Counter(), Counter(), 0
 
         def frame():
             words = list(trained.keys() | other.keys())
@@ -126,10 +130,17 @@ def _word_counts(rows: DataFrame) -> DataFrame:
 
         for batch in batches:
             for held, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                (other if held else trained).update(words_of(text.as_py()))
-                if len(trained) + len(other) > FLUSH:
+                found = words_of(text.as_py())
+                (other if held else trained).update(found)
+                read += sum(map(len, found))
+                full = len(trained) + len(other) > FLUSH
+                if read > FLUSH_BYTES:  # most of it may be words that occurred before
+                    read = sum(map(len, trained)) + sum(map(len, other))
+                    full = full or 2 * read > FLUSH_BYTES
+                if full:
                     yield frame()
                     trained.clear(), other.clear()
+                    read = 0
         yield frame()
 
     parts = rows.select("held_out", "text").mapInArrow(count, "word binary, c long, total long")
@@ -163,8 +174,13 @@ def _piece_logs(words: DataFrame, vocabulary: Vocabulary, path: str, ends: int)
     return logs, math.log((ends + PRIOR_WEIGHT * PRIOR_END) / total)
 
 
+def _short(word: bytes) -> bytes:
+    """The word, or a blank, which no word has, and the SHA-256 of a long one."""
+    return word if len(word) <= LONG_WORD else b" " + hashlib.sha256(word).digest()
+
+
 def _common(words: DataFrame, most: int) -> tuple[list, int]:
-    """The most frequent words, at most ``most``, and the count from which on a word is among them."""
+    """The most frequent words (``_short``), at most ``most``, and the count from which on a word is among them."""
     level = F.floor(F.log2("total") * 8)
     histogram = words.groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()  # at most 64 * 8 rows
     taken, least = 0, None
@@ -174,7 +190,9 @@ def _common(words: DataFrame, most: int) -> tuple[list, int]:
         taken, least = taken + row["n"], row["level"]
     if least is None:
         return [], 0
-    return words.filter(level >= least).select("word", "c", "logp").collect(), least
+    digest = F.concat(F.lit(b" "), F.unhex(F.sha2("word", 256)))
+    short = F.when(F.octet_length("word") <= LONG_WORD, F.col("word")).otherwise(digest)
+    return words.filter(level >= least).select(short.alias("word"), "c", "logp").collect(), least
 
 
 def score(
@@ -231,12 +249,14 @@ def score(
             for text in batch.column(2):
                 found = words_of(text.as_py())
                 ids = np.fromiter((place.get(w, -1) for w in found), np.int64, len(found))
-                here = ids[ids >= 0]
+                rare = Counter(found[k] for k in np.flatnonzero(ids < 0).tolist())
+                listed = [w for w in rare if len(w) > LONG_WORD and _short(w) in place]
+                long_ids = [k for w in listed for k in [place[_short(w)]] * rare.pop(w)]
+                here = np.concatenate([ids[ids >= 0], np.array(long_ids, np.int64)])
                 out["n_words"].append(len(found))
                 out["known"].append(int(known[here].sum()))
                 out["base"].append(float(base[here].sum()))
                 out["score"].append(float(logp[here].sum()))
-                rare = Counter(found[k] for k in np.flatnonzero(ids < 0).tolist())
                 out["rest"].append([{"word": w, "n": n} for w, n in rare.items()])
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(out["n_words"], pa.int64()), pa.array(out["known"], pa.int64()),

@@ -29,9 +29,53 @@ def vocabulary():
     return lattice_lm.Vocabulary(lattice_lm.default_vocabulary())
 
 
-def check(docs, rows):
+class PlainModel:
+    """The document probability from its definition: piece counts of the training words, and for each word the sum over its
+    ends of the probability so far times that of every piece which ends there."""
+
+    def __init__(self, vocabulary, train):
+        model = lattice_lm._processor(lattice_lm.default_vocabulary())
+        counts = Counter()
+        for word, c in Counter(w for t in train for w in t).items():
+            for k in model.encode(word):
+                counts[k] += c
+        weight, prior = lattice_lm.PRIOR_WEIGHT, vocabulary.share
+        seen = {k: counts[k] if prior[k] > 0 else 0 for k in range(len(prior))}
+        total = sum(seen.values()) + len(train) + weight
+        self.end = math.log10((len(train) + weight * lattice_lm.PRIOR_END) / total)
+        share = {k: (seen[k] + weight * prior[k]) / total for k in seen if prior[k] > 0}
+        raw = {k: b for b, k in vocabulary.bytes.items()}
+        self.byte = {raw[k]: math.log10(share[k]) for k in raw}
+        self.pieces = {vocabulary.pieces[k]: math.log10(p) for k, p in share.items() if k not in raw}
+        self.longest = max(map(len, self.pieces))
+        self.letters = {c for piece in self.pieces for c in piece if c in self.pieces}
+        self.known = {}
+
+    def word(self, word):
+        if word not in self.known:
+            text, ways = lattice_lm.MARK + word, [0.0]
+            for end in range(1, len(text) + 1):
+                last = [(ways[at], self.pieces.get(text[at:end])) for at in range(max(0, end - self.longest), end)]
+                terms = [a + b for a, b in last if b is not None]
+                if text[end - 1] not in self.letters:
+                    terms.append(ways[end - 1] + sum(self.byte[b] for b in text[end - 1].encode()))
+                top = max(terms)
+                ways.append(top + math.log10(sum(10 ** (t - top) for t in terms)))
+            self.known[word] = ways[-1]
+        return self.known[word]
+
+    def text(self, found):
+        return math.fsum(map(self.word, found)) + self.end
+
+
+def check(docs, rows, vocabulary=None):
     rows = rows.collect()
     texts = docs.collect()
+    if vocabulary:
+        model = PlainModel(vocabulary, [words(r.text) for r in texts if not held(r.doc_id)])
+        want = sorted((str(r.doc_id), model.text(words(r.text))) for r in texts)
+        for (a, x), (b, y) in zip(sorted((str(r.doc_id), r.score) for r in rows), want, strict=True):
+            assert a == b and x == pytest.approx(y, rel=1e-9)
     train = [words(r.text) for r in texts if not held(r.doc_id)]
     counts, ends = Counter(w for t in train for w in t), len(train)
     total, kinds = sum(counts.values()) + ends, len(counts) + (1 if ends else 0)
@@ -48,8 +92,25 @@ def check(docs, rows):
     assert all(r.score < 0 and math.isfinite(r.score) for r in rows)
 
 
-def test_query_equals_brute_force(spark, sf_dir):
-    check(odd.plain(spark, sf_dir), lattice_lm.op8_lattice(spark, sf_dir))
+def test_query_equals_brute_force(spark, sf_dir, vocabulary):
+    check(odd.plain(spark, sf_dir), lattice_lm.op8_lattice(spark, sf_dir), vocabulary)
+
+
+def test_long_words_are_broadcast_as_digests(spark, vocabulary):
+    """Texts without blanks are long words; frequent ones go by their digest, the others through the join."""
+    long, longer = "Ä" * 40, "stem" * 3000
+    texts = [f"{long} a {longer}" if k % 3 else f"{long} b{k} {'x' * 64} {'y' * 65}" for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for most in (1, 4, 100_000):
+        check(docs, lattice_lm.score(docs, is_held(), common_words=most), vocabulary)
+    model = lattice_lm._short(longer.encode())
+    assert len(model) == 33 and lattice_lm._short(b"x" * 64) == b"x" * 64
+
+
+def test_counts_are_passed_on_by_bytes(spark, vocabulary, monkeypatch):
+    docs = spark.createDataFrame([(k, f"w{k % 7} {'long' * 50}{k} same") for k in range(400)], "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(lattice_lm, "FLUSH_BYTES", 2000)
+    check(docs, lattice_lm.score(docs, is_held()), vocabulary)
 
 
 def test_odd_documents(spark):
