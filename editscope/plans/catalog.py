@@ -12,7 +12,9 @@ from ..functions import ip, text
 from ..functions.times import MICROS, event_micros, floor_div
 from ..operators import geo, history, leaders, live_map, normalize, rate, windows
 from ..schemas import EDIT_WARS, SUPER_EDITORS, TOPIC_TRENDS
+from ..sources import messages
 from ..sources.history import CSV_WRITE, packed, parse_csv_lines, read_history, to_csv_line
+from ..streaming import pipeline
 from . import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +96,20 @@ def json_decode(spark, sf_dir):
     return _naive(normalize.decode_edits(messages, "event_id"), "ts")
 
 
+def message_log(spark, sf_dir):
+    """Edits sent as messages into a log of four partitions, the first with half of them, and landed from there by a
+    stream of bounded micro-batches."""
+    folder = f"{t.scratch(spark)}/messages-{uuid.uuid4().hex}"
+    partition = F.when(F.col("event_id") % 2 == 0, 0).otherwise(1 + F.pmod("event_id", F.lit(3))).alias("topic")
+    sent = normalize.encode_edits(t.flagged_edits(spark, sf_dir), partition)
+    sent.write.partitionBy("topic").text(f"{folder}/log")
+    edits = normalize.decode_edits(messages.stream_messages(spark, f"{folder}/log", f"{folder}/cursor"))
+    landing = pipeline.land(edits, f"{folder}/edits", f"{folder}/checkpoint", {"processingTime": "0 seconds"})
+    landing.processAllAvailable()
+    landing.stop()
+    return _naive(spark.read.schema(edits.schema).parquet(f"{folder}/edits"), "ts")
+
+
 def wiki_lang(spark, sf_dir):
     host = F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1)
     return t.read(spark, sf_dir, "pages").select(
@@ -472,7 +488,7 @@ QUERIES: dict[str, Query] = {
         edit_wars, edit_wars_approx, edit_wars_min_users, edit_wars_members, edit_wars_by_edits,
         super_editors, super_editors_top50, super_editors_top_per_window, editor_leaders, topic_leaders,
         topic_trends, topic_trends_top20, topic_trends_members, topic_trends_approx, edit_wars_5m, super_editors_5m, topic_trends_5m,
-        feed_parse, feed_parse_odd, feed_to_wars, feed_to_editors, feed_to_topics, edit_to_json, json_decode, wiki_lang, editor_type, editor_type_v1,
+        feed_parse, feed_parse_odd, feed_to_wars, feed_to_editors, feed_to_topics, edit_to_json, json_decode, message_log, wiki_lang, editor_type, editor_type_v1,
         title_filter, revert_flag, revert_flag_documents, topic_key, is_ip, raw_edits,
         suspicious_flag, suspicious_flag_60s, suspicious_flag_hot, suspicious_flag_fast, feed_to_edits,
         geo_enrich, geo_missing, geo_upsert, geo_range, geo_range_v6, geo_range_enrich, geo_interval,

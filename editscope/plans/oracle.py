@@ -336,6 +336,12 @@ SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, "user", is_bot, is_s
   wiki_lang, length_diff, comment, revision_id, is_minor, NULL::DOUBLE AS lat, NULL::DOUBLE AS lon,
   date_trunc('second', ts) AS ts,
   CASE WHEN is_suspicious THEN 'SUSPECTED_BOT' WHEN is_bot THEN 'BOT' ELSE 'HUMAN' END AS editor_type
+FROM flagged_content""",
+    "message_log": with_(EDITS, FLAGGED, FLAGGED_CONTENT) + """
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, "user", is_bot, is_suspicious, title,
+  wiki_lang, length_diff, comment, revision_id, is_minor, NULL::DOUBLE AS lat, NULL::DOUBLE AS lon,
+  date_trunc('second', ts) AS ts,
+  CASE WHEN is_suspicious THEN 'SUSPECTED_BOT' WHEN is_bot THEN 'BOT' ELSE 'HUMAN' END AS editor_type
 FROM flagged_content""",
     "wiki_lang": """
 SELECT page_id, host AS server_name,
