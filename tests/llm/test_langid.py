@@ -1,8 +1,10 @@
+import inspect
 import math
 import random
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -148,3 +150,41 @@ def test_any_number_of_labels(spark, labels):
     right = sum(r.lang_pred == (r.lang or "und") for r in got)
     assert right >= 0.98 * len(rows)
     assert langid.bits_for(1) == langid.bits_for(512) == 16 and langid.bits_for(600) == 15
+
+
+def test_every_labelled_row_counts_however_many_there_are(spark):
+    n = 200_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("ab").alias("text"), F.lit("en").alias("lang"))
+    model = langid.fit(docs, floors=True)
+    found = langid.ngrams(["ab"])[0]
+    unseen = np.setdiff1d(np.arange(65536), found)[0]
+    seen = np.exp(model.weights[0][found] - model.weights[0][unseen]) * langid.SMOOTHING - langid.SMOOTHING
+    assert np.allclose(seen, n, rtol=1e-4)
+    logs = np.log(n - 1) - np.log(n * len(found) + langid.SMOOTHING * 65536 - len(found))
+    assert np.isclose(model.floors[0], logs - langid.FLOOR_MARGIN, atol=1e-5)
+
+
+def test_the_query_and_the_stage_learn_from_all_labelled_rows(spark, tmp_path, monkeypatch):
+    rows = [(k, text, lang) for k in range(40) for text, lang in [(f"the cat {k}", "en"), (f"le chat {k}", "fr")]]
+    docs = spark.createDataFrame([(k, *r[1:]) for k, r in enumerate(rows)], "doc_id long, text string, lang string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bounds = []
+    fit = langid.fit
+    monkeypatch.setattr(langid, "fit", lambda *a, **b: bounds.append(inspect.signature(fit).bind(*a, **b)) or fit(*a, **b))
+    assert langid.op4_language(spark, str(tmp_path)).count() == corpus_pipeline.language(spark, docs, "").count() == len(rows)
+    for bound in bounds:
+        bound.apply_defaults()
+    assert [bound.arguments["fit_rows"] for bound in bounds] == [None, None]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.05, 0.5, 0.93, 1.0])
+def test_floors_are_exact_percentiles(spark, share):
+    rng = random.Random(7)
+    values = {0: [-3.0], 1: [-2.5, -9.25], 2: [-4.0] * 50 + [-7.0] * 3, 3: [rng.gauss(-8, 0.5) for _ in range(3001)],
+              4: [-8 - rng.random() / 5000 for _ in range(500)], 5: [round(rng.gauss(-6, 1), 1) for _ in range(777)]}
+    rows = spark.createDataFrame([(at, v) for at, all_ in values.items() for v in all_], "at long, fit double")
+    got = langid._low(rows, share)
+    assert got.keys() == values.keys()
+    for at, all_ in values.items():
+        assert np.isclose(got[at], np.percentile(all_, 100 * share), rtol=1e-12)
+    assert langid._low(rows.limit(0), share) == {}
