@@ -35,6 +35,9 @@ STEPS = 1024
 #: Standard errors of the mean that a text may be below the floor, so that short texts are not judged by a few n-grams.
 ROOM = 3.0
 
+#: Code points whose n-grams are held at once, unless a single text has more: some dozens of bytes each.
+PART_CHARS = 1 << 18
+
 _LETTERS: list[np.ndarray] = []
 
 
@@ -83,6 +86,19 @@ def ngrams(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(owners), n_letters
 
 
+def _parts(texts: list) -> Iterator[slice]:
+    """Runs of texts with at most ``PART_CHARS`` together, or one longer text; a worker's memory doesn't grow with a batch."""
+    start = held = 0
+    for k, text in enumerate(texts):
+        size = len(text or "")
+        if k > start and held + size > PART_CHARS:
+            yield slice(start, k)
+            start, held = k, 0
+        held += size
+    if len(texts) > start:
+        yield slice(start, len(texts))
+
+
 def bits_for(langs: int) -> int:
     """Bits of an n-gram's bucket: 16 up to 512 languages, one less each time their number doubles."""
     return min(16, (CELLS // max(langs, 1)).bit_length() - 1)
@@ -114,6 +130,10 @@ class Model:
         """
         if not len(texts):
             return [], np.zeros(0), np.zeros(0, bool)
+        names, scores, fits = zip(*(self._judge(texts[part]) for part in _parts(texts)))
+        return [name for part in names for name in part], np.concatenate(scores), np.concatenate(fits)
+
+    def _judge(self, texts) -> tuple[list[str], np.ndarray, np.ndarray]:
         bucket, owner, letters = ngrams(texts)
         if not self.langs:  # nothing is known that a text could fail to fit
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), letters > 0
@@ -179,9 +199,11 @@ def fit(
             return at, np.bincount(place_, weights=np.concatenate([held[1], *(w[1] for w in waiting)]), minlength=len(at)).astype(np.int64)
 
         for batch in batches:
-            bucket, owner, _ = ngrams(batch["text"].tolist())
-            lang = batch["lang"].map(place).to_numpy(np.int64)
-            waiting.append(np.unique(lang[owner] * size + (bucket >> (16 - bits_for(len(langs)))), return_counts=True))
+            texts, lang = batch["text"].tolist(), batch["lang"].map(place).to_numpy(np.int64)
+            for part in _parts(texts):
+                bucket, owner, _ = ngrams(texts[part])
+                at = lang[part][owner] * size + (bucket >> (16 - bits_for(len(langs))))
+                waiting.append(np.unique(at, return_counts=True))
             if sum(len(w[0]) for w in waiting) > max(len(held[0]), 1 << 20):
                 held, waiting = merged(), []
         at, n = merged()

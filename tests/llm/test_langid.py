@@ -188,3 +188,29 @@ def test_floors_are_exact_percentiles(spark, share):
     for at, all_ in values.items():
         assert np.isclose(got[at], np.percentile(all_, 100 * share), rtol=1e-12)
     assert langid._low(rows.limit(0), share) == {}
+
+
+def test_texts_are_counted_and_judged_in_parts_of_bounded_size(spark, monkeypatch):
+    texts = ["the cat", None, "", "le chat et le chien " * 9, "the dog and the cat", "der hund", "x" * 500, "les chats"] * 3
+    rows = [(k, text, ["en", "fr"][k % 2]) for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = langid.fit(docs, floors=True)
+    want = whole.judge(texts)
+    monkeypatch.setattr(langid, "PART_CHARS", 40)
+    held = []
+    ngrams = langid.ngrams
+    monkeypatch.setattr(langid, "ngrams", lambda part: held.append([len(t or "") for t in part]) or ngrams(part))
+    got = whole.judge(texts)
+    assert got[0] == want[0] and np.array_equal(got[1], want[1]) and np.array_equal(got[2], want[2])
+    assert all(sum(part) <= 40 or len(part) == 1 for part in held) and sum(map(len, held)) == len(texts)
+    assert [texts[part] for part in langid._parts(texts)] != [texts] and list(langid._parts([])) == []
+
+
+def test_counts_of_batches_in_parts_are_whole(spark):
+    texts = [("ab cd " * 15_000, "en"), ("le chat " * 12_000, "fr"), ("the cat " * 11_000, "en"), ("x", "fr")]
+    assert len(list(langid._parts([text for text, _ in texts]))) > 1
+    docs = spark.createDataFrame([(k, *r) for k, r in enumerate(texts)], "doc_id long, text string, lang string").coalesce(1)
+    model = langid.fit(docs)
+    for lang, weights in zip(model.langs, model.weights):
+        counts = np.bincount(langid.ngrams([text for text, known in texts if known == lang])[0], minlength=65536) + langid.SMOOTHING
+        assert np.allclose(weights, np.log(counts / counts.sum()), atol=1e-5)
