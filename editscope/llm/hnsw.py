@@ -1,13 +1,16 @@
-"""Embedding near-duplicates: a navigable small-world graph for each shard, every shard searched for every vector.
-
-Exact copies are one class. Classes are dealt to shards; a task builds the graph of its shard and then streams all
-classes through it in batches, all searches of a batch side by side in numpy. Vectors of a shard that lie close together
-are one group: the graph has its head, and a group that lies wholly within the links' angle of a vector counts as a
-whole, one that lies across it is checked member by member. The beam of a search is set before any link is returned:
-it is widened until the shard's own sample, searched in the graph, misses nothing that a look at all vectors finds. Later
-audits of a few searches can widen it further, for their batch and those that follow. A beam that ends full of links is
-widened for its search until something else is in it. Links count after their cosine holds in double precision. Tasks
-return sums and joining edges, not pairs.
+"""Embedding near-duplicates: a navigable small-world graph for each shard, searched for every vector that can link in it.
+
+Exact copies are one class. Classes are joined into neighbourhoods (``neighbourhoods.py``), which hold all links but for a
+stated small chance, and a shard holds whole neighbourhoods; a class without a neighbour links with nothing. A task builds
+the graph of its shard and then streams the classes through it in batches, all searches of a batch side by side in
+numpy. A neighbourhood too large for a shard has several, and all of these are searched for each of its classes.
+Vectors of a shard that lie close together are one group: the graph has its head, and a group that lies wholly within the
+links' angle of a vector counts as a whole, one that lies across it is checked member by member. A search for a vector of
+the shard enters the graph at its head too. The beam of a search is set before any link is returned: it is widened until the
+shard's own sample, searched in the graph, misses nothing that a look at all vectors finds. Later audits of a few
+searches can widen it further, for their batch and those that follow. A beam that ends full of links is widened for its
+search until something else is in it, or all heads are looked at. Links count after their cosine holds in double
+precision. Tasks return sums and joining edges, not pairs.
 """
 
 from __future__ import annotations
@@ -18,15 +21,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from . import common
+from . import common, neighbourhoods
 
 THRESHOLD = 0.95
-SHARDS, SHARD_ROWS = 12, 200_000
+#: Shards at least; classes of a shard at most, and on average where a shard holds many neighbourhoods; classes with
+#: neighbours up to which their list of two numbers each is broadcast, more are joined.
+SHARDS, SHARD_ROWS, PACKED_ROWS, NEAR_ROWS = 12, 200_000, 10_000, 2_000_000
 DEGREE, BUILD_BEAM, BEAM = 14, 40, 24
+#: Of a node's closest neighbours, so many, one at least points back.
+CLOSE = 4
 #: Own vectors that set the beam; searches of an audit, one in so many batches; share of the links that must be found.
 CALIBRATED, AUDITED, AUDIT_EVERY, TARGET = 256, 12, 16, 0.995
 BATCH = 512
+#: Heads to a place of a full beam up to which a look at all heads takes less than a wider beam; scores of a look at once.
+LOOK, LOOKED = 256, 1 << 22
 #: Bits of the cells in which groups are looked for, and heads tried in a cell.
 CELL_BITS, CELL_HEADS = 20, 16
 #: Float32 sums may be off by this much; the double check decides.
@@ -53,6 +63,8 @@ class Graph:
             stop = min(self.size, done + min(BATCH, max(1, done // 2)))
             self._insert(done, stop, level, beam)
             done = stop
+        self.place = np.argsort(self.order)
+        self._adopt()
 
     def _insert(self, start: int, stop: int, level: np.ndarray, beam: int) -> None:
         fresh = self.vectors[start:stop]
@@ -112,6 +124,30 @@ class Graph:
             layer[other, : len(keep)] = keep
             used[other] = len(keep)
 
+    def _adopt(self) -> None:
+        """A node of the lowest layer that none of its closest neighbours points to is hardly found from where it lies: the
+        closest one points to it, in a free place or instead of a node that more than one other points to."""
+        layer = self.layers[0]
+        at, place = np.nonzero(layer >= 0)
+        to = layer[at, place].astype(np.int64)
+        met = np.bincount(to, minlength=self.size)
+        scores = np.full(layer.shape, -2.0, np.float32)
+        for a in range(0, len(at), 1 << 16):
+            b = slice(a, a + (1 << 16))
+            scores[at[b], place[b]] = np.einsum("ij,ij->i", self.vectors[at[b]], self.vectors[to[b]])
+        close = np.argsort(-scores, axis=1, kind="stable")[:, :CLOSE]
+        both = np.zeros(layer.shape, bool)
+        both[at, place] = np.isin(at * self.size + to, to * self.size + at)
+        for node in np.flatnonzero(~np.take_along_axis(both, close, 1).any(axis=1)).tolist():
+            for other in layer[node, close[node]].tolist():
+                free = np.flatnonzero((layer[other] < 0) | (met[layer[other]] > 1)) if other >= 0 else ()
+                if len(free):
+                    if layer[other, free[-1]] >= 0:
+                        met[layer[other, free[-1]]] -= 1
+                    layer[other, free[-1]] = node
+                    met[node] += 1
+                    break
+
     def _beam(self, k: int, queries: np.ndarray, entry: np.ndarray | None, beam: int, ready: int) -> tuple[np.ndarray, np.ndarray]:
         """The nodes of layer ``k`` closest to each query, by a beam search of all queries side by side; -1 for none."""
         count, rows = len(queries), np.arange(len(queries))
@@ -126,11 +162,11 @@ class Graph:
         active = rows
         fresh = entry >= 0
         while True:
-            here = queries[active]
-            score = np.matmul(self.vectors[more], here[:, :, None])[:, :, 0]
-            score[~fresh] = -2.0
             query, column = np.nonzero(fresh)  # entries that are not fresh stand at node 0 and must not unmark it
-            seen[active[query], more[query, column]] = True
+            node = more[query, column]
+            score = np.full(more.shape, -2.0, np.float32)
+            score[query, column] = np.einsum("ij,ij->i", self.vectors[node], queries[active[query]])
+            seen[active[query], node] = True
             all_ids = np.concatenate((ids[active], np.where(fresh, more, -1)), axis=1)
             all_sims = np.concatenate((sims[active], score), axis=1)
             all_open = np.concatenate((open_[active], fresh), axis=1)
@@ -150,11 +186,16 @@ class Graph:
         order = np.argsort(-sims, axis=1, kind="stable")
         return np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
 
-    def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Nodes (in the order given to the graph, -1 for none) and cosines of the closest to each unit vector."""
+    def search(self, queries: np.ndarray, beam: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Nodes (in the order given to the graph, -1 for none) and cosines of the closest to each unit vector; ``own`` are
+        nodes known to be close, where the lowest layer is entered as well."""
         entry = None
         for k in range(len(self.layers) - 1, 0, -1):
             entry = self._beam(k, queries, entry, 8, len(self.layers[k]))[0][:, :8]
+        if own is not None:
+            start = self.place[own][:, None]
+            entry = np.zeros((len(queries), 1), np.int64) if entry is None else entry
+            entry = np.concatenate((start, np.where(entry == start, -1, entry)), axis=1)
         found, sims = self._beam(0, queries, entry, beam, self.size)
         return np.where(found >= 0, self.order[found], -1), sims
 
@@ -215,7 +256,9 @@ class Shard:
             self.beam *= 2
 
     def _all(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.nonzero(queries @ self.small.T >= self.floor)
+        rows = max(1, LOOKED // max(1, len(self.small)))
+        parts = [np.nonzero(queries[a : a + rows] @ self.small.T >= self.floor) for a in range(0, max(1, len(queries)), rows)]
+        return np.concatenate([q + k * rows for k, (q, _) in enumerate(parts)]), np.concatenate([n for _, n in parts])
 
     @staticmethod
     def _pairs(query: np.ndarray, node: np.ndarray) -> set:
@@ -225,11 +268,12 @@ class Shard:
         missed = len(truth - self._pairs(*self._search(queries, self.beam)))
         return missed <= (1 - TARGET) * len(truth)
 
-    def _search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Candidates (query, place among heads) of a batch; beams full of them are widened."""
+    def _search(self, queries: np.ndarray, beam: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Candidates (query, place among heads) of a batch; beams full of them are widened, up to a look at all heads
+        where that takes less."""
         if beam >= len(self.small):
             return self._all(queries)
-        found, sims = self.graph.search(queries, beam)
+        found, sims = self.graph.search(queries, beam) if own is None else self.graph.search(queries, beam, own)
         near = (sims >= self.floor) & (found >= 0)
         full = near.all(axis=1)
         near[full] = False
@@ -237,7 +281,10 @@ class Shard:
         node = found[query, place]
         if full.any():
             which = np.flatnonzero(full)
-            again, more = self._search(queries[which], beam * 4)
+            if len(self.small) <= LOOK * beam:
+                again, more = self._all(queries[which])
+            else:
+                again, more = self._search(queries[which], beam * 4, None if own is None else own[which])
             query, node = np.concatenate((query, which[again])), np.concatenate((node, more))
         return query, node
 
@@ -253,11 +300,14 @@ class Shard:
         while truth and self.beam < len(self.small) and not self._finds(truth, sample):
             self.beam *= 2
 
-    def found(self, vectors: np.ndarray, turn: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Links of unit vectors: (query, group) of groups that link as a whole, and (query, node) of single links."""
+    def found(
+        self, vectors: np.ndarray, turn: int = 1, own: np.ndarray | None = None,
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Links of unit vectors: (query, group) of groups that link as a whole, and (query, node) of single links. ``own``
+        are the nodes of vectors that the shard itself holds."""
         queries = vectors.astype(np.float32)
         self._audit(queries, turn)
-        query, group = self._search(queries, self.beam)
+        query, group = self._search(queries, self.beam, None if own is None else self.group[own])
         cosine = np.einsum("ij,ij->i", vectors[query], self.exact[self.heads[group]])
         angle = np.arccos(np.clip(cosine, -1, 1))
         whole = (angle + self.radius[group] <= self.angle - 1e-6) & (self.radius[group] > 0)
@@ -285,14 +335,47 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(value, lambda x: x != 0), F.lit(False))
 
 
-def _found(classes: DataFrame, shards: int, threshold: float) -> DataFrame:
+def _everywhere(classes: DataFrame, shards: int) -> DataFrame:
+    """Each class in a shard of its own and, as one that is searched, away in all the others."""
+    return classes.select(
+        "cls", "weight", "vector", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
+        F.pmod(F.xxhash64("cls"), F.lit(shards)).alias("home"),
+    ).withColumn("away", F.col("shard") != F.col("home"))
+
+
+def _by_neighbourhood(classes: DataFrame, count: int, threshold: float) -> tuple[DataFrame, int]:
+    """Each class that has a neighbour in a shard with all of its neighbourhood, and the number of shards; classes without
+    one have no link to be found and are in no shard. A neighbourhood of more than ``SHARD_ROWS`` classes has shards of
+    its own; its classes are away in all of these but one."""
+    joins = neighbourhoods.edges(classes.select("cls", "vector"), count, threshold, units)
+    roots = common.staged(common.components(joins, "hnsw-near"), "hnsw-roots")
+    sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
+    near = roots.count()
+    packed = max(SHARDS, -(-near // PACKED_ROWS))
+    large, shards = [], packed
+    for r in sizes.filter(F.col("size") > SHARD_ROWS).sort("root").collect():  # a few: each has more than SHARD_ROWS classes
+        large.append((r["root"], shards, -(-r["size"] // SHARD_ROWS)))
+        shards += large[-1][2]
+    frame = classes.sparkSession.createDataFrame(large, "root long, start int, parts int")
+    placed = roots.withColumnRenamed("id", "cls")
+    placed = classes.join(F.broadcast(placed) if near <= NEAR_ROWS else placed, "cls")
+    if large:
+        placed = placed.join(F.broadcast(frame), "root", "left")
+    else:
+        placed = placed.withColumns({"start": F.lit(None).cast("int"), "parts": F.lit(None).cast("int")})
+    start = F.coalesce("start", F.pmod(F.xxhash64("root"), F.lit(packed)).cast("int"))
+    placed = placed.select("cls", "weight", "vector", start.alias("start"), F.coalesce("parts", F.lit(1)).alias("parts"))
+    dealt = placed.select(
+        "cls", "weight", "vector", F.explode(F.expr("sequence(start, start + parts - 1)")).alias("shard"),
+        (F.col("start") + F.pmod(F.xxhash64("cls"), F.col("parts"))).alias("home"),
+    )
+    return dealt.withColumn("away", F.col("shard") != F.col("home")), shards
+
+
+def _found(every: DataFrame, shards: int, threshold: float) -> DataFrame:
     """For every class and shard with links: (cls, other, weight): the rows that the class links to there, and one
     joining edge; edges within a shard come with weight 0."""
-    every = classes.select(
-        "cls", "weight", "vector", F.size("vector").alias("dim"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.pmod(F.xxhash64("cls"), F.lit(shards)).cast("int").alias("home"),
-    ).withColumn("away", F.col("shard") != F.col("home")).drop("home")
-    dealt = every.repartitionByRange(shards, "shard").sortWithinPartitions("dim", "shard", "away", "cls")
+    dealt = every.drop("home").withColumn("dim", F.size("vector")).repartitionByRange(shards, "shard").sortWithinPartitions("dim", "shard", "away", "cls")
     kind = pa.schema([("cls", pa.int64()), ("other", pa.int64()), ("weight", pa.int64())])
 
     def rows(cls, other, weight):
@@ -356,7 +439,7 @@ def _shard_links(parts: Iterator[pa.RecordBatch], threshold: float, rows) -> Ite
         for a in range(0, len(cls), BATCH):
             turn += 1
             here = vectors[a : a + BATCH]
-            query, group, single, node = shard.found(here, turn)
+            query, group, single, node = shard.found(here, turn, np.arange(a, a + len(here)) if own else None)
             worth = whole[group]
             if own:  # a vector is no link of its own
                 mine = shard.group[a + query] == group
@@ -416,7 +499,9 @@ def near_duplicates(
     """
     spark = vectors.sparkSession
     common.small_batches(spark)
-    value = F.col(vector_col).cast("array<double>")
+    value = F.col(vector_col)
+    if vectors.schema[vector_col].dataType != T.ArrayType(T.FloatType()):
+        value = value.cast("array<double>")
     rows = vectors.select(
         F.col(id_col).alias("id"), F.when(usable(value), value).alias("vector"),
     ).withColumns({"h1": F.xxhash64("vector"), "h2": F.xxhash64(F.lit(7), "vector")})
@@ -424,8 +509,13 @@ def near_duplicates(
         F.count("*").alias("weight"), F.min("id").alias("low"), F.first("vector").alias("vector")
     ).withColumn("cls", F.monotonically_increasing_id())
     classes = common.staged(groups, "hnsw-classes")
-    count = shards or max(SHARDS, -(-classes.count() // SHARD_ROWS))
-    found = common.staged(_found(classes, count, threshold), "hnsw-links")
+    count = classes.count()
+    if shards or not neighbourhoods.worthwhile(threshold, count):
+        shards = shards or max(SHARDS, -(-count // SHARD_ROWS))
+        every = _everywhere(classes, shards)
+    else:
+        every, shards = _by_neighbourhood(classes, count, threshold)
+    found = common.staged(_found(every, shards, threshold), "hnsw-links")
     sums = found.groupBy("cls").agg(F.sum("weight").alias("links"))
     roots = common.components(found.select(F.col("cls").alias("a"), F.col("other").alias("b")), "hnsw")
     named = classes.drop("vector").join(roots.withColumnRenamed("id", "cls"), "cls", "left").join(sums, "cls", "left").select(
