@@ -6,7 +6,7 @@ the graph of its shard and then streams the classes through it in batches, all s
 numpy. A neighbourhood too large for a shard has several, and all of these are searched for each of its classes.
 Vectors of a shard that lie close together are one group: the graph has its head, and a group that lies wholly within the
 links' angle of a vector counts as a whole, one that lies across it is checked member by member. A search for a vector of
-the shard enters the graph at its head too. The beam of a search is set before any link is returned: it is widened until the
+the shard enters the graph also at its head and at those of some of its neighbours. The beam of a search is set before any link is returned: it is widened until the
 shard's own sample, searched in the graph, misses nothing that a look at all vectors finds. Later audits of a few
 searches can widen it further, for their batch and those that follow. A beam that ends full of links is widened for its
 search until something else is in it, or all heads are looked at. Links count after their cosine holds in double
@@ -30,8 +30,8 @@ THRESHOLD = 0.95
 #: neighbours up to which their list of two numbers each is broadcast, more are joined.
 SHARDS, SHARD_ROWS, PACKED_ROWS, NEAR_ROWS = 12, 200_000, 10_000, 2_000_000
 DEGREE, BUILD_BEAM, BEAM = 14, 40, 24
-#: Of a node's closest neighbours, so many, one at least points back.
-CLOSE = 4
+#: Of a node's closest neighbours, so many, one at least points back; others of a neighbourhood at which a search starts.
+CLOSE, BESIDE = 4, 8
 #: Own vectors that set the beam; searches of an audit, one in so many batches; share of the links that must be found.
 CALIBRATED, AUDITED, AUDIT_EVERY, TARGET = 256, 12, 16, 0.995
 BATCH = 512
@@ -102,8 +102,9 @@ class Graph:
                     break
                 np.maximum(blocked, among[k], out=blocked)
         if len(chosen) < self.degree:
-            rest = np.setdiff1d(np.arange(len(ids)), chosen, assume_unique=True)
-            chosen += rest[: self.degree - len(chosen)].tolist()
+            rest = np.ones(len(ids), bool)
+            rest[chosen] = False
+            chosen += np.flatnonzero(rest)[: self.degree - len(chosen)].tolist()
         return ids[chosen]
 
     def _connect(self, k: int, node: int, ids: np.ndarray, scores: np.ndarray) -> None:
@@ -187,15 +188,15 @@ class Graph:
         return np.take_along_axis(ids, order, 1), np.take_along_axis(sims, order, 1)
 
     def search(self, queries: np.ndarray, beam: int, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Nodes (in the order given to the graph, -1 for none) and cosines of the closest to each unit vector; ``own`` are
-        nodes known to be close, where the lowest layer is entered as well."""
+        """Nodes (in the order given to the graph, -1 for none) and cosines of the closest to each unit vector; ``own`` has
+        nodes known to be close (-1 for none), where the lowest layer is entered as well."""
         entry = None
         for k in range(len(self.layers) - 1, 0, -1):
             entry = self._beam(k, queries, entry, 8, len(self.layers[k]))[0][:, :8]
         if own is not None:
-            start = self.place[own][:, None]
-            entry = np.zeros((len(queries), 1), np.int64) if entry is None else entry
-            entry = np.concatenate((start, np.where(entry == start, -1, entry)), axis=1)
+            entry = np.full((len(queries), 1), -1) if entry is None else entry
+            entry = np.sort(np.concatenate((np.where(own >= 0, self.place[own], -1), entry), axis=1), axis=1)
+            entry[:, 1:][entry[:, 1:] == entry[:, :-1]] = -1
         found, sims = self._beam(0, queries, entry, beam, self.size)
         return np.where(found >= 0, self.order[found], -1), sims
 
@@ -304,10 +305,10 @@ class Shard:
         self, vectors: np.ndarray, turn: int = 1, own: np.ndarray | None = None,
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Links of unit vectors: (query, group) of groups that link as a whole, and (query, node) of single links. ``own``
-        are the nodes of vectors that the shard itself holds."""
+        has, for vectors of the shard itself, their nodes and some of their neighbours' (-1 for none)."""
         queries = vectors.astype(np.float32)
         self._audit(queries, turn)
-        query, group = self._search(queries, self.beam, None if own is None else self.group[own])
+        query, group = self._search(queries, self.beam, None if own is None else np.where(own >= 0, self.group[own], -1))
         cosine = np.einsum("ij,ij->i", vectors[query], self.exact[self.heads[group]])
         angle = np.arccos(np.clip(cosine, -1, 1))
         whole = (angle + self.radius[group] <= self.angle - 1e-6) & (self.radius[group] > 0)
@@ -330,15 +331,16 @@ class Shard:
 
 def usable(vector: Column) -> Column:
     """Whether a vector can link: no null or non-finite component, and one that is not zero."""
-    value = vector.cast("array<double>")
-    finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    return F.coalesce(finite & F.exists(value, lambda x: x != 0), F.lit(False))
+    most, least = F.array_max(vector), F.array_min(vector)  # NaN is more than infinity
+    finite = F.forall(vector, lambda x: x.isNotNull()) & (most < float("inf")) & (least > float("-inf"))
+    return F.coalesce(finite & ((most > 0) | (least < 0)), F.lit(False))
 
 
 def _everywhere(classes: DataFrame, shards: int) -> DataFrame:
     """Each class in a shard of its own and, as one that is searched, away in all the others."""
     return classes.select(
-        "cls", "weight", "vector", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
+        "cls", "weight", "vector", F.lit(None).cast("long").alias("root"),
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
         F.pmod(F.xxhash64("cls"), F.lit(shards)).alias("home"),
     ).withColumn("away", F.col("shard") != F.col("home"))
 
@@ -364,9 +366,9 @@ def _by_neighbourhood(classes: DataFrame, count: int, threshold: float) -> tuple
     else:
         placed = placed.withColumns({"start": F.lit(None).cast("int"), "parts": F.lit(None).cast("int")})
     start = F.coalesce("start", F.pmod(F.xxhash64("root"), F.lit(packed)).cast("int"))
-    placed = placed.select("cls", "weight", "vector", start.alias("start"), F.coalesce("parts", F.lit(1)).alias("parts"))
+    placed = placed.select("cls", "weight", "vector", "root", start.alias("start"), F.coalesce("parts", F.lit(1)).alias("parts"))
     dealt = placed.select(
-        "cls", "weight", "vector", F.explode(F.expr("sequence(start, start + parts - 1)")).alias("shard"),
+        "cls", "weight", "vector", "root", F.explode(F.expr("sequence(start, start + parts - 1)")).alias("shard"),
         (F.col("start") + F.pmod(F.xxhash64("cls"), F.col("parts"))).alias("home"),
     )
     return dealt.withColumn("away", F.col("shard") != F.col("home")), shards
@@ -375,7 +377,7 @@ def _by_neighbourhood(classes: DataFrame, count: int, threshold: float) -> tuple
 def _found(every: DataFrame, shards: int, threshold: float) -> DataFrame:
     """For every class and shard with links: (cls, other, weight): the rows that the class links to there, and one
     joining edge; edges within a shard come with weight 0."""
-    dealt = every.drop("home").withColumn("dim", F.size("vector")).repartitionByRange(shards, "shard").sortWithinPartitions("dim", "shard", "away", "cls")
+    dealt = every.drop("home").withColumn("dim", F.size("vector")).repartitionByRange(shards, "shard").sortWithinPartitions("dim", "shard", "away", "root", "cls")
     kind = pa.schema([("cls", pa.int64()), ("other", pa.int64()), ("weight", pa.int64())])
 
     def rows(cls, other, weight):
@@ -385,7 +387,7 @@ def _found(every: DataFrame, shards: int, threshold: float) -> DataFrame:
         for (_, _), parts in _by_key(batches):
             yield from _shard_links(parts, threshold, rows)
 
-    return dealt.select("dim", "shard", "away", "cls", "weight", "vector").mapInArrow(search, "cls long, other long, weight long")
+    return dealt.select("dim", "shard", "away", "cls", "weight", "vector", F.coalesce("root", "cls").alias("root")).mapInArrow(search, "cls long, other long, weight long")
 
 
 def _by_key(batches: Iterator[pa.RecordBatch]):
@@ -425,21 +427,32 @@ def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
     flat = batch.column(5).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return (
         batch.column(2).to_numpy(zero_copy_only=False), batch.column(3).to_numpy(), batch.column(4).to_numpy(),
-        units(flat.reshape(batch.num_rows, -1)),
+        units(flat.reshape(batch.num_rows, -1)), batch.column(6).to_numpy(),
     )
 
 
+def _beside(roots: np.ndarray) -> np.ndarray:
+    """For each place its own and the next ``BESIDE`` places of the same root, from the last on to the first; -1 for none.
+    Equal roots stand together."""
+    places = np.arange(len(roots))
+    edges = np.flatnonzero(np.concatenate(([True], roots[1:] != roots[:-1], [True])))
+    sizes = np.diff(edges)
+    size, start = np.repeat(sizes, sizes)[:, None], np.repeat(edges[:-1], sizes)[:, None]
+    ahead = np.arange(BESIDE + 1)
+    return np.where(ahead < size, start + (places[:, None] - start + ahead) % size, -1)
+
+
 def _shard_links(parts: Iterator[pa.RecordBatch], threshold: float, rows) -> Iterator[pa.RecordBatch]:
     """The shard's own rows come first and make the graph; they and all that follow are searched."""
     own: list[tuple[np.ndarray, ...]] = []
-    shard, ids, weights, joined, whole, turn = None, None, None, None, None, 0
+    shard, ids, weights, joined, whole, beside, turn = None, None, None, None, None, None, 0
 
     def search(cls, vectors, own=False):
         nonlocal turn
         for a in range(0, len(cls), BATCH):
             turn += 1
             here = vectors[a : a + BATCH]
-            query, group, single, node = shard.found(here, turn, np.arange(a, a + len(here)) if own else None)
+            query, group, single, node = shard.found(here, turn, beside[a : a + BATCH] if own else None)
             worth = whole[group]
             if own:  # a vector is no link of its own
                 mine = shard.group[a + query] == group
@@ -460,8 +473,9 @@ def _shard_links(parts: Iterator[pa.RecordBatch], threshold: float, rows) -> Ite
             yield rows(cls[a : a + BATCH][query[start]], ids[node[start]], np.add.reduceat(worth, start))
 
     def build():
-        nonlocal shard, ids, weights, joined, whole
-        ids, weights = (np.concatenate([x[k] for x in own]) for k in (0, 1))
+        nonlocal shard, ids, weights, joined, whole, beside
+        ids, weights, roots = (np.concatenate([x[k] for x in own]) for k in (0, 1, 3))
+        beside = _beside(roots)
         shard = Shard(np.concatenate([x[2] for x in own]), threshold)
         whole = np.bincount(shard.group, weights=weights, minlength=len(shard.heads)).astype(np.int64)
         joined = common.UnionFind(len(ids))
@@ -469,9 +483,9 @@ def _shard_links(parts: Iterator[pa.RecordBatch], threshold: float, rows) -> Ite
             joined.union(x, y)
 
     for batch in parts:
-        away, cls, weight, vectors = _arrays(batch)
+        away, cls, weight, vectors, roots = _arrays(batch)
         if (~away).any():
-            own.append((cls[~away], weight[~away], vectors[~away]))
+            own.append((cls[~away], weight[~away], vectors[~away], roots[~away]))
         if away.any() and own:
             if shard is None:
                 build()

@@ -119,11 +119,25 @@ def test_a_full_beam_looks_at_all_heads_of_a_shard_that_is_not_large(monkeypatch
     assert len(query) == 400 * 400 and max(beams) > shard.beam
 
 
+def test_a_search_enters_at_neighbours_that_nothing_points_to():
+    """Of 59 million links 285 were missed while a search entered only at the top and at its own head."""
+    assert hnsw._beside(np.array([5, 5, 7, 9, 9, 9]))[:, :4].tolist() == [
+        [0, 1, -1, -1], [1, 0, -1, -1], [2, -1, -1, -1], [3, 4, 5, -1], [4, 5, 3, -1], [5, 3, 4, -1]]
+    vectors = pairs(12, 1000, 0.96)
+    vectors = np.stack((vectors[:1000], vectors[1000:]), axis=1).reshape(2000, -1)
+    shard = hnsw.Shard(vectors)
+    for layer in shard.graph.layers:  # no way to any other node
+        layer[:] = -1
+    own = hnsw._beside(np.repeat(np.arange(1000), 2))
+    query, _, single, node = shard.found(vectors, 2, own)
+    assert set(zip(single.tolist(), node.tolist())) == {(k, m) for k in range(2000) for m in (k, k ^ 1)}
+
+
 def test_own_vectors_are_found_from_where_they_lie():
     """Pairs far from all others: a search that enters at the top alone missed a few of them."""
     vectors = pairs(11, 2000, 0.96)
     shard = hnsw.Shard(vectors)
-    query, group, single, node = shard.found(vectors, 2, np.arange(len(vectors)))
+    query, group, single, node = shard.found(vectors, 2, np.arange(len(vectors))[:, None])
     have = set(zip(single.tolist(), node.tolist())) | set(zip(query.tolist(), shard.heads[group].tolist()))
     assert {(k, (k + 2000) % 4000) for k in range(4000)} <= have
     layer = shard.graph.layers[0]
